@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,15 +42,40 @@ def person_columns() -> dict[str, str]:
 NAMES = {"f": _name("(k * 7919) % 4093"), "l": _name("(k * 2621 + 13) % 4091")}
 
 
-def persons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each customer once, every third twice and every ninth three times, the copies damaged."""
+def _copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
     copies = F.expr("filter(array(0, 1, 2), v -> v = 0 or (v = 1 and k % 3 = 0) or (v = 2 and k % 9 = 0))")
-    base = customer.selectExpr("c_custkey as k", "c_nationkey as nk").select("k", "nk", F.explode(copies).alias("v"))
-    named = base.selectExpr("k", "nk", "v", *[f"{e} as {n}" for n, e in NAMES.items()])
+    base = customer.selectExpr("c_custkey as k", "c_nationkey as nk")
+    return base.select("k", "nk", F.explode(copies).alias("v"))
+
+
+def persons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each customer once, every third twice and every ninth three times, the copies damaged."""
+    named = _copies(spark, sf_dir).selectExpr("k", "nk", "v", *[f"{e} as {n}" for n, e in NAMES.items()])
     return named.selectExpr(*[f"{e} as {n}" for n, e in person_columns().items()])
 
 
+# Which damage `person_columns` does to copy v of customer k.
+VARIATIONS = {
+    "email_case": "v = 1",
+    "email_typo": "v = 2 and k % 2 = 0",
+    "given_name_typo": "v = 2",
+    "surname_typo": "v = 1 and k % 2 = 0",
+    "postcode_typo": "v = 2 and k % 4 = 0",
+    "missing_city": "v = 1 and k % 5 = 0",
+}
+
+
+def variations_sql(array: Callable[..., str]) -> str:
+    return array(*[f"case when {test} then '{name}' end" for name, test in VARIATIONS.items()])
+
+
+def damaged_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies with the list of their ``variations``."""
+    listed = variations_sql(lambda *entries: f"array_compact(array({', '.join(entries)}))")
+    return _copies(spark, sf_dir).selectExpr("k", "v", f"{listed} as variations")
+
+
 def persons_sql() -> str:
     """The same rows as a DuckDB common table expression named ``persons``."""
     names = ", ".join(f"{e} as {n}" for n, e in NAMES.items())
