@@ -151,33 +151,35 @@ def jaro_winkler_arrow(left: pa.Array, right: pa.Array) -> pa.Array:
 jaro_winkler = F.arrow_udf(jaro_winkler_arrow, DoubleType()).asNondeterministic()
 
 
-def char_set(column: str) -> str:
-    """SQL of a 64-bit set of the first and second occurrences of the characters of a text.
+def bound_helpers(name: str, text: str) -> dict[str, str]:
+    """SQL of the columns that `may_reach` needs for a text: its length and its characters.
 
-    Characters fall into 32 classes; bit p says that class p occurs, bit p + 32 that it occurs twice.
+    The characters are a 64-bit set of first and second occurrences. They fall into 32 classes; bit p says
+    that class p occurs, bit p + 32 that it occurs twice.
     """
     place = "pmod(ascii(c), 32)"
     again = f"if(bits & shiftleft(1L, {place}) != 0, 32, 0)"
     # split() ends in an empty string, which is no character
-    chars = f"filter(split({column}, ''), c -> c != '')"
-    return f"aggregate({chars}, 0L, (bits, c) -> bits | shiftleft(1L, {place} + {again}))"
+    chars = f"filter(split({text}, ''), c -> c != '')"
+    return {
+        f"_size_{name}": f"cast(length({text}) as double)",
+        f"_chars_{name}": f"aggregate({chars}, 0L, (bits, c) -> bits | shiftleft(1L, {place} + {again}))",
+    }
 
 
-def may_reach(text: str, chars: str, jaro_winkler_at_least: float) -> str:
-    """SQL that is false only if ``text_l`` and ``text_r`` are less similar than wanted.
+def may_reach(name: str, jaro_winkler_at_least: float) -> str:
+    """SQL that is false only if ``<name>_l`` and ``<name>_r`` are less similar than wanted.
 
-    ``chars`` holds their `char_set`. A character without a counterpart stays unmatched, so the number of
-    matches is at most either length less the occurrences in its set that the other set lacks, which bounds
-    the Jaro similarity. Different first characters rule the prefix boost out; otherwise the full one is
-    assumed.
+    A character without a counterpart stays unmatched, so the number of matches m is at most either length
+    less the occurrences in its set that the other set lacks, and the Jaro similarity is at most
+    (m / a + m / b + 1) / 3 for lengths a and b. Different first characters rule the prefix boost out;
+    otherwise the full one is assumed.
     """
     boost = PREFIX_LENGTH * PREFIX_WEIGHT
     boosted = max(BOOST_ABOVE, (jaro_winkler_at_least - boost) / (1.0 - boost))
     boosted = min(boosted, jaro_winkler_at_least)
-    needed = f"if(ascii({text}_l) = ascii({text}_r), {boosted - _SLACK}D, {jaro_winkler_at_least - _SLACK}D)"
-    matches = (
-        f"least(length({text}_l) - bit_count({chars}_l & ~{chars}_r),"
-        f" length({text}_r) - bit_count({chars}_r & ~{chars}_l))"
-    )
-    ceiling = f"({matches} / length({text}_l) + {matches} / length({text}_r) + 1D) / 3D"
-    return f"if({matches} > 0, {ceiling} >= {needed}, false)"
+    a, b, in_a, in_b = (f"_{part}_{name}_{side}" for part in ("size", "chars") for side in "lr")
+    matches = f"least({a} - bit_count({in_a} & ~{in_b}), {b} - bit_count({in_b} & ~{in_a}))"
+    factor = [f"{3 * (needed - _SLACK) - 1}D" for needed in (boosted, jaro_winkler_at_least)]
+    needed = f"if(ascii({name}_l) = ascii({name}_r), {factor[0]}, {factor[1]})"
+    return f"{matches} * ({a} + {b}) >= {needed} * {a} * {b}"

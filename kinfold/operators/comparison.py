@@ -5,10 +5,14 @@ side is missing, which says nothing either way. It is written as SQL text over t
 ``<name>_r`` of a pair:
 
 * ``helpers``: columns computed once per record, before records are paired;
-* ``similarities``: text columns whose Jaro-Winkler similarity the level needs, each with the condition
-  under which it matters; elsewhere it is taken as 0;
-* ``level``: the level of two present values;
-* ``may_agree``: a cheap bound, false only where that level is 0 for certain.
+* ``plain_level``: the level of two present values as far as equality and edit distance tell;
+* ``questions``: text columns whose Jaro-Winkler similarity can still raise that level, each with the
+  condition under which it can;
+* ``tiers``: the levels that such similarities give, best first;
+* ``may_agree``: a cheap bound, false only where the level is 0 for certain.
+
+Levels are found in two steps, so that pairs which raise the same questions can be merged in between:
+`ask` works inside the JVM and `answer` calls Python for the questions that are left.
 """
 
 from __future__ import annotations
@@ -17,13 +21,15 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from kinfold.functions.similarity import char_set, jaro_winkler, may_reach
+from kinfold.functions.similarity import bound_helpers, jaro_winkler, may_reach
 
 
-def _tiers(conditions: Sequence[tuple[str, int]]) -> str:
-    return "case " + " ".join(f"when {test} then {level}" for test, level in conditions) + " else 0 end"
+Tier = tuple[str, float, int]  # text column, least similarity, level
+
+
+def _cases(conditions: Sequence[tuple[str, int]], otherwise: str = "0") -> str:
+    return "case " + " ".join(f"when {test} then {level}" for test, level in conditions) + f" else {otherwise} end"
 
 
 @dataclass(frozen=True)
@@ -34,11 +40,14 @@ class ExactOnly:
     def helpers(self) -> dict[str, str]:
         return {}
 
-    def similarities(self) -> dict[str, str]:
+    def questions(self) -> dict[str, str]:
         return {}
 
-    def level(self) -> str:
-        return _tiers([(self.may_agree(), self.top)])
+    def tiers(self) -> list[Tier]:
+        return []
+
+    def plain_level(self) -> str:
+        return _cases([(self.may_agree(), self.top)])
 
     def may_agree(self) -> str:
         return f"{self.column}_l = {self.column}_r"
@@ -58,17 +67,20 @@ class EditTiers:
     def helpers(self) -> dict[str, str]:
         return {}
 
-    def similarities(self) -> dict[str, str]:
+    def questions(self) -> dict[str, str]:
         return {}
 
+    def tiers(self) -> list[Tier]:
+        return []
+
     @property
     def _edits(self) -> str:
         """Edit distance, -1 beyond the largest one that counts."""
         return f"levenshtein({self.column}_l, {self.column}_r, {max(self.distances)})"
 
-    def level(self) -> str:
+    def plain_level(self) -> str:
         near = [(f"{self._edits} between 0 and {d}", self.top - 1 - i) for i, d in enumerate(self.distances)]
-        return _tiers([(f"{self.column}_l = {self.column}_r", self.top), *near])
+        return _cases([(f"{self.column}_l = {self.column}_r", self.top), *near])
 
     def may_agree(self) -> str:
         return f"{self._edits} >= 0"
@@ -85,23 +97,21 @@ class NameTiers:
     def top(self) -> int:
         return len(self.thresholds) + 1
 
-    @property
-    def _chars(self) -> str:
-        return f"_chars_{self.column}"
-
     @property
     def _similar(self) -> str:
-        return may_reach(self.column, self._chars, min(self.thresholds))
+        return may_reach(self.column, min(self.thresholds))
 
     def helpers(self) -> dict[str, str]:
-        return {self._chars: char_set(self.column)}
+        return bound_helpers(self.column, self.column)
 
-    def similarities(self) -> dict[str, str]:
+    def questions(self) -> dict[str, str]:
         return {self.column: f"{self.column}_l != {self.column}_r and {self._similar}"}
 
-    def level(self) -> str:
-        near = [(f"_sim_{self.column} >= {t}D", self.top - 1 - i) for i, t in enumerate(self.thresholds)]
-        return _tiers([(f"{self.column}_l = {self.column}_r", self.top), *near])
+    def tiers(self) -> list[Tier]:
+        return [(self.column, t, self.top - 1 - i) for i, t in enumerate(self.thresholds)]
+
+    def plain_level(self) -> str:
+        return _cases([(f"{self.column}_l = {self.column}_r", self.top)])
 
     def may_agree(self) -> str:
         return f"({self.column}_l = {self.column}_r or {self._similar})"
@@ -120,31 +130,24 @@ class EmailTiers:
         return f"_local_{self.column}"
 
     def _similar(self, text: str) -> str:
-        return may_reach(text, f"_chars_{text}", self.threshold)
+        return may_reach(text, self.threshold)
 
     def helpers(self) -> dict[str, str]:
         local = f"nullif(regexp_extract({self.column}, '^[^@]+', 0), '')"
-        return {
-            self._local: local,
-            f"_chars_{self.column}": char_set(self.column),
-            f"_chars_{self._local}": char_set(local),
-        }
+        sizes = bound_helpers(self.column, self.column) | bound_helpers(self._local, local)
+        return {self._local: local, **sizes}
 
-    def similarities(self) -> dict[str, str]:
+    def questions(self) -> dict[str, str]:
         whole, local = self.column, self._local
         differ = f"{whole}_l != {whole}_r and coalesce({local}_l != {local}_r, true)"
         return {whole: f"{differ} and {self._similar(whole)}", local: f"{differ} and {self._similar(local)}"}
 
-    def level(self) -> str:
+    def tiers(self) -> list[Tier]:
+        return [(self.column, self.threshold, 2), (self._local, self.threshold, 1)]
+
+    def plain_level(self) -> str:
         whole, local = self.column, self._local
-        return _tiers(
-            [
-                (f"{whole}_l = {whole}_r", 4),
-                (f"{local}_l = {local}_r", 3),
-                (f"_sim_{whole} >= {self.threshold}D", 2),
-                (f"_sim_{local} >= {self.threshold}D", 1),
-            ]
-        )
+        return _cases([(f"{whole}_l = {whole}_r", 4), (f"{local}_l = {local}_r", 3)])
 
     def may_agree(self) -> str:
         whole, local = self.column, self._local
@@ -177,16 +180,31 @@ def carried_columns(comparisons: Sequence[Comparison] = COMPARISONS) -> list[str
     return [name for c in comparisons for name in (c.column, *c.helpers())]
 
 
-def compare_pairs(pairs: DataFrame, comparisons: Sequence[Comparison] = COMPARISONS) -> DataFrame:
-    """Add a ``gamma_<column>`` level per comparison and drop the carried columns."""
+def ask(pairs: DataFrame, comparisons: Sequence[Comparison] = COMPARISONS) -> DataFrame:
+    """Replace the carried columns by plain levels and, where a similarity can raise one, its two texts."""
     carried = {f"{name}_{s}" for name in carried_columns(comparisons) for s in "lr"}
     kept = [c for c in pairs.columns if c not in carried]
-    asked = {text: test for c in comparisons for text, test in c.similarities().items()}
-    scores = {
-        f"_sim_{text}": jaro_winkler(F.expr(f"if({test}, {text}_l, null)"), F.expr(f"if({test}, {text}_r, null)"))
-        for text, test in asked.items()
-    }
-    levels = [
-        f"if({c.column}_l is null or {c.column}_r is null, -1, {c.level()}) as {gamma(c)}" for c in comparisons
-    ]
-    return pairs.withColumns(scores).selectExpr(*kept, *levels)
+    levels, texts = [], []
+    for c in comparisons:
+        missing = f"{c.column}_l is null or {c.column}_r is null"
+        levels.append(f"if({missing}, -1, {c.plain_level()}) as {gamma(c)}")
+        for text, test in c.questions().items():
+            texts += [f"if({test}, {text}_{s}, null) as _ask_{text}_{s}" for s in "lr"]
+    return pairs.selectExpr(*kept, *levels, *texts)
+
+
+def answer(asked: DataFrame, comparisons: Sequence[Comparison] = COMPARISONS) -> DataFrame:
+    """Final ``gamma_<column>`` levels of pairs from `ask`."""
+    texts = [text for c in comparisons for text in c.questions()]
+    kept = [c for c in asked.columns if not c.startswith(("_ask_", "gamma_"))]
+    scored = asked.withColumns({f"_sim_{t}": jaro_winkler(f"_ask_{t}_l", f"_ask_{t}_r") for t in texts})
+    levels = []
+    for c in comparisons:
+        raised = [(f"_sim_{text} >= {least}D", level) for text, least, level in c.tiers()]
+        levels.append(f"{_cases(raised, gamma(c)) if raised else gamma(c)} as {gamma(c)}")
+    return scored.selectExpr(*kept, *levels)
+
+
+def compare_pairs(pairs: DataFrame, comparisons: Sequence[Comparison] = COMPARISONS) -> DataFrame:
+    """Add a ``gamma_<column>`` level per comparison and drop the carried columns."""
+    return answer(ask(pairs, comparisons), comparisons)

@@ -40,9 +40,12 @@ def _small_star(edges: DataFrame, count: int, hot_rows: int) -> DataFrame:
     return linked.select(F.inline(pair)).filter(F.col("node") != F.col("other"))
 
 
-def _state(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(F.count("*"), F.sum(F.xxhash64("node", "other").cast("decimal(38,0)"))).first()
-    return row[0], row[1]
+def _is_settled(edges: DataFrame, count: int) -> bool:
+    """Whether the edges are stars around their least nodes: one edge per node, and no centre is a leaf."""
+    if edges.select("node").distinct().count() < count:
+        return False
+    inner = edges.join(edges.select(F.col("other").alias("centre")), F.col("node") == F.col("centre"), "left_semi")
+    return inner.isEmpty()
 
 
 def connected_components(
@@ -53,18 +56,16 @@ def connected_components(
     start = edges.filter(a != b).select(F.greatest(a, b).alias("node"), F.least(a, b).alias("other")).distinct()
     name = "edges-0"
     current = scratch.materialise(start, name)
-    state = _state(current)
+    count = current.count()
     for round_number in range(1, MAX_ROUNDS + 1):
-        if not state[0]:
+        if not count or _is_settled(current, count):
             break
-        stars = _large_star(current, state[0], hot_rows).distinct()
-        step = _small_star(stars, state[0], hot_rows).distinct()
+        stars = _large_star(current, count, hot_rows).distinct()
+        step = _small_star(stars, count, hot_rows).distinct()
         following = scratch.materialise(step, f"edges-{round_number}")
-        before, state = state, _state(following)
         scratch.discard(name)
         name, current = f"edges-{round_number}", following
-        if state == before:
-            break
+        count = current.count()
     else:
         raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
     roots = current.select(F.col("other").alias("node")).distinct()

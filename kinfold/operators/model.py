@@ -30,8 +30,9 @@ from kinfold.operators.comparison import (
     COMPARISONS,
     Comparison,
     ExactOnly,
+    answer,
+    ask,
     carried_columns,
-    compare_pairs,
     gamma,
     with_helpers,
 )
@@ -133,8 +134,9 @@ def _agreeing_values(values: DataFrame, comparison: Comparison, chunks: int) ->
 
     pairs = side("l").join(side("r").hint("merge"), "tile")
     pairs = pairs.filter(f"{comparison.column}_l < {comparison.column}_r").filter(comparison.may_agree())
-    graded = compare_pairs(pairs, [comparison])
-    return graded.groupBy(F.col(gamma(comparison)).alias("level")).agg(F.expr("sum(n_l * n_r)").alias("n"))
+    asked = ask(pairs.withColumn("n", F.expr("n_l * n_r")).drop("n_l", "n_r"), [comparison])
+    graded = answer(asked, [comparison])
+    return graded.groupBy(F.col(gamma(comparison)).alias("level")).agg(F.sum("n").alias("n"))
 
 
 def random_pair_levels(
@@ -208,8 +210,13 @@ def training_pattern_counts(
     gammas = [gamma(c) for c in comparisons]
     carry = [*carried_columns(comparisons), "copies"]
     pairs = candidate_pairs(with_helpers(profiles, comparisons), rules, id_column, carry)
-    vectors = compare_pairs(pairs, comparisons)
-    among = vectors.select(*gammas, (F.col("copies_l") * F.col("copies_r")).alias("n"))
+    asked = ask(pairs, comparisons)
+    asked = asked.withColumn("n", F.col("copies_l") * F.col("copies_r"))
+    asked = asked.drop("copies_l", "copies_r", f"{id_column}_l", f"{id_column}_r", "match_key")
+    # Pairs with the same levels and the same open questions merge before Python sees them; those without
+    # a question, nearly all of a large block, come down to one row per pattern.
+    merged = asked.groupBy(*[c for c in asked.columns if c != "n"]).agg(F.sum("n").alias("n"))
+    among = answer(merged, comparisons).select(*gammas, "n")
     copied = profiles.filter("copies > 1").filter(in_some_block(rules))
     within = copied.select(
         *copies_pattern(comparisons), F.floor(F.col("copies") * (F.col("copies") - 1) / 2).alias("n")

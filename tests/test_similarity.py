@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from kinfold.functions.similarity import jaro_winkler_arrow, may_reach
+from kinfold.functions.similarity import bound_helpers, jaro_winkler_arrow, may_reach
 from kinfold.operators.comparison import COMPARISONS, compare_pairs, with_helpers
 
 
@@ -61,15 +61,13 @@ def test_null_stays_null_and_slices_work():
 
 @pytest.mark.parametrize("threshold", [0.7, 0.88, 0.92])
 def test_bound_never_rules_out_a_reachable_pair(spark, threshold):
-    from kinfold.functions.similarity import char_set
-
     left, right = _texts(11, 4_000)
     left += ["日本語", "ﬀab"]
     right += ["日本誤", "ab"]
     score = jaro_winkler_arrow(pa.array(left), pa.array(right)).to_pylist()
     df = spark.createDataFrame(list(zip(left, right, score, strict=True)), "t_l string, t_r string, s double")
-    df = df.selectExpr("*", f"{char_set('t_l')} as c_l", f"{char_set('t_r')} as c_r")
-    tested = df.select("s", F.expr(may_reach("t", "c", threshold)).alias("open"))
+    helpers = [f"{sql} as {name}_{s}" for s in "lr" for name, sql in bound_helpers("t", f"t_{s}").items()]
+    tested = df.selectExpr("*", *helpers).select("s", F.expr(may_reach("t", threshold)).alias("open"))
     assert tested.filter(f"s >= {threshold} and not open").count() == 0
     assert tested.filter("not open").count() > 0
 
