@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from kinfold.schema import RECORD_ID
 
-TILE_ROWS = 4_000
+TILE_ROWS = 1_000
 _PAIRS_PER_TASK = 1_000_000
 _MAX_TASKS = 100_000
 _BROADCAST_BLOCKS = 200_000  # rows of (rule, 64-bit key, chunks), about 5 MB
@@ -168,14 +168,12 @@ def _pairs(n: Column) -> Column:
     return F.floor(n * (n - 1) / 2)
 
 
-def rule_counts(units: DataFrame, rules: Sequence[Rule] = CANDIDATE_RULES, weight: str | None = None) -> DataFrame:
-    """Pairs credited to each rule, without listing a pair: ``match_key``, ``pairs``.
+def _signed_sets(rules: Sequence[Rule], place: dict[str, str]) -> dict[tuple[str, ...], dict[int, int]]:
+    """Inclusion-exclusion: for each set of key columns, the sign with which each rule counts its pairs.
 
-    A pair counts for rule i when it agrees on i and on no earlier rule. With A(S) the pairs that agree
-    on every rule of S, that is the sum of (-1)^|S| A(S + i) over all sets S of earlier rules, and A of a
-    key combination is the sum of n (n - 1) / 2 over its groups.
+    A pair counts for rule i when it agrees on i and on no earlier rule. With A(S) the pairs that agree on
+    every rule of S, that is the sum of (-1)^|S| A(S + i) over all sets S of earlier rules.
     """
-    units, place = _with_keys(units, rules)
     signs: dict[tuple[str, ...], dict[int, int]] = {}
     for i, rule in enumerate(rules):
         for size in range(i + 1):
@@ -183,27 +181,40 @@ def rule_counts(units: DataFrame, rules: Sequence[Rule] = CANDIDATE_RULES, weigh
                 columns = tuple(sorted({place[k] for r in (*earlier, rule) for k in r.keys}))
                 by_rule = signs.setdefault(columns, {})
                 by_rule[i] = by_rule.get(i, 0) + (-1) ** size
-    columns = sorted(set(place.values()))
+    return signs
+
+
+def _pairs_per_set(units: DataFrame, sets: Sequence[tuple[str, ...]], columns: list[str], weight: str | None) -> DataFrame:
+    """Pairs that agree on all columns of a set, from its group sizes: ``combo`` (number of the set), ``pairs``."""
     size = F.lit(1) if weight is None else F.col(weight)
-    # Records that agree on all keys collapse before they are expanded to the combinations.
+    # Records that agree on all keys collapse before they are expanded to the sets.
     groups = units.groupBy(*columns).agg(F.sum(size).alias("n"))
-    sets = [s for s, by_rule in signs.items() if any(by_rule.values())]
     combos = []  # as SQL text: hundreds of Column objects take longer to build than to run
     for number, members in enumerate(sets):
         present = " and ".join(f"{c} is not null" for c in members)
-        kept = ", ".join(f"{c if c in members else 'null'} as {c}" for c in columns)
-        combos.append(f"if({present}, struct({number} as combo, {kept}), null)")
+        key = ", ".join(members)
+        # Two hashes stand for the values: 128 bits, so that short rows of fixed width are shuffled.
+        hashes = f"xxhash64({number}, {key}) as high, xxhash64({number}, 1, {key}) as low"
+        combos.append(f"if({present}, struct({number} as combo, {hashes}), null)")
     sizes = (
         groups.selectExpr("n", f"inline(array_compact(array({', '.join(combos)})))")
-        .groupBy("combo", *columns)
+        .groupBy("combo", "high", "low")
         .agg(F.sum("n").alias("n"))
     )
-    per_combo = sizes.groupBy("combo").agg(F.sum(_pairs(F.col("n"))).alias("pairs"))
+    return sizes.filter("n > 1").groupBy("combo").agg(F.sum(_pairs(F.col("n"))).alias("pairs"))
+
+
+def rule_counts(units: DataFrame, rules: Sequence[Rule] = CANDIDATE_RULES, weight: str | None = None) -> DataFrame:
+    """Pairs credited to each rule, without listing a pair: ``match_key``, ``pairs``."""
+    units, place = _with_keys(units, rules)
+    signs = _signed_sets(rules, place)
+    sets = [s for s, by_rule in signs.items() if any(by_rule.values())]
+    per_set = _pairs_per_set(units, sets, sorted(set(place.values())), weight)
     credit = [(n, i, s) for n, members in enumerate(sets) for i, s in signs[members].items() if s]
     spark = units.sparkSession
     credits = spark.createDataFrame(credit, "combo int, match_key int, sign int")
     every = spark.createDataFrame([(i,) for i in range(len(rules))], "match_key int")
-    total = per_combo.join(F.broadcast(credits), "combo").groupBy("match_key")
+    total = per_set.join(F.broadcast(credits), "combo").groupBy("match_key")  # one row per set and rule
     total = total.agg(F.sum(F.col("pairs") * F.col("sign")).alias("pairs"))
     return every.join(total, "match_key", "left").select(
         "match_key", F.coalesce(F.col("pairs").cast("bigint"), F.lit(0).cast("bigint")).alias("pairs")
@@ -212,7 +223,15 @@ def rule_counts(units: DataFrame, rules: Sequence[Rule] = CANDIDATE_RULES, weigh
 
 def pair_count(units: DataFrame, rules: Sequence[Rule] = CANDIDATE_RULES, weight: str | None = None) -> DataFrame:
     """Size of the candidate set, without listing a pair: one row ``pairs``."""
-    return rule_counts(units, rules, weight).agg(F.sum("pairs").alias("pairs"))
+    units, place = _with_keys(units, rules)
+    # Sets cancel out here, as those of a rule that is stricter than another one.
+    total = {s: sum(by_rule.values()) for s, by_rule in _signed_sets(rules, place).items()}
+    sets = [s for s, sign in total.items() if sign]
+    columns = sorted({c for s in sets for c in s})
+    per_set = _pairs_per_set(units, sets, columns, weight)
+    signed = "case combo " + " ".join(f"when {n} then {total[s]}" for n, s in enumerate(sets)) + " end"
+    counted = per_set.agg(F.sum(F.col("pairs") * F.expr(signed)).alias("pairs"))
+    return counted.select(F.coalesce(F.col("pairs").cast("bigint"), F.lit(0).cast("bigint")).alias("pairs"))
 
 
 def all_possible_pairs(records: int) -> int:

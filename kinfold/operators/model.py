@@ -21,7 +21,6 @@ from kinfold.operators.blocking import (
     DETERMINISTIC_RULES,
     TRAINING_RULES,
     Rule,
-    all_possible_pairs,
     candidate_pairs,
     pair_count,
     tile,
@@ -322,7 +321,7 @@ def score_pairs(vectors: DataFrame, model: Model, comparisons: Sequence[Comparis
     return scored.withColumn("match_probability", F.expr("1D / (1D + pow(2D, -match_weight))"))
 
 
-def may_reach(model: Model, threshold: float, comparisons: Sequence[Comparison] = COMPARISONS) -> Column:
+def can_still_match(model: Model, threshold: float, comparisons: Sequence[Comparison] = COMPARISONS) -> Column:
     """Whether an ungraded pair can still score ``threshold``.
 
     Takes the best level that the cheap bounds leave open, so hopeless pairs are dropped before their

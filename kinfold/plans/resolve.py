@@ -32,7 +32,7 @@ from kinfold.operators.model import (
     copies_pattern,
     fit_model,
     in_some_block,
-    may_reach,
+    can_still_match,
     pairs_above_threshold,
     prior_probability,
     random_pair_levels,
@@ -109,7 +109,7 @@ def matching_profiles(
     """Pairs of different profiles at or above the threshold, with the record pairs they stand for."""
     carry = [*carried_columns(comparisons), "copies"]
     pairs = candidate_pairs(with_helpers(profiles, comparisons), rules, carry=carry)
-    hopeful = pairs.filter(may_reach(model, threshold, comparisons))
+    hopeful = pairs.filter(can_still_match(model, threshold, comparisons))
     scored = score_pairs(compare_pairs(hopeful, comparisons), model, comparisons)
     record_pairs = (F.col("copies_l") * F.col("copies_r")).alias("record_pairs")
     return pairs_above_threshold(scored, threshold).select(f"{RECORD_ID}_l", f"{RECORD_ID}_r", record_pairs)

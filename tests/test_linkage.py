@@ -16,7 +16,7 @@ from kinfold.operators.model import (
     Level,
     Model,
     fit_model,
-    may_reach,
+    can_still_match,
     random_pair_levels,
     sample_records,
     sample_size,
@@ -119,7 +119,7 @@ def test_score_bound_keeps_every_match(sample, threshold):
     columns = ["record_id_l", "record_id_r"]
     assert rows(got.select(*columns)) == rows(want.select(*columns))
     pairs = candidate_pairs(with_helpers(view), carry=carried_columns())
-    assert pairs.filter(may_reach(model, 0.9)).count() < pairs.count()
+    assert pairs.filter(can_still_match(model, 0.9)).count() < pairs.count()
 
 
 def test_random_pair_levels_equal_all_pairs(spark, sample):
