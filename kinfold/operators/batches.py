@@ -37,8 +37,9 @@ def record_batches(
         raise ValueError("batch_size must be at least 1")
     spark = records.sparkSession
     scratch = scratch or Scratch(spark, "batches")
-    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = records.repartitionByRange(ranges, id_column).sortWithinPartitions(id_column)
+    # Without a number Spark merges small neighbouring ranges, which keeps their order.
+    ranged = records.repartitionByRange(*([ranges] if ranges else []), id_column)
+    ordered = ranged.sortWithinPartitions(id_column)
     ordered = ordered.withColumns(
         {
             "_range": F.spark_partition_id(),

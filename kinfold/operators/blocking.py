@@ -17,12 +17,13 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinfold.schema import RECORD_ID
 
 TILE_ROWS = 1_000
+_SMALL_TASK = 100_000  # rows or pairs below which a task is not worth its start
 _PAIRS_PER_TASK = 1_000_000
 _MAX_TASKS = 100_000
 _BROADCAST_BLOCKS = 200_000  # rows of (rule, 64-bit key, chunks), about 5 MB
@@ -82,14 +83,22 @@ def hot_blocks(units: DataFrame, rules: Sequence[Rule], tile_rows: int = TILE_RO
     return large.select("rule", "block", F.ceil(F.col("n") / tile_rows).cast("int").alias("chunks"))
 
 
+def join_tasks(spark: SparkSession, pairs: float, rows: float) -> int:
+    """Shuffle partitions of a pair join: the configured number, fewer for little work, more for many pairs."""
+    wanted = math.ceil(max(pairs, rows) / _SMALL_TASK)
+    usual = min(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), max(spark.sparkContext.defaultParallelism, wanted)
+    )
+    return max(usual, min(math.ceil(pairs / _PAIRS_PER_TASK), _MAX_TASKS))
+
+
 def _plan_join(units: DataFrame, rules: Sequence[Rule], tile_rows: int) -> tuple[DataFrame | None, int]:
     """Chunks of the hot blocks, if any, and the number of join tasks by the pairs they have to list."""
     n = F.col("n").cast("double")
     sizes = _block_sizes(units, rules)
-    found = sizes.agg(F.sum(n * (n - 1) / 2), F.count_if(F.col("n") > tile_rows)).first()
+    found = sizes.agg(F.sum(n * (n - 1) / 2), F.count_if(F.col("n") > tile_rows), F.sum(n)).first()
     spark = units.sparkSession
-    by_pairs = min(math.ceil((found[0] or 0) / _PAIRS_PER_TASK), _MAX_TASKS)
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), by_pairs)
+    tasks = join_tasks(spark, pairs=found[0] or 0, rows=found[2] or 0)
     if not found[1]:
         return None, tasks
     hot = hot_blocks(units, rules, tile_rows)

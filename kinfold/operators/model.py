@@ -22,6 +22,7 @@ from kinfold.operators.blocking import (
     TRAINING_RULES,
     Rule,
     candidate_pairs,
+    join_tasks,
     pair_count,
     tile,
 )
@@ -122,7 +123,8 @@ def sample_records(units: DataFrame, total: int, max_pairs: int, seed: int, id_c
 
 def _agreeing_values(values: DataFrame, comparison: Comparison, chunks: int) -> DataFrame:
     """Record pairs per level over the pairs of different values that may agree."""
-    tasks = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = chunks * _SAMPLE_CHUNK
+    tasks = join_tasks(values.sparkSession, pairs=most * most / 2, rows=most * chunks)
     carried = carried_columns([comparison])
 
     def side(suffix: str) -> DataFrame:
