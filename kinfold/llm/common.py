@@ -26,6 +26,9 @@ _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
+#: Bytes that are not part of a run of ASCII letters, digits and longer UTF-8 characters.
+NOT_LETTERS = np.ones(256, bool)
+NOT_LETTERS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -137,10 +140,10 @@ def map_batches(df: DataFrame, make: Callable[[pa.RecordBatch], dict | None], sc
 class Words:
     """Words of a batch: ``starts`` and ``ends`` in its bytes, and the text ``doc`` each is in."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False, separators: np.ndarray = _SEPARATOR):
         self.data = _LOWER[data] if lower else data
         self.offsets = offsets
-        inside = ~_SEPARATOR[data]
+        inside = ~separators[data]
         first = inside.copy()
         if len(data):
             edge = offsets[1:-1]
@@ -163,20 +166,43 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word's bytes and length."""
-        lengths = self.ends - self.starts
-        if not len(lengths):
-            return np.zeros(0, np.uint64)
-        at = np.flatnonzero(self.inside)
-        heads = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-        place = np.arange(len(at)) - np.repeat(heads, lengths)
-        terms = _BYTE_CODE[self.data[at]] * powers(int(lengths.max()))[place]
-        return mix(np.add.reduceat(terms, heads) + lengths.astype(np.uint64))
-
-
-def count_bits_set(mask: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """How many entries of ``mask`` hold in each text."""
-    total = np.concatenate([[0], np.cumsum(mask, dtype=np.int64)])
-    return total[offsets[1:]] - total[offsets[:-1]]
+        return hash_spans(self.data, self.starts, self.ends - self.starts)
+
+    def prefix_hashes(self, lengths: tuple[int, ...]) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Hashes of the words, and of their first ``n`` bytes for each of ``lengths``; a shorter word's own hash."""
+        size = self.ends - self.starts
+        if not len(size):
+            return np.zeros(0, np.uint64), [np.zeros(0, np.uint64)] * len(lengths)
+        terms, heads = _span_terms(self.data, self.starts, size)
+        whole = mix(np.add.reduceat(terms, heads) + size.astype(np.uint64))
+        found, total, done = [], np.zeros(len(size), np.uint64), 0
+        for n in sorted(lengths):
+            for i in range(done, n):
+                total = total + terms[np.minimum(heads + i, len(terms) - 1)]
+            done = n
+            found.append(np.where(size > n, mix(total + np.uint64(n)), whole))
+        return whole, found
+
+
+def _span_terms(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The summands of the spans' hashes, and where each span's begin."""
+    heads = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+    place = np.arange(int(lengths.sum())) - np.repeat(heads, lengths)
+    return _BYTE_CODE[data[np.repeat(starts, lengths) + place]] * powers(int(lengths.max()))[place], heads
+
+
+def hash_spans(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes and length of each span; spans are not empty."""
+    if not len(lengths):
+        return np.zeros(0, np.uint64)
+    terms, heads = _span_terms(data, starts, lengths)
+    return mix(np.add.reduceat(terms, heads) + lengths.astype(np.uint64))
+
+
+def total_in(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Sum of ``values`` between each two ``bounds``."""
+    total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
+    return total[bounds[1:]] - total[bounds[:-1]]
 
 
 def grams(hashes: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
