@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kinfold.llm.common import fold
 from kinfold.llm.nearest import nearest
+from kinfold.llm.rules import quality_rules
 from kinfold.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,8 +29,14 @@ def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def _rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged, _ = quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 QUERIES: dict[str, Query] = {
     "op6_toxicity": _toxicity,
+    "op8_quality_rules": _rules,
     "op10_exact_topk": _nearest,
 }
 
