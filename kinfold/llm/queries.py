@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kinfold.llm.common import fold
 from kinfold.llm.nearest import nearest
+from kinfold.llm.quality import quality
 from kinfold.llm.rules import quality_rules
 from kinfold.llm.toxicity import toxicity
 
@@ -23,6 +24,12 @@ def _nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality(docs, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity(docs, table(spark, sf_dir, "labels"))
@@ -35,6 +42,7 @@ def _rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op4_quality": _quality,
     "op6_toxicity": _toxicity,
     "op8_quality_rules": _rules,
     "op10_exact_topk": _nearest,
