@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinfold.llm.common import fold
+from kinfold.llm.language import identify
 from kinfold.llm.nearest import nearest
 from kinfold.llm.quality import quality
 from kinfold.llm.rules import quality_rules
@@ -30,6 +31,11 @@ def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def _language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return judged.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
 def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity(docs, table(spark, sf_dir, "labels"))
@@ -44,6 +50,7 @@ def _rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op4_quality": _quality,
     "op6_toxicity": _toxicity,
+    "op7_language_id": _language,
     "op8_quality_rules": _rules,
     "op10_exact_topk": _nearest,
 }
