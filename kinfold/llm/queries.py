@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 from kinfold.llm.common import fold
 from kinfold.llm.language import identify
 from kinfold.llm.nearest import nearest
+from kinfold.llm.packing import pack
 from kinfold.llm.quality import quality
 from kinfold.llm.rules import quality_rules
 from kinfold.llm.toxicity import toxicity
 
+#: Vocabulary file of the packed sequences.
+VOCABULARY = "byte_bpe_50k.json"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -36,6 +40,16 @@ def _language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def vocabulary(name: str = VOCABULARY) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def _packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), vocabulary()).drop("ids")
+
+
 def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity(docs, table(spark, sf_dir, "labels"))
@@ -48,6 +62,7 @@ def _rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_packing": _packing,
     "op4_quality": _quality,
     "op6_toxicity": _toxicity,
     "op7_language_id": _language,
