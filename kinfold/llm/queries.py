@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kinfold.llm.common import fold
 from kinfold.llm.language import identify
+from kinfold.llm.mixing import mix, word_count
 from kinfold.llm.nearest import nearest
 from kinfold.llm.packing import pack
 from kinfold.llm.quality import quality
@@ -40,6 +41,16 @@ def _language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+#: No source repeats more than this many times as often as another.
+MAX_REPEATS = 2.0
+
+
+def _mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    counted = docs.select("doc_id", "source", word_count().alias("words"))
+    return mix(counted, F.col("words"), max_repeats=MAX_REPEATS).drop("words")
+
+
 def vocabulary(name: str = VOCABULARY) -> str:
     import public_tokenizers
 
@@ -62,6 +73,7 @@ def _rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_mixing": _mixing,
     "op3_packing": _packing,
     "op4_quality": _quality,
     "op6_toxicity": _toxicity,
@@ -87,6 +99,43 @@ with valid as (
 select query_id, rank::int as rank, vec_id, score from ranked where rank <= 20
 """
 
+# The exponent has a closed form here: repeats differ most between the largest and the smallest share.
+_MIXING = r"""
+with slim as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as n from documents
+), sources as (
+  select source, sum(n)::bigint as own, sum(n) / (select sum(n) from slim)::double as share from slim group by source
+), exponent as (
+  select case when max(share) / min(share) <= 2 then 0.0 else 1 - ln(2.0) / ln(max(share) / min(share)) end as x
+  from sources where own > 0
+), scaled as (
+  select source, own, pow(share, x) as weight from sources, exponent where own > 0
+), budget as (
+  select max(own / weight) as scale, sum(weight) as z from scaled
+), plan as (
+  select source, own, round(weight * scale)::bigint as wanted, greatest(1, ceil(round(scale * z) / 100000))::bigint as blocks
+  from scaled, budget
+  union all
+  select source, own, 0, 1 from sources where own = 0
+), epochs as (
+  select *, case when own > 0 then wanted // own else 1 end as whole,
+    case when own > 0 then wanted % own else 0 end as rest
+  from plan
+), copies as (
+  select s.doc_id, s.source, s.n, p.* exclude (source), unnest(range(whole + (rest > 0)::bigint)) as epoch
+  from slim s join epochs p on s.source is not distinct from p.source
+), placed as (
+  select *, coalesce(sum(n) over (partition by source, epoch
+      order by md5(concat_ws('|', 'mix', coalesce(doc_id::varchar, ''), epoch::varchar)), doc_id::varchar, n
+      rows between unbounded preceding and 1 preceding), 0)::bigint as start
+  from copies
+)
+select doc_id, source, epoch::int as epoch, n::bigint as n_tokens, start,
+  case when wanted > 0 then least(blocks - 1, ((epoch * own + start)::hugeint * blocks) // wanted) else 0 end::bigint as block
+from placed where epoch < whole or start < rest
+"""
+
 ORACLES: dict[str, str] = {
+    "op1_mixing": _MIXING,
     "op10_exact_topk": _NEAREST,
 }
