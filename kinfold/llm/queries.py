@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinfold.llm.common import fold
+from kinfold.llm.jaccard import near_duplicates
 from kinfold.llm.language import identify
 from kinfold.llm.mixing import mix, word_count
 from kinfold.llm.nearest import nearest
@@ -61,6 +62,11 @@ def _packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary()).drop("ids")
 
 
+def _jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"), "0.9", 3)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity(docs, table(spark, sf_dir, "labels"))
@@ -76,6 +82,7 @@ QUERIES: dict[str, Query] = {
     "op1_mixing": _mixing,
     "op3_packing": _packing,
     "op4_quality": _quality,
+    "op5_ngram_jaccard": _jaccard,
     "op6_toxicity": _toxicity,
     "op7_language_id": _language,
     "op8_quality_rules": _rules,
