@@ -28,12 +28,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.llm.common import Words, flat, grams, map_batches, mix, save, workspace
+from kinfold.llm.common import Words, flat, fresh_name, grams, map_batches, mix, save, workspace
 from kinfold.operators.components import connected_components
 from kinfold.scratch import Scratch
 
 #: Upper size of a size band over its lower size.
-BAND = 1.25
+BAND = 1.5
 
 
 class Bands:
@@ -181,8 +181,17 @@ class _Join:
         return save(self.scratch, found.select("node", F.col("component").alias("class")), name)
 
 
-def near_duplicates(docs: DataFrame, similarity: str = "0.8", shingle: int = 5) -> DataFrame:
-    """``row_id, doc_id, n_shingles, component_id, is_first`` of every row.
+def one_of_each(docs: DataFrame, similarity: str = "0.8", shingle: int = 5) -> DataFrame:
+    """``docs`` with the first row of each class of near duplicates."""
+    row = fresh_name(docs, "dedup_row")
+    rows = save(workspace(docs.sparkSession, "dedup"), docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    named = rows.select(F.col(row).alias("row_id"), "doc_id", "text")
+    first = near_duplicates(named, similarity, shingle, numbered=True).filter("is_first").select(F.col("row_id").alias(row))
+    return rows.join(first, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def near_duplicates(docs: DataFrame, similarity: str = "0.8", shingle: int = 5, numbered: bool = False) -> DataFrame:
+    """``row_id, doc_id, n_shingles, component_id, is_first`` of every row; ``numbered`` docs bring a stable ``row_id``.
 
     ``similarity`` is an exact decimal. ``is_first`` marks the one row that stands for its class: the least id, of equal
     ids the first row.
@@ -192,14 +201,16 @@ def near_duplicates(docs: DataFrame, similarity: str = "0.8", shingle: int = 5)
         raise ValueError("similarity must be above 0 and at most 1")
     scratch = workspace(docs.sparkSession, "jaccard")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    texts = save(scratch, docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "text"), "texts")
+    if numbered:
+        texts = docs.select("row_id", "doc_id", "text")
+    else:
+        texts = save(scratch, docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "text"), "texts")
     ddl = f"row_id long, doc_id {kind}, size long, digest binary, tiles array<struct<band:int,bits:array<bigint>>>"
     signed = save(scratch, map_batches(texts, _signatures(t, shingle), ddl), "signatures")
 
     copies = signed.filter("size > 0").groupBy("digest").agg(F.min("row_id").alias("node"), F.count("*").alias("copies"))
     copies = save(scratch, copies, "copies")
     nodes = save(scratch, signed.join(copies.select(F.col("node").alias("row_id")), "row_id", "left_semi").select(F.col("row_id").alias("node"), "size", "tiles"), "nodes")
-    # A set in which similar sets cannot differ has no partner but its copies.
     tile = nodes.select("node", F.explode("tiles").alias("tile")).select("node", "tile.band", F.posexplode("tile.bits").alias("place", "value"))
     tiles = tile.select("node", "band", F.xxhash64("band", "place", "value").alias("key"))
     met = tiles.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most")

@@ -15,6 +15,8 @@ from kinfold.llm.nearest import nearest
 from kinfold.llm.packing import pack
 from kinfold.llm.quality import quality
 from kinfold.llm.rules import quality_rules
+from kinfold.llm.substrings import remove_repeated_words
+from kinfold.llm.suffixes import remove_repeats
 from kinfold.llm.toxicity import toxicity
 
 #: Vocabulary file of the packed sequences.
@@ -67,6 +69,16 @@ def _jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def _suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def _substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeated_words(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity(docs, table(spark, sf_dir, "labels"))
@@ -80,12 +92,14 @@ def _rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_mixing": _mixing,
+    "op2_suffix_dedup": _suffixes,
     "op3_packing": _packing,
     "op4_quality": _quality,
     "op5_ngram_jaccard": _jaccard,
     "op6_toxicity": _toxicity,
     "op7_language_id": _language,
     "op8_quality_rules": _rules,
+    "op9_substring_dedup": _substrings,
     "op10_exact_topk": _nearest,
 }
 
