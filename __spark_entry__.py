@@ -63,6 +63,14 @@ from kinfold.scratch import Scratch  # noqa: E402
 from kinfold.sources.files import as_text, duplicate_ids, to_records  # noqa: E402
 from kinfold.sources.generator import generate_from, generation_counts, variation_tally  # noqa: E402
 
+try:  # training-data operators, where they are installed
+    import corpus_pipeline  # noqa: E402
+    from kinfold.llm import queries as llm  # noqa: E402
+except ModuleNotFoundError as missing:
+    if (missing.name or "").split(".")[0] != "corpus_pipeline" and not (missing.name or "").startswith("kinfold.llm"):
+        raise
+    llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -332,6 +340,8 @@ def queries() -> dict[str, Query]:
     }
     for name, rule in rules.items():
         found[f"block_{name}"] = lambda s, d, rule=rule: block_pairs(_view(s, d), rule)
+    if llm is not None:
+        found |= {**llm.QUERIES, "pipeline": corpus_pipeline.run}
     return found
 
 
@@ -622,4 +632,8 @@ def oracle_sql() -> dict[str, str]:
             select=f"select l.record_id as record_id_l, r.record_id as record_id_r from view_ l join view_ r on {rule}"
             " and l.record_id < r.record_id",
         )
+    if llm is not None:
+        found |= llm.ORACLES
+        if corpus_pipeline.ORACLE_SQL is not None:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
     return found
