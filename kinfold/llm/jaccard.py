@@ -3,14 +3,15 @@
 A document's set holds the 64-bit hashes of its distinct shingles. Sets are hashed to bitmaps of 64-bit words, with as
 many words as two similar sets of that size can differ in elements, and one more. Two sets that reach the similarity
 therefore agree in at least one whole word, and a tile is a band of sizes, a word's number and its value: only sets
-in the same tile can be similar, and no pair is lost. A set near the lower edge of its band also enters the band
+in the same tile can be similar, and no pair is lost. A set near the lower edge of its band also enters the bands
 below. Within a tile sets are not paired all with all. Each set is compared with the least of one of its tiles, then
 with the least of its other tiles while their classes differ, then with sets of another class in the same tile.
-A comparison first counts the bits that either bitmap lacks, which bounds the overlap from above, and then intersects
-the sorted sets.
+Before texts are read again, the bits in which the parity bitmaps of two sets differ are counted: each is an element
+that one of them lacks, which bounds the overlap from above. What passes is decided by intersecting the sorted sets.
 
-Equal sets are one class from the start, so copies cost one row. A tile held by a third of all sets is only ever summed
-or joined by its key, where Spark splits large partitions.
+Tiles are grouped by packed keys: a batch of texts sends one row for each part of the key space, with one entry for
+each key however many of its texts hold it, so neither copies nor a tile that a third of all sets share fill a task.
+Equal sets are one class from the start.
 
 Defined cases: a text without words, or null, has the empty set and is linked with nothing; with fewer words than a
 shingle the whole sequence is the only shingle; repeated rows are copies; documents with one id are told apart, and a
@@ -23,17 +24,24 @@ import math
 from fractions import Fraction
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.llm.common import Words, flat, fresh_name, grams, map_batches, mix, save, workspace
+from kinfold.llm.common import Words, flat, fresh_name, grams, map_batches, mix, partitions_of, save, workspace
 from kinfold.operators.components import connected_components
 from kinfold.scratch import Scratch
 
 #: Upper size of a size band over its lower size.
 BAND = 1.5
+#: Words of a parity bitmap.
+PARITY = 8
+#: Bytes of a tile's key; keys that meet by chance only cost a comparison.
+KEY_BYTES = 6
+#: Keys of one part of the key space, about.
+PART_KEYS = 2_000_000
 
 
 class Bands:
@@ -93,45 +101,105 @@ def shingle_sets(column: pa.Array, n: int) -> list[np.ndarray]:
     return out
 
 
-def _signatures(similarity: Fraction, n: int):
+def parity(elements: np.ndarray) -> np.ndarray:
+    """``8 * 64`` bits; each tells whether an odd number of elements falls on it."""
+    times = np.bincount((elements >> np.uint64(6) & np.uint64(64 * PARITY - 1)).astype(np.int64), minlength=64 * PARITY)
+    return np.packbits((times & 1).astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _signatures(n: int):
     def make(batch: pa.RecordBatch) -> dict:
-        bands = Bands(similarity)
         sets = shingle_sets(batch.column("text"), n)
-        tiles = []
-        for s in sets:
-            own = [(b, bitmap(s, bands.words(b))) for b in bands.of(len(s))] if len(s) else []
-            tiles.append([{"band": b, "bits": w.view(np.int64).tolist()} for b, w in own])
+        bits = np.stack([parity(s) for s in sets])
         return {
             "row_id": batch.column("row_id"), "doc_id": batch.column("doc_id"), "size": np.array([len(s) for s in sets], np.int64),
-            "digest": [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], "tiles": tiles,
-        }
+            "digest": [_digest(s) if len(s) else None for s in sets],
+        } | {f"p{i}": bits[:, i] for i in range(PARITY)}
 
     return make
 
 
-def overlap_bound(size_a: int, a: np.ndarray, size_b: int, b: np.ndarray) -> int:
-    """At least as many as the sets share: every bit that one lacks is an element it lacks."""
-    return min(size_a - int(np.bitwise_count(a & ~b).sum()), size_b - int(np.bitwise_count(b & ~a).sum()))
+def _digest(elements: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(elements.tobytes())
 
 
-def similar(shared: int, size_a: int, size_b: int, t: Fraction) -> bool:
-    return shared * t.denominator >= t.numerator * (size_a + size_b - shared)
+def _key_bytes(keys: np.ndarray) -> bytes:
+    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]).tobytes()
 
 
-def _bounded(t: Fraction):
-    """Pairs whose bitmaps leave open that they are similar."""
+def _keys_of(raw: bytes) -> np.ndarray:
+    wide = np.zeros((len(raw) // KEY_BYTES, 8), np.uint8)
+    wide[:, :KEY_BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, KEY_BYTES)
+    return wide.view("<u8").reshape(-1)
 
-    def run(batches):
-        for batch in batches:
-            size_a, size_b = batch.column("size_a").to_pylist(), batch.column("size_b").to_pylist()
-            bits_a, bits_b = batch.column("bits_a"), batch.column("bits_b")
-            keep = [
-                similar(overlap_bound(m, bits_a[i].values.to_numpy().view(np.uint64), n, bits_b[i].values.to_numpy().view(np.uint64)), m, n, t)
-                for i, (m, n) in enumerate(zip(size_a, size_b, strict=True))
-            ]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return run
+def _tiles(t: Fraction, n: int, parts: int):
+    """One row per batch and part of the key space; sets of one batch with equal keys share an entry.
+
+    Rows with a ``part`` below 0 list the sets of a batch that share a tile.
+    """
+
+    def make(batch: pa.RecordBatch) -> dict | None:
+        bands = Bands(t)
+        ids = batch.column("row_id").to_numpy()
+        seen, keys, owner = set(), [], []
+        for i, s in enumerate(shingle_sets(batch.column("text"), n)):
+            digest = _digest(s)
+            if len(s) and digest not in seen:
+                seen.add(digest)
+                for band in bands.of(len(s)):
+                    words = bitmap(s, bands.words(band))
+                    place = np.arange(len(words), dtype=np.uint64) + np.uint64(band << 40)
+                    keys.append(mix(words + mix(place)))
+                    owner.append(np.full(len(words), i))
+        if not keys:
+            return None
+        key = np.concatenate(keys) >> np.uint64(64 - 8 * KEY_BYTES)
+        of = np.concatenate(owner)
+        order = np.lexsort((ids[of], key))
+        key, of = key[order], of[order]
+        head = np.concatenate([[True], key[1:] != key[:-1]])
+        run = np.cumsum(head) - 1
+        shared = np.bincount(run)[run] > 1
+        part = (key[head] * np.uint64(parts) >> np.uint64(8 * KEY_BYTES)).astype(np.int64) if parts < 1 << 15 else key[head].astype(np.int64) % parts
+        turn = np.argsort(part, kind="stable")
+        part, sent, by = part[turn], key[head][turn], of[head][turn]
+        cut = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]]))
+        rows = {k: [] for k in ("part", "keys", "nodes", "of")}
+        for x, y in zip(cut[:-1], cut[1:], strict=True):
+            nodes, index = np.unique(ids[by[x:y]], return_inverse=True)
+            for k, v in zip(rows, (int(part[x]), _key_bytes(sent[x:y]), nodes.astype("<i8").tobytes(), index.astype("<u2").tobytes()), strict=True):
+                rows[k].append(v)
+        if shared.any():
+            for k, v in zip(rows, (-1 - int(ids[0]) % parts, _key_bytes(key[shared]), ids[of[shared]].astype("<i8").tobytes(), b""), strict=True):
+                rows[k].append(v)
+        return rows
+
+    return make
+
+
+def _meet(rows: pd.DataFrame) -> pd.DataFrame:
+    """Entries of one part whose key several batches hold; rows below part 0 hold members as they are."""
+    key = np.concatenate([_keys_of(x) for x in rows["keys"]])
+    if rows["part"].iloc[0] < 0:
+        node = np.frombuffer(b"".join(rows["nodes"]), "<i8")
+        return pd.DataFrame({"key": key.astype(np.int64), "node": node})
+    node = np.concatenate([np.frombuffer(x, "<i8")[np.frombuffer(i, "<u2")] for x, i in zip(rows["nodes"], rows["of"], strict=True)])
+    order = np.argsort(key, kind="stable")
+    key, node = key[order], node[order]
+    run = np.cumsum(np.concatenate([[True], key[1:] != key[:-1]])) - 1
+    several = np.bincount(run)[run] > 1
+    return pd.DataFrame({"key": key[several].astype(np.int64), "node": node[several]})
+
+
+def similar(shared: int, size_a: int, size_b: int, t: Fraction) -> bool:
+    return shared * t.denominator >= t.numerator * (size_a + size_b - shared)
+
+
+def may_be_similar(t: Fraction):
+    """Condition over ``size_a, a0.., size_b, b0..``: the differing parity bits leave room for the similarity."""
+    differ = sum((F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(1, PARITY)), F.bit_count(F.col("a0").bitwiseXOR(F.col("b0"))))
+    return differ * (t.denominator + t.numerator) <= (F.col("size_a") + F.col("size_b")) * (t.denominator - t.numerator)
 
 
 def _verified(t: Fraction, n: int):
@@ -157,20 +225,20 @@ def _verified(t: Fraction, n: int):
 
 
 class _Join:
-    def __init__(self, scratch: Scratch, texts: DataFrame, nodes: DataFrame, tiles: DataFrame, t: Fraction, n: int):
-        self.scratch, self.texts, self.nodes, self.tiles, self.t, self.n = scratch, texts, nodes, tiles, t, n
+    def __init__(self, scratch: Scratch, texts: DataFrame, signed: DataFrame, t: Fraction, n: int):
+        self.scratch, self.texts, self.t, self.n = scratch, texts, t, n
+        self.left, self.right = (
+            signed.select(F.col("row_id").alias(x), F.col("size").alias(f"size_{x}"), *[F.col(f"p{i}").alias(f"{x}{i}") for i in range(PARITY)]) for x in "ab"
+        )
         self.links: DataFrame | None = None
 
     def verify(self, pairs: DataFrame, name: str) -> None:
-        """Add the similar ones of ``band, a, b`` (a < b) to the links."""
-        maps = self.nodes.select("node", "size", F.explode("tiles").alias("tile")).select("node", "size", F.col("tile.band").alias("band"), F.col("tile.bits").alias("bits"))
-        left = maps.select(F.col("node").alias("a"), "band", F.col("size").alias("size_a"), F.col("bits").alias("bits_a"))
-        right = maps.select(F.col("node").alias("b"), "band", F.col("size").alias("size_b"), F.col("bits").alias("bits_b"))
-        both = pairs.join(left, ["a", "band"]).join(right, ["b", "band"]).select("a", "b", "size_a", "bits_a", "size_b", "bits_b")
-        bounded = save(self.scratch, both.mapInArrow(_bounded(self.t), "a long, b long").distinct(), f"{name}-bounded")
+        """Add the similar ones of ``a, b`` (a < b) to the links."""
+        open_pairs = pairs.join(self.left, "a").join(self.right, "b").filter(may_be_similar(self.t)).select("a", "b")
+        open_pairs = save(self.scratch, open_pairs, f"{name}-open")
         first = self.texts.select(F.col("row_id").alias("a"), F.col("text").alias("text_a"))
         second = self.texts.select(F.col("row_id").alias("b"), F.col("text").alias("text_b"))
-        read = bounded.join(second, "b").join(first, "a").select("a", "b", "text_a", "text_b")
+        read = open_pairs.join(second, "b").join(first, "a").select("a", "b", "text_a", "text_b")
         found = save(self.scratch, read.mapInArrow(_verified(self.t, self.n), "a long, b long"), f"{name}-links")
         self.links = found if self.links is None else self.links.unionByName(found)
 
@@ -205,44 +273,49 @@ def near_duplicates(docs: DataFrame, similarity: str = "0.8", shingle: int = 5,
         texts = docs.select("row_id", "doc_id", "text")
     else:
         texts = save(scratch, docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "text"), "texts")
-    ddl = f"row_id long, doc_id {kind}, size long, digest binary, tiles array<struct<band:int,bits:array<bigint>>>"
-    signed = save(scratch, map_batches(texts, _signatures(t, shingle), ddl), "signatures")
-
+    ddl = f"row_id long, doc_id {kind}, size long, digest binary, " + ", ".join(f"p{i} long" for i in range(PARITY))
+    signed = save(scratch, map_batches(texts, _signatures(shingle), ddl), "signatures")
     copies = signed.filter("size > 0").groupBy("digest").agg(F.min("row_id").alias("node"), F.count("*").alias("copies"))
     copies = save(scratch, copies, "copies")
-    nodes = save(scratch, signed.join(copies.select(F.col("node").alias("row_id")), "row_id", "left_semi").select(F.col("row_id").alias("node"), "size", "tiles"), "nodes")
-    tile = nodes.select("node", F.explode("tiles").alias("tile")).select("node", "tile.band", F.posexplode("tile.bits").alias("place", "value"))
-    tiles = tile.select("node", "band", F.xxhash64("band", "place", "value").alias("key"))
-    met = tiles.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most")
-    members = save(scratch, tiles.join(met, "key").select("key", "band", "node", "least"), "members")
-
-    join = _Join(scratch, texts, nodes, tiles, t, shingle)
-    stars = members.filter("node > least").select("band", F.col("least").alias("a"), F.col("node").alias("b"))
-    stars = save(scratch, stars.groupBy("a", "b").agg(F.min("band").alias("band")), "stars")
-    one = stars.groupBy("b").agg(F.min(F.struct("a", "band")).alias("x")).select("x.band", "x.a", "b")
+    total = signed.agg(F.sum("size")).first()[0] or 0
+
+    parts = max(partitions_of(docs.sparkSession), math.ceil(total * float((1 - t) / t) / PART_KEYS))
+    packed = map_batches(texts.select("row_id", "text"), _tiles(t, shingle, parts), "part long, keys binary, nodes binary, of binary")
+    met = packed.groupBy("part").applyInPandas(_meet, "key long, node long")
+    # Of equal sets only the first is a member.
+    repeated = copies.filter("copies > 1").select("digest", "node")
+    moved = save(scratch, signed.select("row_id", "digest").join(repeated, "digest").filter("row_id <> node").select("row_id", F.col("node").alias("first")), "moved")
+    members = met.join(moved, F.col("node") == F.col("row_id"), "left").select("key", F.coalesce("first", "node").alias("node"))
+    members = save(scratch, members.distinct(), "members")
+    least = members.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("n")).filter("n > 1").select("key", "a")
+
+    join = _Join(scratch, texts, signed, t, shingle)
+    stars = members.join(least, "key").filter("node > a").select("a", F.col("node").alias("b")).distinct()
+    stars = save(scratch, stars, "stars")
+    one = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     join.verify(one, "one")
     classes = join.classes("classes-one")
 
     def other_class(pairs: DataFrame, classes: DataFrame) -> DataFrame:
         a = classes.select(F.col("node").alias("a"), F.col("class").alias("class_a"))
         b = classes.select(F.col("node").alias("b"), F.col("class").alias("class_b"))
-        return pairs.join(a, "a", "left").join(b, "b", "left").filter(F.coalesce("class_a", "a") != F.coalesce("class_b", "b")).select("band", "a", "b")
+        return pairs.join(a, "a", "left").join(b, "b", "left").filter(F.coalesce("class_a", "a") != F.coalesce("class_b", "b")).select("a", "b")
 
-    rest = stars.join(one.select("a", "b"), ["a", "b"], "left_anti")
+    rest = stars.join(one, ["a", "b"], "left_anti")
     rest = save(scratch, other_class(rest, classes), "rest")
     if not rest.isEmpty():
         join.verify(rest, "rest")
         classes = join.classes("classes-rest")
 
     # Tiles whose sets are still in several classes: sets of different classes meet there directly.
-    named = members.join(classes, "node", "left").select("key", "band", "node", "least", F.coalesce("class", "node").alias("class"))
+    named = members.join(classes, "node", "left").select("key", "node", F.coalesce("class", "node").alias("class"))
     split = named.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high").select("key")
     mixed = save(scratch, named.join(split, "key", "left_semi"), "mixed")
-    x = mixed.select("key", "band", F.col("node").alias("a"), F.col("class").alias("class_a"), F.col("least").alias("least_a"))
-    y = mixed.select("key", F.col("node").alias("b"), F.col("class").alias("class_b"))
-    # The least of a tile has met all others of it.
-    cross = x.filter("a <> least_a").join(y, "key").filter("a < b and class_a <> class_b").groupBy("a", "b").agg(F.min("band").alias("band"))
-    cross = save(scratch, cross.join(stars.select("a", "b"), ["a", "b"], "left_anti"), "cross")
+    x = mixed.select("key", F.col("node").alias("a"), F.col("class").alias("class_a")).join(join.left, "a")
+    y = mixed.select("key", F.col("node").alias("b"), F.col("class").alias("class_b")).join(join.right, "b")
+    meet = (x["key"] == y["key"]) & (F.col("a") < F.col("b")) & (F.col("class_a") != F.col("class_b")) & may_be_similar(t)
+    cross = x.join(y, meet).select("a", "b").distinct()
+    cross = save(scratch, cross.join(stars, ["a", "b"], "left_anti"), "cross")
     if not cross.isEmpty():
         join.verify(cross, "cross")
         classes = join.classes("classes-cross")
