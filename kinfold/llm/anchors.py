@@ -8,8 +8,8 @@ of the others are compared.
 
 Stretches with equal content are one class with a number and a first place. Where an anchor has several classes, the
 content of each class's first stretch is read and handed to a shard, which finds windows that classes share. An
-anchor with more than ``HOT`` classes would fill a shard, so its windows are counted by a 128-bit hash instead; counts
-combine before they are shuffled.
+anchor with more than ``HOT`` classes would fill a shard, so its stretches are cut into parts that meet by 128-bit
+hashes instead; counts combine before they are shuffled.
 
 Texts lie in a bucketed table by document id, so they are shuffled once and every later join finds them in place.
 """
@@ -31,6 +31,8 @@ from kinfold.scratch import Scratch
 
 HOT = 1_000
 SHARD_BYTES = 1_500_000
+#: Parts into which a stretch of such an anchor is cut at a time.
+SPLIT = 5
 PLACE_BITS = 16
 RANGES = "array<struct<first:int,last:int>>"
 
@@ -149,26 +151,64 @@ def _contents(symbols: Symbols):
     return make
 
 
-def _windows(symbols: Symbols):
-    """A 128-bit hash of every window of a stretch."""
+def _split(symbols: Symbols, step: int):
+    """Each stretch cut at multiples of ``step`` starts from its anchor.
+
+    A part comes with a hash of itself, and of the core that all windows of its cell cover; cells of equal windows
+    are the same, as their anchors are.
+    """
 
     def run(batches):
-        size = symbols.length * symbols.width
         for batch in batches:
-            for i in range(0, batch.num_rows, 1000):
-                part = batch.slice(i, 1000)
-                row, start, digest = [], [], []
-                for k, c in enumerate(part.column("content").to_pylist()):
-                    n = (len(c) - size) // symbols.width + 1
-                    row += [k] * n
-                    start += range(n)
-                    digest += [xxhash.xxh3_128_digest(c[j * symbols.width : j * symbols.width + size]) for j in range(n)]
-                kept = part.select([c for c in part.schema.names if c != "content"]).take(pa.array(row, pa.int64()))
-                yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(start, pa.int32()), pa.array(digest, pa.binary())], names=[*kept.schema.names, "start", "window"])
+            for i in range(0, batch.num_rows, 2000):
+                part = batch.slice(i, 2000)
+                out: dict[str, list] = {k: [] for k in ("row", "start", "starts", "content", "whole", "core")}
+                w, size = symbols.width, symbols.length
+                columns = (part.column(c).to_pylist() for c in ("place", "start", "starts", "content"))
+                for k, (place, first, m, c) in enumerate(zip(*columns, strict=True)):
+                    begin = first - (place & 255) + 256 * step  # never negative
+                    for cell in range(begin // step, (begin + m - 1) // step + 1):
+                        x, y = max(cell * step - begin, 0), min((cell + 1) * step - begin, m)
+                        own = c[x * w : (y - 1 + size) * w]
+                        core = c[((cell + 1) * step - 1 - begin) * w : (cell * step - begin + size) * w]
+                        values = (k, first + x, y - x, own, xxhash.xxh3_128_digest(own, seed=cell), xxhash.xxh3_128_digest(core, seed=cell))
+                        for name, v in zip(out, values, strict=True):
+                            out[name].append(v)
+                kept = part.select(["key", "copy", "place", "h", "f"]).take(pa.array(out.pop("row"), pa.int64()))
+                kinds = {"start": pa.int32(), "starts": pa.int32(), "content": pa.binary(), "whole": pa.binary(), "core": pa.binary()}
+                yield pa.RecordBatch.from_arrays([*kept.columns, *[pa.array(out[k], t) for k, t in kinds.items()]], names=[*kept.schema.names, *kinds])
 
     return run
 
 
+def _often(scratch: Scratch, rows: DataFrame, symbols: Symbols, keep_first: bool) -> DataFrame | None:
+    """``h, f, ranges`` for anchors with many classes.
+
+    Stretches are cut into parts again and again. Equal parts are settled at once; of those the first stays, and it is cut
+    further only if another part has the same core. A window that nothing shares falls out after a few rows.
+    """
+    found, step = None, symbols.length - symbols.gram + 1
+    kind = rows.schema["key"].dataType.simpleString()
+    rows = rows.select("key", "copy", "place", "h", "f", "content", F.lit(0).alias("start"), (F.shiftright("place", 8).bitwiseAND(F.lit(255)) + 1).cast("int").alias("starts"))
+    while step > 1 and not rows.isEmpty():
+        step = -(-step // SPLIT)
+        ddl = f"key {kind}, copy int, place long, h long, f long, start int, starts int, content binary, whole binary, core binary"
+        parts = save(scratch, rows.mapInArrow(_split(symbols, step), ddl).withColumn("at", F.shiftright("place", PLACE_BITS) + F.col("start")), f"parts-{step}")
+        spot = F.struct("key", "copy", "at")
+        same = save(scratch, parts.groupBy("whole").agg(F.count("*").alias("times"), F.min(spot).alias("least"), F.first("core").alias("core")), f"same-{step}")
+        again = parts.join(same.filter("times > 1").select("whole", "least"), "whole")
+        if keep_first:
+            again = again.filter(spot > F.col("least"))
+        again = again.select("h", "f", F.struct(F.col("start").alias("first"), (F.col("start") + F.col("starts") - 1).alias("last")).alias("range"))
+        found = again if found is None else found.unionByName(again)
+        several = same.groupBy("core").agg(F.count("*").alias("kinds")).filter("kinds > 1").select("core")
+        open_parts = same.join(several, "core", "left_semi").select("whole", F.col("least.key").alias("key"), F.col("least.copy").alias("copy"), F.col("least.at").alias("at"))
+        rows = parts.join(open_parts, ["whole", "key", "copy", "at"], "left_semi").select("key", "copy", "place", "h", "f", "content", "start", "starts")
+    if found is None:
+        return None
+    return found.groupBy("h", "f").agg(F.array_sort(F.collect_list("range")).alias("ranges"))
+
+
 def to_ranges(starts: np.ndarray) -> list[dict]:
     """Runs of consecutive numbers."""
     if not len(starts):
@@ -214,17 +254,8 @@ def repeated_starts(scratch: Scratch, texts: DataFrame, symbols: Symbols, shard:
     by_shard = small.withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(shards)))
     shared = by_shard.groupBy("shard").applyInPandas(shard, f"h long, f long, ranges {RANGES}")
 
-    windows = content.filter("several").select("key", "copy", "place", "h", "f", "content")
-    each = windows.mapInArrow(_windows(symbols), f"key {kind}, copy int, place long, h long, f long, start int, window binary")
-    each = each.withColumn("at", F.shiftright("place", PLACE_BITS) + F.col("start"))
-    if keep_first:
-        met = each.groupBy("window").agg(F.min(F.struct("key", "copy", "at")).alias("least"), F.count("*").alias("times")).filter("times > 1")
-        again = each.join(met, "window").filter(F.struct("key", "copy", "at") > F.col("least"))
-    else:
-        met = each.groupBy("window").agg(F.count("*").alias("times")).filter("times > 1")
-        again = each.join(met, "window", "left_semi")
-    often = again.groupBy("h", "f").agg(F.transform(F.array_sort(F.collect_list("start")), lambda s: F.struct(s.alias("first"), s.alias("last"))).alias("ranges"))
-    shared = save(scratch, shared.unionByName(often), "shared")
+    often = _often(scratch, content.filter("several"), symbols, keep_first)
+    shared = save(scratch, shared if often is None else shared.unionByName(often), "shared")
 
     # Every start of a class that occurs twice is repeated; with keep_first only its first stretch depends on others.
     marks = classes.join(shared, ["h", "f"], "left").filter("n > 1 or size(ranges) > 0")
