@@ -201,7 +201,7 @@ def learn(labelled: DataFrame, scratch, sample: int = SAMPLE) -> Model | None:
     rows = labelled.select(F.monotonically_increasing_id().alias("row_id"), F.col("toxic").cast("int").alias("toxic"), F.coalesce("text", F.lit("")).alias("text"))
     keyed = save(scratch, map_batches(rows, _keys, "row_id long, toxic int, text string, key long"), "labelled")
     one = keyed.groupBy("key", "toxic").agg(F.min("row_id").alias("row_id")).select("row_id")
-    texts = keyed.join(one, "row_id", "left_semi").withColumn("half", F.pmod(F.xxhash64("key"), F.lit(2)).cast("int"))
+    texts = keyed.join(one.hint("merge"), "row_id", "left_semi").withColumn("half", F.pmod(F.xxhash64("key"), F.lit(2)).cast("int"))
     texts = save(scratch, texts.select("row_id", "toxic", "text", "half"), "distinct")
     counted = texts.mapInArrow(_count, "place long, c0 long, c1 long, c2 long, c3 long, a0 long, a1 long")
     sums = [F.sum(f"c{i}").alias(f"c{i}") for i in range(4)] + [F.bit_or(f"a{i}").alias(f"a{i}") for i in range(2)]
@@ -258,7 +258,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, parts: int = 4, held: int = 2,
     scratch = workspace(docs.sparkSession, "toxicity")
     marks = labels.filter("toxic in (0, 1)").groupBy(F.col("doc_id").alias("labelled_id")).agg(F.max("toxic").alias("toxic"))
     known = docs.select("doc_id", "text").filter(fold("doc_id", parts) != held)
-    model = learn(known.join(marks, F.col("doc_id") == F.col("labelled_id")).select("text", "toxic"), scratch, sample)
+    model = learn(known.join(marks.hint("merge"), F.col("doc_id") == F.col("labelled_id")).select("text", "toxic"), scratch, sample)
     kept = [c for c in docs.columns if c.lower() not in ("score", "n_words", "passages")]
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*[F.col(f"`{c}`") for c in kept]).schema)
     return map_batches(docs.select(*[F.col(f"`{c}`") for c in kept]), _score(model, kept), f"{ddl}, {SCORED}")
