@@ -12,13 +12,6 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import fixtures  # noqa: E402
-from kinfold.functions.damage import (  # noqa: E402
-    double_character,
-    drop_character,
-    mistype_email,
-    mistype_postcode,
-    transpose,
-)
 from kinfold.functions.text import blank_to_null, clean_records, linkage_view, normalise_email  # noqa: E402
 from kinfold.operators.batches import high_water_mark, record_batches, select_new_records  # noqa: E402
 from kinfold.operators.blocking import (  # noqa: E402
@@ -61,7 +54,7 @@ from kinfold.plans.resolve import distinct_profiles, resolve_records, train_mode
 from kinfold.schema import FIELDS, RECORD_COLUMNS, RECORD_ID  # noqa: E402
 from kinfold.scratch import Scratch  # noqa: E402
 from kinfold.sources.files import as_text, duplicate_ids, to_records  # noqa: E402
-from kinfold.sources.generator import generate_from, generation_counts, variation_tally  # noqa: E402
+from kinfold.sources.generator import generation_counts  # noqa: E402
 
 try:  # training-data operators, where they are installed
     import corpus_pipeline  # noqa: E402
@@ -233,60 +226,22 @@ def _duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _document_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents with equal text, linked to the first of them instead of pairwise."""
     documents = as_text(spark.read.parquet(f"{sf_dir}/documents.parquet"), ["doc_id", "text"])
-    documents = documents.withColumn("doc_id", F.lpad("doc_id", 12, "0"))
-    firsts = documents.groupBy("text").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"))
-    linked = lookup(documents, firsts, ["text"], "copies", documents.count())
+    # A digest stands for the text, so no whole text is shuffled or collected.
+    documents = documents.select(F.lpad("doc_id", 12, "0").alias("doc_id"), F.sha2("text", 256).alias("digest"))
+    firsts = documents.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"))
+    linked = lookup(documents, firsts, ["digest"], "copies", documents.count())
     components = connected_components(linked, "doc_id", "first_id", Scratch(spark, "documents"))
     return assign_clusters(documents, components, "doc_id")
 
 
-def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    named = customer.selectExpr("c_custkey as k").selectExpr("k", *[f"{e} as {n}" for n, e in fixtures.NAMES.items()])
-    return named.withColumns(
-        {
-            "email": F.concat("f", F.lit("."), "l", F.lit("@example.com")),
-            "postcode": F.concat(F.lit("P"), F.lpad((F.col("k") * 31 % 9973).cast("string"), 4, "0"), F.lit(" AX")),
-        }
-    )
-
-
-def _damaged_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    damages = {"transposed": transpose, "dropped": drop_character, "doubled": double_character}
-    damaged = [damage(F.col("f"), F.col("k")).alias(name) for name, damage in damages.items()]
-    return _names(spark, sf_dir).select("k", *damaged)
-
-
-def _damaged_postcodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = _names(spark, sf_dir)
-    return names.select("k", mistype_postcode(F.col("postcode"), F.col("k"), F.col("k") + 1).alias("postcode"))
-
-
-def _damaged_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = _names(spark, sf_dir)
-    return names.select("k", mistype_email(F.col("email"), F.col("k"), F.col("k") + 1).alias("email"))
-
-
-def _generated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Invented records, one person per customer."""
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    return generate_from(customer.select(F.col("c_custkey").alias("number")), "number")
-
-
-def _generated_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quality of the full model on invented records with realistic damage."""
-    records = Scratch(spark, "generated").materialise(_generated(spark, sf_dir), "records")
-    return linkage_quality(resolve_records(records).clusters, records)
-
-
 def _text_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
     return as_text(customer, ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"])
 
 
-def entry(spark: SparkSession) -> DataFrame:
+def entry(spark: SparkSession, sf_dir: str = SMOKE_DIR) -> DataFrame:
     """Which customer rows are the same person, and what is the best record of each?"""
-    return _resolved_golden(spark, SMOKE_DIR)
+    return _resolved_golden(spark, sf_dir)
 
 
 def queries() -> dict[str, Query]:
@@ -331,12 +286,6 @@ def queries() -> dict[str, Query]:
         "resolved_golden": _resolved_golden,
         "incremental_golden": _incremental,
         "generation_summary": lambda s, d: generation_counts(persons(s, d)),
-        "variation_tally": lambda s, d: variation_tally(fixtures.damaged_copies(s, d)),
-        "generate_records": lambda s, d: _generated(s, d).drop("variations"),
-        "generated_quality": _generated_quality,
-        "damage_names": _damaged_names,
-        "damage_postcode": _damaged_postcodes,
-        "damage_email": _damaged_emails,
     }
     for name, rule in rules.items():
         found[f"block_{name}"] = lambda s, d, rule=rule: block_pairs(_view(s, d), rule)
@@ -471,13 +420,6 @@ def oracle_sql() -> dict[str, str]:
         f" join view_ r on {rule} and l.record_id < r.record_id)"
         for n, rule in enumerate(_TRAINING_SQL)
     )
-    names = ", ".join(f"{e} as {n}" for n, e in fixtures.NAMES.items())
-    named = (
-        f"with named as (select k, {names} from (select c_custkey as k from customer)), people as (select k, f,"
-        " concat(f, '.', l, '@example.com') as email,"
-        " concat('P', lpad(cast((k * 31) % 9973 as varchar), 4, '0'), ' AX') as postcode from named)"
-    )
-    swap = "concat(substr(t, 1, i - 1), substr(t, i + 1, 1), substr(t, i, 1), substr(t, i + 2))"
     found = {
         "scan_parquet_text": "select cast(c_custkey as varchar) as c_custkey, c_name,"
         " cast(c_nationkey as varchar) as c_nationkey, c_mktsegment from customer",
@@ -596,25 +538,6 @@ def oracle_sql() -> dict[str, str]:
             " count(*) filter (where n > 1) as people_with_duplicates, cast(sum(n - 1) as bigint) as duplicate_rows"
             " from people",
         ),
-        "variation_tally": _with(
-            select="select variation, count(*) as n from (select unnest("
-            + fixtures.variations_sql(lambda *x: f"[{', '.join(x)}]")
-            + ") as variation from base) where variation is not null group by variation"
-        ),
-        "damage_names": f"{named} select k, (select {swap} from (select f as t, k % (length(f) - 2) + 2 as i)) as transposed,"
-        " concat(substr(f, 1, k % (length(f) - 1) + 1), substr(f, k % (length(f) - 1) + 3)) as dropped,"
-        " concat(substr(f, 1, k % (length(f) - 1) + 2), substr(f, k % (length(f) - 1) + 2)) as doubled from people",
-        "damage_postcode": f"{named}, spots as (select k, postcode, [1, 2, 3, 4, 5, 7, 8][k % 7 + 1] as i from people),"
-        " chars as (select *, substr(postcode, i, 1) as c, case when substr(postcode, i, 1) between '0' and '9'"
-        " then '0123456789' else 'ABCDEFGHJKLMNPRSTUVWXY' end as abc from spots)"
-        " select k, concat(substr(postcode, 1, i - 1), substr(abc, (strpos(abc, c) - 1 + (k + 1) % (length(abc) - 1) + 1)"
-        " % length(abc) + 1, 1), substr(postcode, i + 1)) as postcode from chars",
-        "damage_email": f"{named}, parts as (select k, split_part(email, '@', 1) as t, k + 1 as p from people)"
-        " select k, concat(case k % 3"
-        f" when 0 then (select {swap} from (select p % (length(t) - 2) + 2 as i))"
-        " when 1 then concat(substr(t, 1, p % (length(t) - 1) + 1), substr(t, p % (length(t) - 1) + 3))"
-        " else concat(substr(t, 1, p % (length(t) - 1) + 2), substr(t, p % (length(t) - 1) + 2)) end,"
-        " '@example.com') as email from parts",
     }
     found["read_contract"] = found["clean_records"]
     for name, columns in {

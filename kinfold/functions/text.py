@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from kinfold.schema import FIELDS
 
-# (?U) makes \s cover all Unicode white space, which trim() does not.
-_EDGES = r"(?U)^\s+|\s+$"
+# (?U) makes \s cover all Unicode white space, which trim() does not. The four separators U+001C to U+001F are
+# white space of no Unicode property, but str.strip() takes them as such.
+_EDGES = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 
 
 def strip(column: Column | str) -> Column:

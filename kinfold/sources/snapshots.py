@@ -14,18 +14,24 @@ import json
 import uuid
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from kinfold.operators.survivorship import golden_order, to_golden_contract
 from kinfold.schema import GOLDEN_COLUMNS, GOLDEN_SCHEMA
 
 
+class Overtaken(RuntimeError):
+    """Another writer published after this one had read the table."""
+
+
 @dataclass(frozen=True)
-class WriteSummary:
-    rows_written: int
-    table_location: str
-    snapshot_count: int
+class Published:
+    """Where rows went, how many, and how many writes the table has seen."""
+
+    location: str
+    rows: int
+    writes: int
 
 
 @dataclass(frozen=True)
@@ -102,7 +108,14 @@ class SnapshotTable:
         # Renaming without the overwrite option is atomic and fails if this version exists already.
         context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(draft.toUri(), self._conf)
         options = self.spark.sparkContext._gateway.new_array(self._jvm.org.apache.hadoop.fs.Options.Rename, 0)
-        context.rename(draft, self._path(f"manifests/{manifest.version:010d}.json"), options)
+        target = self._path(f"manifests/{manifest.version:010d}.json")
+        try:
+            context.rename(draft, target, options)
+        except Exception as exc:
+            fs.delete(draft, False)
+            if fs.exists(target):
+                raise Overtaken(f"version {manifest.version} of {self.location} exists already") from exc
+            raise
         return manifest
 
     def publish(
@@ -111,15 +124,17 @@ class SnapshotTable:
         append: bool = False,
         mark: Mark | None = None,
         stream_batch: tuple[str, int] | None = None,
-    ) -> WriteSummary:
+        base: Manifest | None = None,
+    ) -> Published:
         """Replace all rows, or add rows that were resolved on their own.
 
         ``mark`` and ``stream_batch`` (stream name and batch number) become visible with the rows. A stream
-        batch that was published before is not written again.
+        batch that was published before is not written again. ``base`` is the manifest that the rows were computed
+        from: if the table has moved on since, nothing is published.
         """
-        before = self.manifest()
+        before = base or self.manifest()
         if stream_batch and self.has_batch(*stream_batch):
-            return WriteSummary(0, self.location, before.snapshot_count)
+            return Published(self.location, 0, before.snapshot_count)
         part = f"data/{before.version + 1:010d}-{uuid.uuid4().hex}"
         to_golden_contract(golden).write.parquet(f"{self.location}/{part}")
         rows = self.spark.read.parquet(f"{self.location}/{part}").count()  # from the file footers
@@ -133,7 +148,7 @@ class SnapshotTable:
                 stream_batches={**before.stream_batches, **dict([stream_batch] if stream_batch else [])},
             )
         )
-        return WriteSummary(rows, self.location, before.snapshot_count + 1)
+        return Published(self.location, rows, before.snapshot_count + 1)
 
     def scan(self) -> DataFrame:
         """The current snapshot; it stays the same however often the result is read."""
@@ -160,9 +175,10 @@ class SnapshotTable:
         self._commit(replace(before, version=before.version + 1, mark=mark))
 
     def clear_mark(self) -> None:
-        """The next incremental run starts from the first record."""
-        if self.manifest().mark is not None:
-            self.save_mark(None)
+        """The next incremental run starts from the first record, and every stream batch counts as new."""
+        before = self.manifest()
+        if before.mark is not None or before.stream_batches:
+            self._commit(replace(before, version=before.version + 1, mark=None, stream_batches={}))
 
 
 class CatalogTable:
@@ -186,21 +202,21 @@ class CatalogTable:
         self.spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {self.namespace}")
         self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.location} ({columns}) USING {self.provider}")
 
-    def publish(self, golden: DataFrame, append: bool = False, mark: Mark | None = None) -> WriteSummary:
+    def publish(self, golden: DataFrame, append: bool = False, mark: Mark | None = None, base: Manifest | None = None) -> Published:
         self.create()
-        rows = to_golden_contract(golden).cache()
+        seen = Observation()
+        rows = to_golden_contract(golden).observe(seen, F.count(F.lit(1)).alias("rows"))
         first = self._snapshots() == 0
         writer = rows.writeTo(self.location)
         # Nothing to overwrite before the first write.
         writer.append() if append or first else writer.overwrite(F.lit(True))
-        count = rows.count()
-        rows.unpersist()
+        count = seen.get["rows"]
         if mark:
             self.spark.sql(
                 f"ALTER TABLE {self.location} SET TBLPROPERTIES"
                 f" ('{self.MARK}' = '{mark.highest_record_id}', '{self.SIZE}' = '{mark.records_processed}')"
             )
-        return WriteSummary(count, self.location, self._snapshots())
+        return Published(self.location, count, self._snapshots())
 
     def _snapshots(self) -> int:
         return self.spark.table(f"{self.location}.snapshots").count()

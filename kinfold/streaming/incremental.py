@@ -7,6 +7,7 @@ one. Records at or below the mark came late and are dropped, but counted.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ from kinfold.plans.resolve import resolve_records
 from kinfold.plans.run import golden_of
 from kinfold.schema import RECORD_SCHEMA
 from kinfold.scratch import Scratch
-from kinfold.sources.files import check_records, to_records
+from kinfold.sources.files import check_records, csv_options, path_exists, to_records
 from kinfold.sources.snapshots import Mark, SnapshotTable
 
 
@@ -45,7 +46,8 @@ def resolve_batch(
         return BatchOutcome(number, 0, 0, 0, False)
     scratch = Scratch(batch.sparkSession, f"batch-{number}")
     arrived = scratch.materialise(to_records(batch), "arrived")
-    mark = table.load_mark()
+    base = table.manifest()
+    mark = base.mark
     records = select_new_records(arrived, mark.highest_record_id if mark else None)
     late = arrived.count() - records.count()
     if records.isEmpty():
@@ -55,11 +57,22 @@ def resolve_batch(
     golden, counts = golden_of(records, linkage, scratch)
     highest = high_water_mark(records).first()[0]
     table.publish(
-        golden, append=True, mark=Mark(highest, linkage.input_records), stream_batch=(stream, number)
+        golden, append=True, mark=Mark(highest, linkage.input_records), stream_batch=(stream, number), base=base
     )
     return BatchOutcome(number, linkage.input_records, late, counts["golden_records"], True)
 
 
+def _checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps in a checkpoint folder; a new folder numbers its batches from 0 again."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/metadata")
+    stream = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(path)
+    try:
+        return json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))["id"]
+    finally:
+        stream.close()
+
+
 def start_stream(
     spark: SparkSession,
     source: str,
@@ -71,16 +84,22 @@ def start_stream(
     model: Model | None = None,
     files_per_batch: int | None = None,
     outcomes: list[BatchOutcome] | None = None,
+    multi_line: bool = True,
 ) -> StreamingQuery:
-    """Process all files that are there now, then stop; start again with the same checkpoint to resume."""
-    reader = spark.readStream.format(source_format).schema(RECORD_SCHEMA)
-    if source_format == "csv":
-        reader = reader.options(header=True, escape='"', enforceSchema=False)
+    """Process all files that are there now, then stop; start again with the same checkpoint to resume.
+
+    Columns and their types come from the files, as in a batch read: further columns are ignored, numbers become text.
+    """
+    options = csv_options(multi_line) if source_format == "csv" else {}
+    found = path_exists(spark, source)
+    schema = spark.read.format(source_format).options(**options).load(source).schema if found else RECORD_SCHEMA
+    reader = spark.readStream.format(source_format).options(**options).schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
     def publish(batch: DataFrame, number: int) -> None:
-        outcome = resolve_batch(batch, number, stream, table, settings, model)
+        name = f"{stream}@{_checkpoint_id(spark, checkpoint)}"
+        outcome = resolve_batch(batch, number, name, table, settings, model)
         if outcomes is not None:
             outcomes.append(outcome)
 

@@ -17,7 +17,7 @@ def test_threshold_one_is_allowed():
 
 @pytest.mark.parametrize("field", ["namespace", "table"])
 def test_names_must_not_be_empty(field):
-    with pytest.raises(ValueError, match="empty"):
+    with pytest.raises(ValueError, match="blank"):
         Settings(**{field: ""})
 
 
@@ -25,10 +25,10 @@ def test_argument_beats_environment_beats_default():
     env = {"KINFOLD_MATCH_THRESHOLD": "0.8", "KINFOLD_SEED": "5", "KINFOLD_TABLE": ""}
     settings = Settings.from_environment(env)
     assert (settings.match_threshold, settings.seed, settings.table) == (0.8, 5, "golden_records")
-    assert settings.with_overrides(match_threshold=0.7, seed=None) == Settings(match_threshold=0.7, seed=5)
+    assert Settings.based_on(settings, match_threshold=0.7, seed=None) == Settings(match_threshold=0.7, seed=5)
 
 
-@pytest.mark.parametrize(("name", "text", "kind"), [("SEED", "1.5", "whole"), ("MATCH_THRESHOLD", "high", "a number")])
+@pytest.mark.parametrize(("name", "text", "kind"), [("SEED", "1.5", "as int"), ("MATCH_THRESHOLD", "high", "as float")])
 def test_bad_numbers_are_reported(name, text, kind):
     with pytest.raises(ValueError, match=kind):
         Settings.from_environment({f"KINFOLD_{name}": text})

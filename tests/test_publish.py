@@ -7,7 +7,7 @@ from kinfold import Settings, run
 from kinfold.schema import GOLDEN_SCHEMA, RECORD_COLUMNS, RECORD_SCHEMA
 from kinfold.sources.files import write_csv
 from kinfold.sources.generator import generate_records
-from kinfold.sources.snapshots import Mark, SnapshotTable
+from kinfold.sources.snapshots import Mark, Overtaken, SnapshotTable
 from kinfold.streaming.incremental import resolve_batch, start_stream
 
 ROWS = [("r1", "Ann", "Lee", "a@example.com", "01", "Ashby", 3, "r1,r2,r3"), ("r4", "Bo", "Ek", "", "", "", 1, "r4")]
@@ -30,14 +30,14 @@ def test_empty_table_has_the_columns(table):
 
 def test_round_trip_and_schema(table, golden):
     summary = table.publish(golden)
-    assert (summary.rows_written, summary.snapshot_count) == (2, 1)
+    assert (summary.rows, summary.writes) == (2, 1)
     assert [tuple(r) for r in table.read().collect()] == ROWS
     assert [(f.name, f.dataType) for f in table.read().schema] == [(f.name, f.dataType) for f in GOLDEN_SCHEMA]
 
 
 def test_replacing_twice_leaves_the_rows_once(table, golden):
     table.publish(golden)
-    assert table.publish(golden).snapshot_count == 2
+    assert table.publish(golden).writes == 2
     assert table.read().count() == 2
 
 
@@ -98,22 +98,22 @@ def test_full_run_then_incremental_runs(spark, tmp_path):
     table = SnapshotTable(spark, settings.warehouse, settings.namespace, settings.table)
 
     dry = run(spark, settings, write=False)
-    assert not dry.written and table.load_mark() is None
+    assert dry.published is None and table.load_mark() is None
 
     full = run(spark, settings)
-    assert full.written and full.snapshot_count == 1 and full.input_records == 100
-    assert full.records_merged_away == 100 - full.golden_records
+    assert full.published.writes == 1 and full.linkage.input_records == 100
+    assert full.metrics["records_merged_away"] == 100 - full.metrics["golden_records"]
     assert table.load_mark() == Mark(cut, 100)
     assert rows(table.read()) == rows(full.golden) == rows(dry.golden)
-    assert any("100 raw records" in line for line in full.summary_lines())
+    assert "input records: 100" in full.report() and any("pairs" in line for line in full.report())
 
     nothing = run(spark, settings, incremental=True)
-    assert (nothing.input_records, nothing.written) == (0, False)
+    assert (nothing.linkage, nothing.published) == (None, None)
     assert table.load_mark() == Mark(cut, 100)
 
-    more = run(spark, settings.with_overrides(input_path=str(later)), incremental=True, model=full.model)
-    assert more.input_records == records.count() - 100 and more.snapshot_count == 2
-    assert table.read().count() == full.golden_records + more.golden_records
+    more = run(spark, Settings.based_on(settings, input_path=str(later)), incremental=True, model=full.linkage.model)
+    assert more.linkage.input_records == records.count() - 100 and more.published.writes == 2
+    assert table.read().count() == full.metrics["golden_records"] + more.metrics["golden_records"]
     assert table.load_mark().highest_record_id == records.agg({"record_id": "max"}).first()[0]
 
 
@@ -147,7 +147,46 @@ def test_stream_resumes_and_counts_late_records(spark, table, tmp_path, sample):
 def test_a_replayed_batch_is_not_appended_again(spark, table, sample):
     batch = spark.createDataFrame([("r1", "Ann", "Lee", "a@example.com", "P", "X")], RECORD_SCHEMA)
     first = resolve_batch(batch, 0, "s", table, Settings(), sample.linkage.model)
-    table.clear_mark()
     again = resolve_batch(batch, 0, "s", table, Settings(), sample.linkage.model)
     assert (first.published, again.published) == (True, False)
     assert table.read().count() == 1
+
+
+def _stream(spark, table, source, state, sample, **options):
+    outcomes = []
+    start_stream(spark, source, table, str(state), Settings(), model=sample.linkage.model, outcomes=outcomes, **options).awaitTermination()
+    return outcomes
+
+
+def test_after_a_reset_a_new_checkpoint_delivers_everything(spark, table, tmp_path, sample):
+    _arrive(spark, str(tmp_path / "one"), "a", ["r1"])
+    _stream(spark, table, f"{tmp_path}/one/*", tmp_path / "state-1", sample)
+    table.clear_mark()
+    _arrive(spark, str(tmp_path / "two"), "b", ["r2"])
+    outcomes = _stream(spark, table, f"{tmp_path}/two/*", tmp_path / "state-2", sample)
+    assert [o.published for o in outcomes] == [True]
+    assert [r["cluster_id"] for r in table.read().collect()] == ["r1", "r2"]
+
+
+def test_streamed_csv_keeps_line_breaks_and_ignores_further_columns(spark, table, tmp_path, sample):
+    (tmp_path / "in").mkdir()
+    header = "record_id,first_name,last_name,email,postcode,city,extra\n"
+    (tmp_path / "in/a.csv").write_text(header + 'r1,"An\nna",Lee,a@example.com,P,X,9\n')
+    _stream(spark, table, f"{tmp_path}/in", tmp_path / "state", sample, source_format="csv")
+    (row,) = table.read().collect()
+    assert (row["cluster_id"], row["first_name"], row["last_name"]) == ("r1", "An\nna", "Lee")
+
+
+def test_streamed_numbers_become_text(spark, table, tmp_path, sample):
+    data = spark.createDataFrame([("r1", "Ann", "Lee", "a@example.com", 12345, "X")], "record_id string, first_name string, last_name string, email string, postcode int, city string")
+    data.write.parquet(f"{tmp_path}/in/a")
+    _stream(spark, table, f"{tmp_path}/in/*", tmp_path / "state", sample)
+    assert [r["postcode"] for r in table.read().collect()] == ["12345"]
+
+
+def test_two_runs_from_one_mark_publish_once(table, golden):
+    base = table.manifest()
+    table.publish(golden, append=True, base=base)
+    with pytest.raises(Overtaken, match="exists"):
+        table.publish(golden, append=True, base=base)
+    assert table.read().count() == 2

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 
 from conftest import rows
-from kinfold.functions.text import clean_records, linkage_view
+from kinfold.functions.text import clean_records, linkage_view, strip
 from kinfold.operators.batches import record_batches, select_new_records
 from kinfold.schema import RECORD_COLUMNS
 from kinfold.sources.files import InputError, read_records, write_csv
@@ -111,3 +111,10 @@ def test_new_records_compare_as_text(spark):
     df = spark.createDataFrame([("r9",), ("r10",), ("r91",)], "record_id string")
     assert rows(select_new_records(df, "r9")) == [("r91",)]
     assert select_new_records(df, None).count() == 3
+
+
+def test_strip_takes_what_str_strip_takes(spark):
+    spaces = [chr(i) for i in range(0x110000) if chr(i).isspace()]
+    data = [(i, f"{c}a{c}b{c}") for i, c in enumerate(spaces)] + [(len(spaces), "".join(spaces)), (len(spaces) + 1, "\u200ba\u200b")]
+    got = spark.createDataFrame(data, "i int, t string").select("t", strip("t").alias("s")).collect()
+    assert all(r["s"] == r["t"].strip() for r in got)
