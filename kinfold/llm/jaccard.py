@@ -1,13 +1,16 @@
 """Near-duplicate join by Jaccard similarity of word shingles, and its connected classes.
 
-A document's set holds the 64-bit hashes of its distinct shingles. Sets are hashed to bitmaps of 64-bit words, with as
-many words as two similar sets of that size can differ in elements, and one more. Two sets that reach the similarity
-therefore agree in at least one whole word, and a tile is a band of sizes, a word's number and its value: only sets
+A document's set holds the 64-bit hashes of its distinct shingles. All sets are put in one order, rare shingles first (by
+the size class of a bucket count over all texts, then by hash). Two sets that reach the similarity share one of
+their first shingles, of which a set of n has n - ceil(t * n) + 1. A tile is a band of sizes and such a shingle: only sets
 in the same tile can be similar, and no pair is lost. A set near the lower edge of its band also enters the bands
-below. Within a tile sets are not paired all with all. Each set is compared with the least of one of its tiles, then
-with the least of its other tiles while their classes differ, then with sets of another class in the same tile.
-Before texts are read again, the bits in which the parity bitmaps of two sets differ are counted: each is an element
-that one of them lacks, which bounds the overlap from above. What passes is decided by intersecting the sorted sets.
+below. Passages that many texts share come last in the order, so they make no tiles unless they are most of a text.
+
+Within a tile sets are not paired all with all. Each set is compared with the least of one of its tiles, then with the
+least of its other tiles while their classes differ, then with sets of another class in the same tile. A set's
+signature is a bitmap of the parity of the shingles on each bit. Before texts are read again, the bits in which two
+signatures differ are counted: each is an element that one of them lacks, which bounds the overlap from above. What
+passes is decided by intersecting the sorted sets.
 
 Tiles are grouped by packed keys: a batch of texts sends one row for each part of the key space, with one entry for
 each key however many of its texts hold it, so neither copies nor a tile that a third of all sets share fill a task.
@@ -30,12 +33,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.llm.common import Words, flat, fresh_name, grams, map_batches, mix, partitions_of, save, workspace
+from kinfold.llm.common import Words, flat, fresh_name, grams, map_batches, mix, partitions_of, passes, save, workspace
 from kinfold.operators.components import connected_components
 from kinfold.scratch import Scratch
 
 #: Upper size of a size band over its lower size.
 BAND = 1.5
+#: Buckets in which shingles are counted for the common order.
+BUCKETS = 1 << 20
+BUCKET_SHIFT = np.uint64(44)
 #: Words of a parity bitmap.
 PARITY = 8
 #: Bytes of a tile's key; keys that meet by chance only cost a comparison.
@@ -62,23 +68,11 @@ class Bands:
         least = math.ceil(size * self.similarity)
         return [band] + [b for b in range(band - 1, -1, -1) if self.edges[b + 1] - 1 >= least]
 
-    def words(self, band: int) -> int:
-        """One more than the greatest difference of a set of the band and a similar one of its size or more."""
-        self._reach(self.edges[-1])
-        while len(self.edges) < band + 2:
-            self._reach(self.edges[-1])
-        most = self.edges[band + 1] - 1
-        t = self.similarity
-        # |A and B| >= t |A or B| bounds the difference by (1 - t) / (1 + t) of the sum of sizes, and |B| <= |A| / t.
-        return math.floor((1 - t) / (1 + t) * (most + Fraction(most) / t)) + 1
-
-
-def bitmap(elements: np.ndarray, words: int) -> np.ndarray:
-    """Words of 64 bits; ``elements`` are sorted, so each word takes a run of them."""
-    place = ((elements >> np.uint64(32)) * np.uint64(words)) >> np.uint64(32)
-    out = np.zeros(words, np.uint64)
-    np.bitwise_or.at(out, place.astype(np.int64), np.uint64(1) << (elements & np.uint64(63)))
-    return out
+
+def in_front(elements: np.ndarray, t: Fraction, rarity: np.ndarray) -> np.ndarray:
+    """The first shingles in the common order that a similar set must share one of."""
+    n = len(elements) - math.ceil(len(elements) * t) + 1
+    return elements[np.lexsort((elements, rarity[elements >> BUCKET_SHIFT]))[:n]]
 
 
 def shingle_sets(column: pa.Array, n: int) -> list[np.ndarray]:
@@ -133,7 +127,30 @@ def _keys_of(raw: bytes) -> np.ndarray:
     return wide.view("<u8").reshape(-1)
 
 
-def _tiles(t: Fraction, n: int, parts: int):
+def _frequencies(n: int):
+    """In how many texts of the task the shingles of each bucket occur."""
+
+    def run(batches):
+        counts = np.zeros(BUCKETS, np.int64)
+        for batch in passes(batches):
+            for s in shingle_sets(batch.column("text"), n):
+                np.add.at(counts, (s >> BUCKET_SHIFT).astype(np.int64), 1)
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["bucket", "n"])
+
+    return run
+
+
+def _rarity(texts: DataFrame, n: int) -> np.ndarray:
+    """Size class of each bucket's count; any order by it keeps all pairs."""
+    counted = texts.select("text").mapInArrow(_frequencies(n), "bucket long, n long")
+    rows = counted.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # at most BUCKETS rows
+    out = np.zeros(BUCKETS, np.uint8)
+    out[rows["bucket"].to_numpy()] = np.log2(rows["n"].to_numpy() + 1).astype(np.uint8)
+    return out
+
+
+def _tiles(t: Fraction, n: int, parts: int, rarity: np.ndarray):
     """One row per batch and part of the key space; sets of one batch with equal keys share an entry.
 
     Rows with a ``part`` below 0 list the sets of a batch that share a tile.
@@ -147,11 +164,10 @@ def _tiles(t: Fraction, n: int, parts: int):
             digest = _digest(s)
             if len(s) and digest not in seen:
                 seen.add(digest)
+                front = in_front(s, t, rarity)
                 for band in bands.of(len(s)):
-                    words = bitmap(s, bands.words(band))
-                    place = np.arange(len(words), dtype=np.uint64) + np.uint64(band << 40)
-                    keys.append(mix(words + mix(place)))
-                    owner.append(np.full(len(words), i))
+                    keys.append(mix(front + mix(np.full(1, band, np.uint64))))
+                    owner.append(np.full(len(front), i))
         if not keys:
             return None
         key = np.concatenate(keys) >> np.uint64(64 - 8 * KEY_BYTES)
@@ -279,8 +295,8 @@ def near_duplicates(docs: DataFrame, similarity: str = "0.8", shingle: int = 5,
     copies = save(scratch, copies, "copies")
     total = signed.agg(F.sum("size")).first()[0] or 0
 
-    parts = max(partitions_of(docs.sparkSession), math.ceil(total * float((1 - t) / t) / PART_KEYS))
-    packed = map_batches(texts.select("row_id", "text"), _tiles(t, shingle, parts), "part long, keys binary, nodes binary, of binary")
+    parts = max(partitions_of(docs.sparkSession), math.ceil(2 * total * float(1 - t) / PART_KEYS))
+    packed = map_batches(texts.select("row_id", "text"), _tiles(t, shingle, parts, _rarity(texts, shingle)), "part long, keys binary, nodes binary, of binary")
     met = packed.groupBy("part").applyInPandas(_meet, "key long, node long")
     # Of equal sets only the first is a member.
     repeated = copies.filter("copies > 1").select("digest", "node")
