@@ -43,15 +43,19 @@ def _forms(batch: pa.RecordBatch) -> tuple[Words, list[np.ndarray]]:
     return words, [(f >> np.uint64(44)).astype(np.int64) for f in (whole, *first)]
 
 
-def _keys(batch: pa.RecordBatch) -> dict:
-    words = Words(*flat(batch.column("text")), lower=True)
-    hashes, at = grams(words.hashes(), words.bounds, 5)
-    key = np.full(batch.num_rows, NO_KEY, np.int64)
-    if len(at):
-        doc = words.doc[at]
-        first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
-        key[doc[first]] = np.minimum.reduceat(hashes, first).view(np.int64)
-    return {"row_id": batch.column("row_id"), "toxic": batch.column("toxic"), "text": batch.column("text"), "key": key}
+def _keys(with_text: bool):
+    def make(batch: pa.RecordBatch) -> dict:
+        words = Words(*flat(batch.column("text")), lower=True)
+        hashes, at = grams(words.hashes(), words.bounds, 5)
+        key = np.full(batch.num_rows, NO_KEY, np.int64)
+        if len(at):
+            doc = words.doc[at]
+            first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+            key[doc[first]] = np.minimum.reduceat(hashes, first).view(np.int64)
+        found = {"doc_id": batch.column("doc_id"), "key": key}
+        return found | {"text": batch.column("text")} if with_text else found
+
+    return make
 
 
 def _count(batches):
@@ -196,13 +200,23 @@ class Model:
         self.table, self.law = table, law
 
 
-def learn(labelled: DataFrame, scratch, sample: int = SAMPLE) -> Model | None:
-    """A model from ``text`` and ``toxic`` (0 or 1); None without texts of both kinds."""
-    rows = labelled.select(F.monotonically_increasing_id().alias("row_id"), F.col("toxic").cast("int").alias("toxic"), F.coalesce("text", F.lit("")).alias("text"))
-    keyed = save(scratch, map_batches(rows, _keys, "row_id long, toxic int, text string, key long"), "labelled")
-    one = keyed.groupBy("key", "toxic").agg(F.min("row_id").alias("row_id")).select("row_id")
-    texts = keyed.join(one.hint("merge"), "row_id", "left_semi").withColumn("half", F.pmod(F.xxhash64("key"), F.lit(2)).cast("int"))
-    texts = save(scratch, texts.select("row_id", "toxic", "text", "half"), "distinct")
+def learn(docs: DataFrame, marks: DataFrame, scratch, sample: int = SAMPLE) -> Model | None:
+    """A model from ``doc_id`` and ``text``, and ``labelled_id`` and ``toxic`` (0 or 1) once per id; None without
+    texts of both kinds.
+
+    One text stands for all with its key and label. It is chosen among ids and keys alone, so texts are shuffled once.
+    """
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.filter("doc_id is not null").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    keys = map_batches(rows, _keys(False), f"doc_id {kind}, key long")
+    marked = keys.join(marks.hint("merge"), F.col("doc_id") == F.col("labelled_id"))
+    one = marked.groupBy("key", "toxic").agg(F.min("doc_id").alias("doc_id"))
+    texts = map_batches(rows, _keys(True), f"doc_id {kind}, key long, text string").join(one.hint("merge"), ["doc_id", "key"])
+    texts = texts.dropDuplicates(["doc_id", "key"]).select(
+        F.xxhash64("key", "toxic").alias("row_id"), F.col("toxic").cast("int").alias("toxic"), "text",
+        F.pmod(F.xxhash64("key"), F.lit(2)).cast("int").alias("half"),
+    )
+    texts = save(scratch, texts, "distinct")
     counted = texts.mapInArrow(_count, "place long, c0 long, c1 long, c2 long, c3 long, a0 long, a1 long")
     sums = [F.sum(f"c{i}").alias(f"c{i}") for i in range(4)] + [F.bit_or(f"a{i}").alias(f"a{i}") for i in range(2)]
     counts = counted.groupBy("place").agg(*sums).toArrow()  # at most BUCKETS + 1 rows
@@ -222,7 +236,7 @@ def learn(labelled: DataFrame, scratch, sample: int = SAMPLE) -> Model | None:
     whole = log_odds(toxic.sum(0), clean.sum(0), n_toxic.sum(), n_clean.sum())
     # Texts of one half are scored by the counts of the other.
     halves = np.stack([log_odds(toxic[1 - h], clean[1 - h], n_toxic[1 - h], n_clean[1 - h]) for h in (0, 1)])
-    some = texts.select("row_id").orderBy(F.xxhash64("row_id"), "row_id").limit(sample)
+    some = texts.select("row_id").orderBy("row_id").limit(sample)
     chosen = texts.join(F.broadcast(some), "row_id", "left_semi")  # at most ``sample`` numbers
     seen = map_batches(chosen, _calibration(halves), "row_id long, toxic int, words long, gains array<double>, scores array<double>")
     rows = seen.toPandas()
@@ -258,7 +272,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, parts: int = 4, held: int = 2,
     scratch = workspace(docs.sparkSession, "toxicity")
     marks = labels.filter("toxic in (0, 1)").groupBy(F.col("doc_id").alias("labelled_id")).agg(F.max("toxic").alias("toxic"))
     known = docs.select("doc_id", "text").filter(fold("doc_id", parts) != held)
-    model = learn(known.join(marks.hint("merge"), F.col("doc_id") == F.col("labelled_id")).select("text", "toxic"), scratch, sample)
+    model = learn(known, marks, scratch, sample)
     kept = [c for c in docs.columns if c.lower() not in ("score", "n_words", "passages")]
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*[F.col(f"`{c}`") for c in kept]).schema)
     return map_batches(docs.select(*[F.col(f"`{c}`") for c in kept]), _score(model, kept), f"{ddl}, {SCORED}")
