@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from dataclasses import replace
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import fixtures  # noqa: E402
+from kinfold.config import Settings  # noqa: E402
 from kinfold.functions.text import blank_to_null, clean_records, linkage_view, normalise_email  # noqa: E402
 from kinfold.operators.batches import high_water_mark, record_batches, select_new_records  # noqa: E402
 from kinfold.operators.blocking import (  # noqa: E402
@@ -51,6 +53,7 @@ from kinfold.operators.survivorship import (  # noqa: E402
     to_golden_contract,
 )
 from kinfold.plans.resolve import distinct_profiles, resolve_records, train_model  # noqa: E402
+from kinfold.plans.run import open_table, run  # noqa: E402
 from kinfold.schema import FIELDS, RECORD_COLUMNS, RECORD_ID  # noqa: E402
 from kinfold.scratch import Scratch  # noqa: E402
 from kinfold.sources.files import as_text, duplicate_ids, to_records  # noqa: E402
@@ -191,20 +194,24 @@ def _partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resolve_records(fixtures.persons(spark, sf_dir)).clusters
+    return resolve_records(fixtures.persons(spark, sf_dir), model=FIXED_MODEL).clusters
 
 
-def _resolved_golden(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _resolved_golden(spark: SparkSession, sf_dir: str, model: Model | None = FIXED_MODEL) -> DataFrame:
     records = fixtures.persons(spark, sf_dir).select(*RECORD_COLUMNS)
-    return build_golden_records(records, resolve_records(records).clusters, check_unique=False)
+    return build_golden_records(records, resolve_records(records, model=model).clusters, check_unique=False)
 
 
 def _incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A first run up to the mark and an appended run over what came after it."""
+    """A published run up to the mark and one over all records, which takes and appends those after the mark."""
+    scratch = Scratch(spark, "incremental")
     records = fixtures.persons(spark, sf_dir).select(*RECORD_COLUMNS)
-    runs = [records.filter(F.col(RECORD_ID) <= MARK), select_new_records(records, MARK)]
-    golden = [build_golden_records(r, resolve_records(r).clusters, check_unique=False) for r in runs]
-    return golden[0].unionByName(golden[1])
+    everything = scratch.materialise(records, "all.parquet")
+    scratch.materialise(everything.filter(F.col(RECORD_ID) <= MARK), "first.parquet")
+    settings = Settings(input_path=f"{scratch.path}/first.parquet", warehouse=f"{scratch.path}/warehouse")
+    run(spark, settings, model=FIXED_MODEL)
+    run(spark, replace(settings, input_path=f"{scratch.path}/all.parquet"), incremental=True, model=FIXED_MODEL)
+    return open_table(spark, settings).read()
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -241,7 +248,7 @@ def _text_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def entry(spark: SparkSession, sf_dir: str = SMOKE_DIR) -> DataFrame:
     """Which customer rows are the same person, and what is the best record of each?"""
-    return _resolved_golden(spark, sf_dir)
+    return _resolved_golden(spark, sf_dir, None)
 
 
 def queries() -> dict[str, Query]:
@@ -365,6 +372,10 @@ _CLUSTERS = """edges as (select record_id_l as a, record_id_r as b from pairs un
   labels_(n, m) as (select record_id, record_id from view_ union select s.b, l.m from labels_ l join edges s on s.a = l.n and l.m < s.b),
   clusters as (select n as record_id, min(m) as cluster_id from labels_ group by n)"""
 
+_HITS = f"hits as (select * from scored where match_probability >= {THRESHOLD})"
+_HITS_OF_A_RUN = _HITS[:-1] + f" and (record_id_l <= '{MARK}') = (record_id_r <= '{MARK}'))"
+_CLUSTERS_OF_HITS = _CLUSTERS.replace("from pairs", "from hits")
+
 
 def _vote_sql(column: str) -> str:
     return (
@@ -415,6 +426,11 @@ def oracle_sql() -> dict[str, str]:
         " from sampled l join sampled r on l.record_id < r.record_id group by all"
         for c in FIELDS
     )
+    local = "nullif(regexp_extract(email, '^[^@]+'), '')"
+    grouped = "(select coalesce(sum(n * (n - 1) // 2), 0) from (select count(*) as n from view_ where {0} is not null group by {1}))"
+    equal = [f"select '{c}' as comparison, {len(FIXED_RATES[c]) - 1} as level, {grouped.format(c, c)} as n" for c in FIELDS]
+    equal.append(f"select 'email', 3, {grouped.format(local, local)} - {grouped.format(local, 'email')}")
+    everything = " union all ".join(f"select '{c}' as comparison, count({c}) * (count({c}) - 1) / 2 as total from view_" for c in FIELDS)
     training = " union all ".join(
         f"select cast({n} as integer) as training_rule, {_GAMMA_SQL} from (select {_PAIR_COLUMNS} from view_ l"
         f" join view_ r on {rule} and l.record_id < r.record_id)"
@@ -484,8 +500,14 @@ def oracle_sql() -> dict[str, str]:
             _VIEW,
             sampled,
             f"levels_ as ({levels})",
-            select="select comparison, level, round(n / sum(n) over (partition by comparison), 9) as u from levels_"
-            " where level >= 0",
+            f"equal_ as ({' union all '.join(equal)})",
+            f"everything_ as ({everything})",
+            "fixed_ as (select comparison, sum(n) as fixed from equal_ group by comparison)",
+            "others_ as (select * from levels_ l where level >= 0 and not exists (select 1 from equal_ e"
+            " where e.comparison = l.comparison and e.level = l.level))",
+            select="select comparison, level, round(n / total, 9) as u from equal_ join everything_ using (comparison) where n > 0"
+            " union all select comparison, level, round((total - fixed) / total * (n / sum(n) over (partition by comparison)), 9)"
+            " from others_ join everything_ using (comparison) join fixed_ using (comparison)",
         ),
         "training_pattern_counts": _with(
             _VIEW,
@@ -532,6 +554,9 @@ def oracle_sql() -> dict[str, str]:
             select="select p as predicted_pairs, t as true_pairs, f as found_pairs,"
             " round(f / p, 9) as precision, round(f / t, 9) as recall, round(2.0 * f / (p + t), 9) as f1 from counts",
         ),
+        "resolve_records": _with(*compared, _SCORED, _HITS, _CLUSTERS_OF_HITS, select="select * from clusters"),
+        "resolved_golden": _with(*compared, _SCORED, _HITS, _CLUSTERS_OF_HITS, _GOLDEN, select="select * from golden"),
+        "incremental_golden": _with(*compared, _SCORED, _HITS_OF_A_RUN, _CLUSTERS_OF_HITS, _GOLDEN, select="select * from golden"),
         "generation_summary": _with(
             "people as (select truth, count(*) as n from persons group by truth)",
             select="select cast(sum(n) as bigint) as total_rows, count(*) as distinct_people,"

@@ -9,7 +9,9 @@ side is missing, which says nothing either way. It is written as SQL text over t
 * ``questions``: text columns whose Jaro-Winkler similarity can still raise that level, each with the
   condition under which it can;
 * ``tiers``: the levels that such similarities give, best first;
-* ``may_agree``: a cheap bound, false only where the level is 0 for certain.
+* ``may_agree``: a cheap bound, false only where the level is 0 for certain;
+* ``exact``: the levels that equal values give, best first, each with that value; an equal value of one level
+  means an equal value, or none, of the next.
 
 Levels are found in two steps, so that pairs which raise the same questions can be merged in between:
 `ask` works inside the JVM and `answer` calls Python for the questions that are left.
@@ -37,6 +39,10 @@ class ExactOnly:
     column: str
     top: int = 1
 
+    @property
+    def exact(self) -> tuple[tuple[int, str], ...]:
+        return ((self.top, self.column),)
+
     def helpers(self) -> dict[str, str]:
         return {}
 
@@ -64,6 +70,10 @@ class EditTiers:
     def top(self) -> int:
         return len(self.distances) + 1
 
+    @property
+    def exact(self) -> tuple[tuple[int, str], ...]:
+        return ((self.top, self.column),)
+
     def helpers(self) -> dict[str, str]:
         return {}
 
@@ -101,6 +111,10 @@ class NameTiers:
     def _similar(self) -> str:
         return may_reach(self.column, min(self.thresholds))
 
+    @property
+    def exact(self) -> tuple[tuple[int, str], ...]:
+        return ((self.top, self.column),)
+
     def helpers(self) -> dict[str, str]:
         return bound_helpers(self.column, self.column)
 
@@ -132,8 +146,16 @@ class EmailTiers:
     def _similar(self, text: str) -> str:
         return may_reach(text, self.threshold)
 
+    @property
+    def _local_text(self) -> str:
+        return f"nullif(regexp_extract({self.column}, '^[^@]+', 0), '')"
+
+    @property
+    def exact(self) -> tuple[tuple[int, str], ...]:
+        return ((4, self.column), (3, self._local_text))
+
     def helpers(self) -> dict[str, str]:
-        local = f"nullif(regexp_extract({self.column}, '^[^@]+', 0), '')"
+        local = self._local_text
         sizes = bound_helpers(self.column, self.column) | bound_helpers(self._local, local)
         return {self._local: local, **sizes}
 

@@ -14,7 +14,7 @@ from functools import reduce
 from statistics import median
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kinfold.operators.blocking import (
@@ -29,7 +29,6 @@ from kinfold.operators.blocking import (
 from kinfold.operators.comparison import (
     COMPARISONS,
     Comparison,
-    ExactOnly,
     answer,
     ask,
     carried_columns,
@@ -67,6 +66,8 @@ class Level:
 class Model:
     prior: float
     levels: tuple[Level, ...]
+    #: Share of the records from which the u of similar, not equal, values was estimated.
+    sampled_share: float = 1.0
 
     @property
     def prior_weight(self) -> float:
@@ -140,6 +141,37 @@ def _agreeing_values(values: DataFrame, comparison: Comparison, chunks: int) ->
     return graded.groupBy(F.col(gamma(comparison)).alias("level")).agg(F.sum("n").alias("n"))
 
 
+def sampled_share(total: int, max_pairs: int) -> float:
+    """Share of the records whose pairs `random_pair_levels` compares for similarity."""
+    return min(1.0, sample_size(max_pairs) / total) if total else 1.0
+
+
+def exact_pairs(units: DataFrame, comparisons: Sequence[Comparison] = COMPARISONS) -> DataFrame:
+    """Pairs of all records at each level that equal values give, and at level 0 the other non-null pairs.
+
+    One scan and group sizes; no pair is listed.
+    """
+    rows = []
+    for c in comparisons:
+        following = [key for _, key in c.exact[1:]] + ["cast(null as string)"]
+        for (level, key), after in zip(c.exact, following, strict=True):
+            rows.append(f"struct('{c.column}' as comparison, {level} as level, {level} = {c.top} as top, {key} as value, {after} is not null as again)")
+    values = units.selectExpr(f"inline(array({', '.join(rows)}))").filter("value is not null")
+    values = values.groupBy("comparison", "level", "top", "again", "value").agg(F.count("*").cast("decimal(18,0)").alias("n"))
+    sizes = values.groupBy("comparison", "level", "top").agg(
+        F.expr("sum(n)").cast("decimal(18,0)").alias("records"),
+        F.expr("sum(n * (n - 1)) / 2").cast("decimal(37,0)").alias("equal"),
+        F.expr("coalesce(sum(n * (n - 1)) filter (where again), 0) / 2").cast("decimal(37,0)").alias("nested"),
+    )
+    # Pairs that are equal at a level and again at the next one belong to the first.
+    places = Window.partitionBy("comparison").orderBy(F.desc("level"))
+    sizes = sizes.withColumn("own", F.expr("equal") - F.coalesce(F.lag("nested").over(places), F.lit(0)))
+    everything = "if(top, cast(records * (records - 1) / 2 as decimal(37,0)), 0)"
+    return sizes.selectExpr(
+        f"inline(array(struct(comparison, level, cast(own as decimal(38,0)) as n), struct(comparison, 0 as level, cast({everything} - own as decimal(38,0)) as n)))"
+    )
+
+
 def random_pair_levels(
     units: DataFrame,
     comparisons: Sequence[Comparison] = COMPARISONS,
@@ -147,27 +179,39 @@ def random_pair_levels(
     seed: int = SEED,
     id_column: str = RECORD_ID,
 ) -> DataFrame:
-    """Non-null pairs per level among all pairs of a bounded sample: ``comparison``, ``level``, ``n``.
+    """Non-null pairs of all records per level: ``comparison``, ``level``, ``n``.
 
-    The levels of one column depend on its values alone, so equal values are counted by group size and
-    only pairs of distinct values are compared, at most ``max_pairs`` of them and cut into tiles.
-    Level 0 is what remains.
+    Levels of equal values are counted over the whole table. How the other pairs split into similar and different
+    ones is measured by comparing the distinct values of ``sample_size(max_pairs)`` records drawn by hash, cut into
+    tiles (`sampled_share` of the records), and is exact where that is all of them.
     """
     total = units.count()
     sample = sample_records(units, total, max_pairs, seed, id_column)
     chunks = max(1, math.ceil(min(total, sample_size(max_pairs)) / _SAMPLE_CHUNK))
-    parts = []
+    parts = [exact_pairs(units, comparisons).selectExpr("comparison", "true as whole", "level", "n")]
     for c in comparisons:
+        equal = [str(level) for level, _ in c.exact]
+        if len(equal) == c.top:
+            continue
         values = sample.filter(F.col(c.column).isNotNull()).groupBy(c.column).agg(F.count("*").alias("n"))
-        counts = values.selectExpr(
-            "cast(coalesce(floor(sum(n) * (sum(n) - 1) / 2), 0) as bigint) as everything",
-            "cast(coalesce(sum(floor(n * (n - 1) / 2)), 0) as bigint) as equal",
-        ).selectExpr(f"inline(array(struct(0 as level, everything - equal as n), struct({c.top} as level, equal as n)))")
-        if not isinstance(c, ExactOnly):
-            near = _agreeing_values(with_helpers(values, [c]), c, chunks)
-            counts = counts.unionByName(near.selectExpr("inline(array(struct(level, n), struct(0 as level, -n as n)))"))
-        parts.append(counts.selectExpr(f"'{c.column}' as comparison", "level", "n"))
-    levels = reduce(DataFrame.unionByName, parts).groupBy("comparison", "level").agg(F.sum("n").alias("n"))
+        others = values.selectExpr("0 as level", "cast((sum(n) * (sum(n) - 1) - sum(n * (n - 1))) / 2 as bigint) as n")
+        near = _agreeing_values(with_helpers(values, [c]), c, chunks).filter("level > 0")
+        listed = f"level in ({', '.join(equal)})"
+        near = near.selectExpr(f"if({listed}, 0, level) as level", f"if({listed}, -n, n) as n")
+        found = others.unionByName(near).selectExpr(f"'{c.column}' as comparison", "false as whole", "level", "cast(n as decimal(38,0)) as n")
+        parts.append(found)
+    counts = reduce(DataFrame.unionByName, parts).groupBy("comparison", "whole", "level").agg(F.sum("n").alias("n"))
+    same = Window.partitionBy("comparison")  # a few rows each
+    rest = counts.withColumns({
+        "rest": F.max(F.expr("if(whole and level = 0, cast(n as double), null)")).over(same),
+        "sampled": F.max(F.expr("if(not whole and level = 0, cast(n as double), null)")).over(same),
+    })
+    share = "cast(round(rest * cast(n as double) / sampled) as decimal(38,0))"
+    split = rest.filter("whole or level > 0").selectExpr(
+        "comparison",
+        f"inline(if(whole, array(struct(level, n)), array(struct(level, coalesce({share}, 0) as n), struct(0 as level, -coalesce({share}, 0) as n))))",
+    )
+    levels = split.groupBy("comparison", "level").agg(F.sum("n").alias("n"))
     return levels.filter("n > 0")
 
 
@@ -175,7 +219,7 @@ def u_probabilities(levels: DataFrame) -> DataFrame:
     """Share of each level: ``comparison``, ``level``, ``u``."""
     totals = levels.groupBy(F.col("comparison").alias("of")).agg(F.sum("n").alias("total"))
     shares = levels.join(F.broadcast(totals), F.col("comparison") == F.col("of"))  # one row per comparison
-    return shares.select("comparison", "level", (F.col("n") / F.col("total")).alias("u"))
+    return shares.select("comparison", "level", (F.col("n").cast("double") / F.col("total").cast("double")).alias("u"))
 
 
 # --- m: agreement of matches ------------------------------------------------------------------------

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +36,7 @@ from kinfold.operators.model import (
     pairs_above_threshold,
     prior_probability,
     random_pair_levels,
+    sampled_share,
     score_pairs,
     training_pattern_counts,
     u_probabilities,
@@ -76,7 +77,8 @@ def train_model(
     levels = random_pair_levels(view, comparisons, settings.max_sampled_pairs, settings.seed)
     u_rows = u_probabilities(levels).collect()  # one row per level
     patterns = training_pattern_counts(profiles, comparisons, training_rules).collect()  # one per pattern
-    return fit_model(prior, u_rows, patterns, comparisons, training_rules)
+    model = fit_model(prior, u_rows, patterns, comparisons, training_rules)
+    return replace(model, sampled_share=sampled_share(view.count(), settings.max_sampled_pairs))
 
 
 def scored_candidates(

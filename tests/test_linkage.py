@@ -135,6 +135,15 @@ def test_random_pair_levels_equal_all_pairs(spark, sample):
     assert rows(random_pair_levels(view)) == sorted(want)
 
 
+def test_equal_values_are_counted_on_all_records_however_small_the_sample(spark, sample):
+    view = linkage_view(sample.records.limit(120)).cache()
+    exact = {(c.column, level) for c in COMPARISONS for level, _ in c.exact}
+    full, part = ({r[:2]: r[2] for r in rows(random_pair_levels(view, max_pairs=n))} for n in (10_000, 300))
+    assert {k: n for k, n in part.items() if k in exact} == {k: n for k, n in full.items() if k in exact}
+    for c in COMPARISONS:
+        assert sum(n for k, n in part.items() if k[0] == c.column) == sum(n for k, n in full.items() if k[0] == c.column)
+
+
 def test_sample_is_bounded_and_repeatable(spark):
     assert sample_size(10_000_000) == 4_472
     assert [sample_size(n) for n in (1, 2, 3, 5, 6)] == [2, 2, 3, 3, 4]
