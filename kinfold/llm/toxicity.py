@@ -1,7 +1,7 @@
 """Toxic passages as maximum-scoring segments of token log-odds.
 
-Learning counts, over all labelled texts, in how many toxic and clean texts each word form occurs (in toxic texts
-no more often than it has different neighbours): the whole word and its first 4, 5 and 6 bytes, hashed to ``BUCKETS`` places. The log-odds of a form have an informative Dirichlet prior
+Learning counts, over all labelled texts, in how many toxic and clean texts each word form occurs: the whole word and
+its first 4, 5 and 6 bytes, hashed to ``BUCKETS`` places. The log-odds of a form have an informative Dirichlet prior
 (the counts of all texts scaled to ``prior`` texts), and a form scores by the lower end of its interval. A word
 scores by its best form if that is above 0, else it costs ``DRIFT``. One linear scan finds all disjoint
 maximum-scoring segments of a text. Segment scores of clean texts give the two parameters of the extreme-value law,
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.llm.common import NOT_LETTERS, Words, flat, fold, grams, map_batches, mix, passes, save, workspace
+from kinfold.llm.common import NOT_LETTERS, Words, flat, fold, grams, map_batches, passes, save, workspace
 
 BUCKETS = 1 << 20
 PREFIXES = (4, 5, 6)
@@ -59,9 +59,8 @@ def _keys(with_text: bool):
 
 
 def _count(batches):
-    """Texts of each half and label in which a form occurs, and a bitmap of the neighbours it has in toxic texts."""
+    """Texts of each half and label in which a form occurs."""
     counts = np.zeros((4, BUCKETS), np.int32)
-    around = np.zeros((2, BUCKETS), np.uint64)
     texts = np.zeros(4, np.int64)
     for batch in passes(batches):
         words, forms = _forms(batch)
@@ -72,24 +71,12 @@ def _count(batches):
         place = kind[pair // BUCKETS] * BUCKETS + pair % BUCKETS
         found, n = np.unique(place, return_counts=True)
         counts.reshape(-1)[found] += n.astype(np.int32)
-        near = np.concatenate([[0], forms[0], [0]]).astype(np.uint64)
-        bit = np.uint64(1) << (mix(near[:-2] * np.uint64(BUCKETS) + near[2:]) & np.uint64(63))
-        chosen = np.flatnonzero(toxic[words.doc] == 1)
-        for form in forms:
-            np.bitwise_or.at(around.reshape(-1), half[words.doc[chosen]] * BUCKETS + form[chosen], bit[chosen])
     used = np.flatnonzero(counts.any(axis=0))
     columns = [np.concatenate([[texts[i]], counts[i, used]]).astype(np.int64) for i in range(4)]
-    columns += [np.concatenate([[0], around[i, used].view(np.int64)]) for i in range(2)]
-    names = ["place", "c0", "c1", "c2", "c3", "a0", "a1"]
+    names = ["place", "c0", "c1", "c2", "c3"]
     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([[-1], used])), *map(pa.array, columns)], names=names)
 
 
-def distinct_contexts(bitmap: np.ndarray) -> np.ndarray:
-    """Linear counting over 64 bits; about 270 when all are set."""
-    empty = 64 - np.bitwise_count(bitmap.astype(np.uint64)).astype(float)
-    return -64 * np.log(np.maximum(empty, 1) / 64)
-
-
 def log_odds(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int, prior: float = PRIOR, z: float = Z) -> np.ndarray:
     """Lower end of the log-odds of each form under a Dirichlet prior of ``prior`` texts."""
     pull = prior * (toxic + clean) / max(n_toxic + n_clean, 1) + 1e-3
@@ -217,19 +204,16 @@ def learn(docs: DataFrame, marks: DataFrame, scratch, sample: int = SAMPLE) -> M
         F.pmod(F.xxhash64("key"), F.lit(2)).cast("int").alias("half"),
     )
     texts = save(scratch, texts, "distinct")
-    counted = texts.mapInArrow(_count, "place long, c0 long, c1 long, c2 long, c3 long, a0 long, a1 long")
-    sums = [F.sum(f"c{i}").alias(f"c{i}") for i in range(4)] + [F.bit_or(f"a{i}").alias(f"a{i}") for i in range(2)]
+    counted = texts.mapInArrow(_count, "place long, c0 long, c1 long, c2 long, c3 long")
+    sums = [F.sum(f"c{i}").alias(f"c{i}") for i in range(4)]
     counts = counted.groupBy("place").agg(*sums).toArrow()  # at most BUCKETS + 1 rows
     place = counts["place"].to_numpy()
-    table, around, texts_of = np.zeros((4, BUCKETS)), np.zeros((2, BUCKETS), np.int64), np.zeros(4)
+    table, texts_of = np.zeros((4, BUCKETS)), np.zeros(4)
     for i in range(4):
         values = counts[f"c{i}"].to_numpy()
         table[i, place[place >= 0]] = values[place >= 0]
         texts_of[i] = values[place < 0].sum()
-    for i in range(2):
-        around[i, place[place >= 0]] = counts[f"a{i}"].to_numpy()[place >= 0]
-    # A form that copies of one toxic text repeat has few neighbours; it counts by those.
-    clean, toxic = table[[0, 2]], np.minimum(table[[1, 3]], distinct_contexts(around.view(np.uint64)))
+    clean, toxic = table[[0, 2]], table[[1, 3]]
     n_clean, n_toxic = texts_of[[0, 2]], texts_of[[1, 3]]
     if not n_clean.sum() or not n_toxic.sum():
         return None

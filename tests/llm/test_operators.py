@@ -10,12 +10,14 @@ from math import ceil
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer as Reference
 
 import kinfold.llm.anchors as anchors
+from kinfold.llm.common import workspace
 from kinfold.llm.jaccard import near_duplicates, one_of_each
 from kinfold.llm.language import identify
 from kinfold.llm.mixing import mix, word_count
@@ -26,7 +28,7 @@ from kinfold.llm.queries import ORACLES, QUERIES, vocabulary
 from kinfold.llm.rules import quality_rules
 from kinfold.llm.substrings import remove_repeated_words
 from kinfold.llm.suffixes import remove_repeats
-from kinfold.llm.toxicity import segments, toxicity
+from kinfold.llm.toxicity import _forms, learn, log_odds, segments, toxicity
 
 from .conftest import ROWS, SF_DIR
 
@@ -202,6 +204,31 @@ def test_scores_of_odd_rows(spark, docs, empty):
     assert {r["lang_pred"] for r in identify(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def _labelled(spark, rows):
+    """Texts with a label each, as the input of ``learn``."""
+    frame = spark.createDataFrame([(i, t, y) for i, (t, y) in enumerate(rows)], "doc_id long, text string, toxic int")
+    return frame.select("doc_id", "text"), frame.select(F.col("doc_id").alias("labelled_id"), "toxic")
+
+
+def _place(word: str) -> int:
+    return int(_forms(pa.RecordBatch.from_pydict({"text": [word]}))[1][0][0])
+
+
+def test_a_toxic_word_scores_no_less_in_a_larger_corpus(spark):
+    scores = []
+    for n in (200, 4000):
+        rows = [(f"{random_words(i, 12)} vile{i % 9} idiot {random_words(-i - 1, 12)}", 1) for i in range(n)]
+        rows += [(random_words(10**6 + i, 24), 0) for i in range(n)]
+        model = learn(*_labelled(spark, rows), workspace(spark, "toxicity"))
+        scores.append(float(model.table[0, _place("idiot")]))
+        assert scores[-1] == pytest.approx(float(log_odds(np.array([n]), np.array([0]), n, n)[0]))
+    assert scores[1] >= scores[0] > 1
+
+
+def random_words(seed: int, n: int) -> str:
+    return " ".join(f"w{x}" for x in np.random.default_rng(seed % 2**32).integers(0, 400, n))
+
+
 def test_segments_are_the_maximal_ones():
     at, gain = np.array([0, 1, 10, 30]), np.array([2.0, 1.0, 3.0, 1.0])
     assert [(round(s, 2), a, b) for s, a, b in segments(at, gain, 0.25)] == [(4.0, 0, 10), (1.0, 30, 30)]
