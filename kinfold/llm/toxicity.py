@@ -8,9 +8,11 @@ maximum-scoring segments of a text. Segment scores of clean texts give the two p
 by which a segment's score becomes an expected number of equally good segments in a clean text of that length. A
 logistic curve over that turns the best segment and the number of significant ones into a probability.
 
-Texts with the same least word-shingle hash count once, so copies do not outvote other texts. Token scores that
-calibrate a text come from the other half of the texts. The curve is fitted on a bounded sample of labelled texts
-(``sample``); counts cover all of them.
+Every different labelled text counts; texts with the same sequence of words are one. A text that is much like ``n - 1``
+others of its label weighs 1 / n, so near copies do not outvote other texts: they share one of ``ROUNDS`` least shingle
+hashes with a leading text and agree with it in ``ALIKE`` of ``HASHES`` such hashes. Token scores that calibrate a text
+come from the other half of the texts. The curve is fitted on a bounded sample of labelled texts (``sample``); counts
+cover all of them.
 
 Defined cases: a text without words has the score of no segment; a null or repeated label row with both values makes
 the text toxic; without labels of both kinds every score is 0; repeated rows are scored each; other columns are not
@@ -24,7 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.llm.common import NOT_LETTERS, Words, flat, fold, grams, map_batches, passes, save, workspace
+from kinfold.llm.common import NOT_LETTERS, Words, flat, fold, grams, map_batches, mix, passes, save, workspace
+from kinfold.operators.skew import lookup
 
 BUCKETS = 1 << 20
 PREFIXES = (4, 5, 6)
@@ -33,7 +36,13 @@ PRIOR = 50.0
 Z = 2.6
 SAMPLE = 20_000
 SIGNIFICANT = 0.01
-NO_KEY = np.iinfo(np.int64).min
+#: Least shingle hashes of a text, those by which texts meet, and those that must agree (a similarity of about 0.7).
+HASHES = 32
+ROUNDS = 4
+ALIKE = 22
+_ORDERS = mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
+#: Weight of a text without near copies; whole numbers make sums independent of their order.
+WHOLE = 1 << 30
 
 
 def _forms(batch: pa.RecordBatch) -> tuple[Words, list[np.ndarray]]:
@@ -43,36 +52,46 @@ def _forms(batch: pa.RecordBatch) -> tuple[Words, list[np.ndarray]]:
     return words, [(f >> np.uint64(44)).astype(np.int64) for f in (whole, *first)]
 
 
-def _keys(with_text: bool):
-    def make(batch: pa.RecordBatch) -> dict:
-        words = Words(*flat(batch.column("text")), lower=True)
-        hashes, at = grams(words.hashes(), words.bounds, 5)
-        key = np.full(batch.num_rows, NO_KEY, np.int64)
-        if len(at):
-            doc = words.doc[at]
-            first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
-            key[doc[first]] = np.minimum.reduceat(hashes, first).view(np.int64)
-        found = {"doc_id": batch.column("doc_id"), "key": key}
-        return found | {"text": batch.column("text")} if with_text else found
+def _copies(batch: pa.RecordBatch) -> dict:
+    """A digest of each text's whole sequence of words."""
+    words = Words(*flat(batch.column("text")), lower=True)
+    hashes = words.hashes()
+    total = np.zeros(batch.num_rows, np.uint64)
+    place = np.arange(len(hashes)) - words.bounds[words.doc]
+    np.add.at(total, words.doc, mix(hashes + mix(place.astype(np.uint64) + np.uint64(1))))
+    copy = mix(total + words.count.astype(np.uint64)).view(np.int64)
+    return {"doc_id": batch.column("doc_id"), "copy": copy, "text": batch.column("text")}
 
-    return make
+
+def _keys(batch: pa.RecordBatch) -> dict:
+    """The digests, and the least hashes of the runs of five words in ``HASHES`` orders; none in a shorter text."""
+    words = Words(*flat(batch.column("text")), lower=True)
+    hashes, at = grams(words.hashes(), words.bounds, 5)
+    near: list = [[]] * batch.num_rows
+    if len(at):
+        doc = words.doc[at]
+        first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+        least = np.stack([np.minimum.reduceat(hashes * a, first) >> np.uint64(32) for a in _ORDERS], 1)
+        for i, row in zip(doc[first].tolist(), least.astype(np.uint32).view(np.int32), strict=True):
+            near[i] = row
+    return _copies(batch) | {"near": near}
 
 
 def _count(batches):
-    """Texts of each half and label in which a form occurs."""
-    counts = np.zeros((4, BUCKETS), np.int32)
+    """Weight of the texts of each half and label in which a form occurs."""
+    counts = np.zeros((4, BUCKETS), np.int64)
     texts = np.zeros(4, np.int64)
     for batch in passes(batches):
         words, forms = _forms(batch)
         half, toxic = (batch.column(c).to_numpy().astype(np.int64) for c in ("half", "toxic"))
         kind = half * 2 + toxic
-        texts += np.bincount(kind, minlength=4)
+        weight = WHOLE // batch.column("alike").to_numpy()
+        np.add.at(texts, kind, weight)
         pair = np.unique(np.concatenate([words.doc * BUCKETS + f for f in forms]))
         place = kind[pair // BUCKETS] * BUCKETS + pair % BUCKETS
-        found, n = np.unique(place, return_counts=True)
-        counts.reshape(-1)[found] += n.astype(np.int32)
+        np.add.at(counts.reshape(-1), place, weight[pair // BUCKETS])
     used = np.flatnonzero(counts.any(axis=0))
-    columns = [np.concatenate([[texts[i]], counts[i, used]]).astype(np.int64) for i in range(4)]
+    columns = [np.concatenate([[texts[i]], counts[i, used]]) for i in range(4)]
     names = ["place", "c0", "c1", "c2", "c3"]
     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([[-1], used])), *map(pa.array, columns)], names=names)
 
@@ -128,25 +147,31 @@ def _calibration(tables: np.ndarray):
         found = [scorer.segments(i) for i in range(batch.num_rows)]
         gains = [scorer.gain[scorer.cut[i] : scorer.cut[i + 1]].tolist() for i in range(batch.num_rows)]
         scores = [[s for s, _, _ in x] for x in found]
-        return {"row_id": batch.column("row_id"), "toxic": batch.column("toxic"), "words": scorer.words.count, "gains": gains, "scores": scores}
+        return {"row_id": batch.column("row_id"), "toxic": batch.column("toxic"), "alike": batch.column("alike"), "words": scorer.words.count, "gains": gains, "scores": scores}
 
     return make
 
 
+def _lists(column: pa.ChunkedArray) -> list[np.ndarray]:
+    column = column.combine_chunks()
+    return np.split(column.flatten().to_numpy(), np.cumsum(column.value_lengths().to_numpy())[:-1])
+
+
 class Law:
     """Extreme-value law of segment scores in clean texts, and the curve from evidence to probability."""
 
-    def __init__(self, words: np.ndarray, gains: list, scores: list, toxic: np.ndarray):
+    def __init__(self, words: np.ndarray, gains: list, scores: list, toxic: np.ndarray, weight: np.ndarray):
         clean = np.flatnonzero(~toxic)
-        total = max(int(words[clean].sum()), 1)
+        total = max(float((words * weight)[clean].sum()), 1.0)
         ups = np.concatenate([np.zeros(0), *[np.asarray(gains[i], float) for i in clean]])
+        times = np.append(np.repeat(weight[clean], [len(gains[i]) for i in clean]), 1.0)
         low, high = 0.0, 1.0
         # The decay is the positive root of the mean of exp(decay * score) - 1 over words of clean texts; an
         # added word of the highest score keeps it finite where clean texts have none.
-        ups = np.append(ups, max([8.0, *ups]))
+        ups = np.append(ups, ups.max(initial=8.0))
 
         def excess(decay: float) -> float:
-            return float((total - len(ups) + 1) * np.exp(-decay * DRIFT) + np.exp(decay * ups).sum() - (total + 1))
+            return float((total - times.sum() + 1) * np.exp(-decay * DRIFT) + (times * np.exp(decay * ups)).sum() - (total + 1))
 
         while excess(high) < 0 and high < 64:
             high *= 2
@@ -155,9 +180,9 @@ class Law:
             low, high = (middle, high) if excess(middle) < 0 else (low, middle)
         self.decay = max(low, 1e-3)
         best = np.array([max(s, default=0.0) for s in scores])
-        self.rate = (len(clean) + 1) / (float((words[clean] * np.exp(-self.decay * best[clean])).sum()) + 1)
+        self.rate = (float(weight[clean].sum()) + 1) / (float(((weight * words)[clean] * np.exp(-self.decay * best[clean])).sum()) + 1)
         x = np.array([self.evidence(s, n) for s, n in zip(scores, words, strict=True)])
-        self.slope, self.shift = _logistic(x, toxic.astype(float))
+        self.slope, self.shift = _logistic(x, toxic.astype(float), weight)
 
     def evidence(self, scores: list[float], words: int) -> float:
         """Minus the log of the expected number of segments as good as the best, and a share for further ones."""
@@ -171,14 +196,14 @@ class Law:
         return float(1 / (1 + np.exp(-np.clip(self.slope * self.evidence(scores, words) + self.shift, -30, 30))))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.1) -> tuple[float, float]:
+def _logistic(x: np.ndarray, y: np.ndarray, times: np.ndarray, penalty: float = 0.1) -> tuple[float, float]:
     """Slope and shift of a logistic curve by Newton's method."""
     scale = max(float(np.abs(x).max(initial=0.0)), 1e-9)
     design, weight = np.stack([x / scale, np.ones(len(x))], 1), np.zeros(2)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(design @ weight, -30, 30)))
-        curve = design.T @ (design * (p * (1 - p))[:, None]) + np.eye(2) * penalty
-        weight = weight - np.linalg.solve(curve, design.T @ (p - y) + penalty * weight)
+        curve = design.T @ (design * (times * p * (1 - p))[:, None]) + np.eye(2) * penalty
+        weight = weight - np.linalg.solve(curve, design.T @ (times * (p - y)) + penalty * weight)
     return max(weight[0], 0.0) / scale, weight[1]
 
 
@@ -187,44 +212,75 @@ class Model:
         self.table, self.law = table, law
 
 
-def learn(docs: DataFrame, marks: DataFrame, scratch, sample: int = SAMPLE) -> Model | None:
-    """A model from ``doc_id`` and ``text``, and ``labelled_id`` and ``toxic`` (0 or 1) once per id; None without
-    texts of both kinds.
+def _alike(one: DataFrame, scratch) -> DataFrame:
+    """``copy``, ``toxic`` and how many texts of that label are ``alike``, for texts that are much like a leading one."""
+    group = ["toxic", "round", "key"]
+    sides = one.select("copy", "toxic", "near", F.posexplode(F.slice("near", 1, ROUNDS)).alias("round", "key"))
+    leaders = sides.groupBy(*group).agg(F.min_by("near", "copy").alias("leader"), F.count("*").alias("n")).filter("n > 1")
+    total = one.count() * ROUNDS
+    same = F.expr(f"size(filter(zip_with(near, leader, (a, b) -> a = b), x -> x)) >= {ALIKE}")
+    near = save(scratch, lookup(sides, leaders, group, "n", total).filter(same).select("copy", *group), "near")
+    sizes = near.groupBy(*group).agg(F.count("*").alias("n")).withColumn("alike", F.col("n"))
+    return lookup(near, sizes, group, "n", total).groupBy("copy", "toxic").agg(F.max("alike").alias("alike"))
+
+
+def labelled_texts(docs: DataFrame, marks: DataFrame, scratch) -> DataFrame:
+    """Every different labelled text once, with its half and how many texts are ``alike``.
 
-    One text stands for all with its key and label. It is chosen among ids and keys alone, so texts are shuffled once.
+    One text stands for all with its words and label. It is chosen among ids and keys alone, so texts are shuffled once.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.filter("doc_id is not null").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    keys = map_batches(rows, _keys(False), f"doc_id {kind}, key long")
+    keys = map_batches(rows, _keys, f"doc_id {kind}, copy long, near array<int>")
     marked = keys.join(marks.hint("merge"), F.col("doc_id") == F.col("labelled_id"))
-    one = marked.groupBy("key", "toxic").agg(F.min("doc_id").alias("doc_id"))
-    texts = map_batches(rows, _keys(True), f"doc_id {kind}, key long, text string").join(one.hint("merge"), ["doc_id", "key"])
-    texts = texts.dropDuplicates(["doc_id", "key"]).select(
-        F.xxhash64("key", "toxic").alias("row_id"), F.col("toxic").cast("int").alias("toxic"), "text",
+    one = marked.groupBy("copy", "toxic").agg(F.min("doc_id").alias("doc_id"), F.first("near").alias("near"))
+    one = save(scratch, one, "copies")
+    chosen = one.select("copy", "toxic", "doc_id", F.coalesce(F.get("near", F.lit(0)).cast("long"), "copy").alias("key"))
+    chosen = chosen.join(_alike(one, scratch), ["copy", "toxic"], "left").fillna(1, ["alike"])
+    texts = map_batches(rows, _copies, f"doc_id {kind}, copy long, text string").join(chosen.hint("merge"), ["doc_id", "copy"])
+    texts = texts.dropDuplicates(["doc_id", "copy"]).select(
+        F.xxhash64("copy", "toxic").alias("row_id"), F.col("toxic").cast("int").alias("toxic"), "text", "alike",
         F.pmod(F.xxhash64("key"), F.lit(2)).cast("int").alias("half"),
     )
-    texts = save(scratch, texts, "distinct")
+    return save(scratch, texts, "distinct")
+
+
+def form_counts(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the forms of toxic texts, the weight of texts with each by half and label, and that of all texts."""
     counted = texts.mapInArrow(_count, "place long, c0 long, c1 long, c2 long, c3 long")
-    sums = [F.sum(f"c{i}").alias(f"c{i}") for i in range(4)]
-    counts = counted.groupBy("place").agg(*sums).toArrow()  # at most BUCKETS + 1 rows
+    sums = counted.groupBy("place").agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in range(4)])
+    counts = sums.filter("place < 0 or c1 > 0 or c3 > 0").toArrow()  # at most BUCKETS + 1 rows; other forms score 0
     place = counts["place"].to_numpy()
-    table, texts_of = np.zeros((4, BUCKETS)), np.zeros(4)
-    for i in range(4):
-        values = counts[f"c{i}"].to_numpy()
-        table[i, place[place >= 0]] = values[place >= 0]
-        texts_of[i] = values[place < 0].sum()
-    clean, toxic = table[[0, 2]], table[[1, 3]]
+    weights = np.stack([counts[f"c{i}"].to_numpy() for i in range(4)]) / WHOLE
+    return place[place >= 0], weights[:, place >= 0], weights[:, place < 0].sum(1)
+
+
+def learn(docs: DataFrame, marks: DataFrame, scratch, sample: int = SAMPLE) -> Model | None:
+    """A model from ``doc_id`` and ``text``, and ``labelled_id`` and ``toxic`` (0 or 1) once per id; None without
+    texts of both kinds.
+    """
+    texts = labelled_texts(docs, marks, scratch)
+    place, weights, texts_of = form_counts(texts)
+    clean, toxic = weights[[0, 2]], weights[[1, 3]]
     n_clean, n_toxic = texts_of[[0, 2]], texts_of[[1, 3]]
     if not n_clean.sum() or not n_toxic.sum():
         return None
-    whole = log_odds(toxic.sum(0), clean.sum(0), n_toxic.sum(), n_clean.sum())
+
+    def scores(of: list[int]) -> np.ndarray:
+        table = np.zeros(BUCKETS, np.float32)
+        table[place] = log_odds(toxic[of].sum(0), clean[of].sum(0), n_toxic[of].sum(), n_clean[of].sum())
+        return table
+
+    whole = scores([0, 1])
     # Texts of one half are scored by the counts of the other.
-    halves = np.stack([log_odds(toxic[1 - h], clean[1 - h], n_toxic[1 - h], n_clean[1 - h]) for h in (0, 1)])
+    halves = np.stack([scores([1]), scores([0])])
+    del place, weights, clean, toxic
+    pa.default_memory_pool().release_unused()
     some = texts.select("row_id").orderBy("row_id").limit(sample)
     chosen = texts.join(F.broadcast(some), "row_id", "left_semi")  # at most ``sample`` numbers
-    seen = map_batches(chosen, _calibration(halves), "row_id long, toxic int, words long, gains array<double>, scores array<double>")
-    rows = seen.toPandas()
-    law = Law(rows["words"].to_numpy(), list(rows["gains"]), list(rows["scores"]), rows["toxic"].to_numpy() == 1)
+    seen = map_batches(chosen, _calibration(halves), "row_id long, toxic int, alike long, words long, gains array<double>, scores array<double>")
+    rows = seen.toArrow()
+    law = Law(rows["words"].to_numpy(), _lists(rows["gains"]), _lists(rows["scores"]), rows["toxic"].to_numpy() == 1, 1 / rows["alike"].to_numpy())
     return Model(whole[None], law)
 
 

@@ -28,7 +28,7 @@ from kinfold.llm.queries import ORACLES, QUERIES, vocabulary
 from kinfold.llm.rules import quality_rules
 from kinfold.llm.substrings import remove_repeated_words
 from kinfold.llm.suffixes import remove_repeats
-from kinfold.llm.toxicity import _forms, learn, log_odds, segments, toxicity
+from kinfold.llm.toxicity import _forms, form_counts, labelled_texts, learn, log_odds, segments, toxicity
 
 from .conftest import ROWS, SF_DIR
 
@@ -225,6 +225,17 @@ def test_a_toxic_word_scores_no_less_in_a_larger_corpus(spark):
     assert scores[1] >= scores[0] > 1
 
 
+def test_every_different_labelled_text_counts(spark):
+    passage = random_words(7, 40)
+    rows = [(f"you vile{i}", 1) for i in range(30)] + [(f"fine day{i}", 0) for i in range(50)]  # fewer than five words
+    rows += [(f"{random_words(i, 60)} {passage} shared", 0) for i in range(20)]  # not near copies: a passage in common
+    rows += [(f"{random_words(3, 400)} edit{i} grim", 1) for i in range(40)] * 2  # near copies: one text in all
+    place, weights, texts = form_counts(labelled_texts(*_labelled(spark, rows), workspace(spark, "toxicity")))
+    toxic = {w: (weights[1] + weights[3])[place == _place(w)].tolist() for w in ("you", "grim")}
+    assert toxic["you"] == [30] and toxic["grim"] == pytest.approx([1], abs=0.01)
+    assert [texts[0] + texts[2], texts[1] + texts[3]] == pytest.approx([70, 31], abs=0.01)
+
+
 def random_words(seed: int, n: int) -> str:
     return " ".join(f"w{x}" for x in np.random.default_rng(seed % 2**32).integers(0, 400, n))
 
