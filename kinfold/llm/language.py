@@ -8,8 +8,8 @@ each; a batch looks up each different run once. A text gets the language of leas
 score is the posterior at a temperature fitted on a bounded sample, lowered when the text is far less likely than texts
 of that language usually are; below ``reject`` the language is ``und``.
 
-A model holds at most ``entries`` runs of four, shared evenly by the languages: rarer runs fall back to lower orders,
-as runs that were never seen do.
+A model holds every run of its language. Each language is a broadcast of its own; a worker holds all of them if they have
+at most ``entries`` runs of four in all, else one at a time, read again for each batch. The result is the same.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; so is every text if nothing can be
 learned; ties go to the language that sorts first; characters beyond U+FFFF count by their low 16 bits; repeated rows
@@ -22,7 +22,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinfold.llm.common import fold, map_batches, passes, save, workspace
@@ -141,8 +141,9 @@ class KneserNey:
 
 
 class Model:
-    def __init__(self, languages: list[str], models: list[KneserNey]):
-        self.languages, self.models = languages, models
+    def __init__(self, languages: list[str], models: list, held: bool):
+        """``models`` are broadcasts of ``KneserNey``, kept in memory between batches if ``held``."""
+        self.languages, self.models, self.held = languages, models, held
         self.temperature = 0.1
         self.usual = np.zeros((len(languages), 2))
 
@@ -155,7 +156,9 @@ class Model:
         if len(full):
             different, place = np.unique(code, return_inverse=True)
             for i, model in enumerate(self.models):
-                out[full, i] = -np.add.reduceat(model.log(different)[place], bounds[full]) / n[full]
+                out[full, i] = -np.add.reduceat(model.value.log(different)[place], bounds[full]) / n[full]
+                if not self.held:
+                    vars(model).pop("_value", None)  # what a broadcast keeps of its file
         return out, n
 
     def judge(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -177,19 +180,34 @@ def _entropies(model: Model):
     return make
 
 
+def _groups(languages: list[str], size_of: dict, entries: int) -> list[list[str]]:
+    """Languages in order, together while they have at most ``entries`` runs; each at least alone."""
+    groups: list[list[str]] = []
+    total = 0
+    for x in languages:
+        if not groups or total + size_of[x] > entries:
+            groups.append([])
+            total = 0
+        groups[-1].append(x)
+        total += size_of[x]
+    return groups
+
+
 def learn(known: DataFrame, scratch, entries: int = ENTRIES, sample: int = SAMPLE) -> Model | None:
     """A model from the columns ``text`` and ``lang``."""
     counted = known.mapInArrow(_count, "lang string, code long, n long")
     counts = save(scratch, counted.groupBy("lang", "code").agg(F.sum("n").alias("n")), "runs")
-    languages = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
-    if not languages:
+    size_of = {r["lang"]: r["count"] for r in counts.groupBy("lang").count().collect()}
+    if not size_of:
         return None
-    each = max(1, entries // len(languages))
-    ranked = counts.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code")))
-    rows = ranked.filter(F.col("k") <= each).select("lang", "code", "n").toArrow()
-    lang = np.array(rows["lang"].to_pylist(), object)
-    code, n = rows["code"].to_numpy().view(np.uint64), rows["n"].to_numpy()
-    model = Model(languages, [KneserNey(code[lang == x], n[lang == x]) for x in languages])
+    languages, models = sorted(size_of), []
+    for group in _groups(languages, size_of, entries):
+        number = F.array_position(F.array(*[F.lit(x) for x in group]), F.col("lang")).cast("int")
+        rows = counts.select(number.alias("of"), "code", "n").filter("of > 0").toArrow()
+        of, code, n = rows["of"].to_numpy(), rows["code"].to_numpy().view(np.uint64), rows["n"].to_numpy()
+        for i in range(1, len(group) + 1):
+            models.append(known.sparkSession.sparkContext.broadcast(KneserNey(code[of == i], n[of == i])))
+    model = Model(languages, models, sum(size_of.values()) <= entries)
 
     some = known.select(F.xxhash64("text").alias("key"), F.length("text").alias("size")).distinct().orderBy("key", "size").limit(sample)
     chosen = known.join(F.broadcast(some.select("key")), F.xxhash64("text") == F.col("key"), "left_semi").dropDuplicates(["lang", "text"])

@@ -240,6 +240,12 @@ def random_words(seed: int, n: int) -> str:
     return " ".join(f"w{x}" for x in np.random.default_rng(seed % 2**32).integers(0, 400, n))
 
 
+def test_every_run_of_a_language_is_in_its_model(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text", "lang").limit(200)
+    few, all_held = (identify(docs, entries=n).orderBy("doc_id", "text").collect() for n in (400, 1 << 30))
+    assert few == all_held
+
+
 def test_segments_are_the_maximal_ones():
     at, gain = np.array([0, 1, 10, 30]), np.array([2.0, 1.0, 3.0, 1.0])
     assert [(round(s, 2), a, b) for s, a, b in segments(at, gain, 0.25)] == [(4.0, 0, 10), (1.0, 30, 30)]
