@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from kinfold.llm.common import fold
 from kinfold.llm.jaccard import near_duplicates
 from kinfold.llm.language import identify
+from kinfold.llm.merkle import manifest
 from kinfold.llm.mixing import mix, word_count
 from kinfold.llm.nearest import nearest
 from kinfold.llm.packing import pack
@@ -90,6 +91,15 @@ def _rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third document by its hash has its letters A-Z in lower case when it is read again."""
+    tampered = F.when(fold("doc_id", 3) == 0, F.translate("text", _UPPER, _LOWER)).otherwise(F.col("text"))
+    return manifest(table(spark, sf_dir, "documents"), {"text": tampered})
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": _mixing,
     "op2_suffix_dedup": _suffixes,
@@ -101,6 +111,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": _rules,
     "op9_substring_dedup": _substrings,
     "op10_exact_topk": _nearest,
+    "op11_merkle": _manifest,
 }
 
 _NEAREST = """
@@ -156,7 +167,54 @@ select doc_id, source, epoch::int as epoch, n::bigint as n_tokens, start,
 from placed where epoch < whole or start < rest
 """
 
+
+
+def _tree_sql(nodes: str, name: str, levels: int) -> str:
+    """CTEs of a tree over ``nodes`` (g, pos, h): on each level the siblings of a node, and the nodes of the next one."""
+    parts = [f"{name}0 as (select *, count(*) over (partition by g) as n from {nodes})"]
+    for k in range(levels):
+        run = "over (partition by g, pos // 8 order by pos rows between"
+        before = f"string_agg(h, '') {run} unbounded preceding and 1 preceding)"
+        after = f"string_agg(h, '') {run} 1 following and unbounded following)"
+        parts.append(f"{name}_sides{k} as (select g, pos, n, coalesce(if(n = 1, '', {before}), '') as b, coalesce(if(n = 1, '', {after}), '') as a from {name}{k})")
+        parts.append(
+            f"{name}{k + 1} as (select *, count(*) over (partition by g) as n from (select g, if(n = 1, pos, pos // 8) as pos,"
+            f" if(n = 1, max(h), sha256(string_agg(h, '' order by pos))) as h from {name}{k} group by g, n, if(n = 1, pos, pos // 8)))"
+        )
+    return ", ".join(parts)
+
+
+def _manifest_sql(levels: int = 8, group_levels: int = 4) -> str:
+    """For groups of at most 8 ** levels rows."""
+    field = "coalesce(strlen({0}::varchar) || ':' || {0}::varchar, '-')"
+    leaf = "sha256(concat(" + ", ".join(field.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{text}")) + "))"
+    step = "if(o >= 0, xor(c, o), if(c % 2 = 1, xor(c // 2, 3988292384), c // 2))"
+    ops = "flatten(list_transform(range(1, length(doc_id::varchar) + 1), lambda i: [ord(substr(doc_id::varchar, i, 1))::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))"
+    crc = f"xor(list_reduce(list_concat([4294967295::bigint], {ops}), lambda c, o: {step}), 4294967295)"
+    parts = [
+        f"named as (select doc_id, coalesce('s' || lang, 'n') as g, {leaf.format(text='text')} as leaf, if({crc} % 3 = 0,"
+        f" {leaf.format(text=f"translate(text, '{_UPPER}', '{_LOWER}')")}, {leaf.format(text='text')}) as fresh from documents)",
+        "leaves as (select *, row_number() over (partition by g order by doc_id, leaf) - 1 as pos from named)",
+        "slots as (select g, pos, leaf as h from leaves)",
+        _tree_sql("slots", "t", levels),
+        f"tops as (select '' as g, g as own, row_number() over (order by g) - 1 as pos, h from t{levels})",
+        _tree_sql("(select g, pos, h from tops)", "u", group_levels),
+        f"f0 as (select l.*, l.pos as p, l.fresh as f, '' as proof, tops.pos as q, tops.h as subroot, (select h from u{group_levels}) as root from leaves l join tops on tops.own = l.g)",
+    ]
+    last = 0
+    for side, count, at, g in (("t", levels, "p", "x.g"), ("u", group_levels, "q", "''")):
+        for k in range(count):
+            parts.append(
+                f"f{last + 1} as (select x.* exclude (f, proof, {at}), if(s.n = 1, x.{at}, x.{at} // 8) as {at},"
+                f" if(s.n = 1, x.f, sha256(concat(s.b, x.f, s.a))) as f, concat(x.proof, s.b, s.a) as proof"
+                f" from f{last} x join {side}_sides{k} s on s.g = {g} and s.pos = x.{at})"
+            )
+            last += 1
+    return f"with {', '.join(parts)} select doc_id, leaf, subroot, root, sha256(proof) as proof_sha256, f as folded_root, f = root as verified from f{last}"
+
+
 ORACLES: dict[str, str] = {
     "op1_mixing": _MIXING,
     "op10_exact_topk": _NEAREST,
+    "op11_merkle": _manifest_sql(),
 }
