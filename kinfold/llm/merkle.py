@@ -117,22 +117,79 @@ def _pack(batches):
         yield packed(pa.Table.from_batches(held))
 
 
-def _counts(ids, more) -> np.ndarray:
-    """Rows of each number of a run, from one container or several."""
-    count = np.zeros(RUN, np.int64)
-    for container, several in zip(ids, more, strict=True):
-        count[_numbers(container)] += 1
-        low, n = np.frombuffer(several, "<i8").reshape(2, -1)
-        count[low] += n - 1
-    return count
+def _run_of(parts: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted numbers of a run and the rows that each stands for, from one container or several."""
+    lows, counts = [], []
+    for container, several in parts:
+        low = _numbers(container)
+        count = np.ones(len(low), np.int64)
+        again, n = np.frombuffer(several, "<i8").reshape(2, -1)
+        count[np.searchsorted(low, again)] = n
+        lows.append(low)
+        counts.append(count)
+    if len(parts) == 1:
+        return lows[0], counts[0]
+    low, at = np.unique(np.concatenate(lows), return_inverse=True)
+    return low, np.bincount(at, weights=np.concatenate(counts)).astype(np.int64)
+
+
+def _by_run(rows: DataFrame, *then: Column) -> DataFrame:
+    """Rows of a run side by side in one partition, so that a task streams through its runs."""
+    keys = ["grp", *DIGITS]
+    return rows.repartition(partitions_of(rows.sparkSession), *keys).sortWithinPartitions(*keys, *then)
+
+
+def _merge(batches):
+    """One container for each run of sorted parts."""
+    held, parts = None, []
+
+    def row() -> tuple:
+        low, count = _run_of(parts)
+        several = count > 1
+        packed = parts[0][0] if len(parts) == 1 else _container(low)
+        return *held, packed, np.stack([low[several], count[several]]).astype("<i8").tobytes(), int(count.sum())
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = (pa.string(), *[pa.int32()] * 3, pa.binary(), pa.binary(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["grp", *DIGITS, "ids", "more", "size"])
 
-
-def _merge(parts: pd.DataFrame) -> pd.DataFrame:
-    count = _counts(parts["ids"], parts["more"])
-    low = np.flatnonzero(count)
-    several = low[count[low] > 1]
-    first = parts.iloc[:1][["grp", *DIGITS]].reset_index(drop=True)
-    return first.assign(ids=[_container(low)], more=[np.stack([several, count[several]]).astype("<i8").tobytes()], size=[int(count.sum())])
+    for batch in batches:
+        out = []
+        columns = [batch.column(c).to_pylist() for c in ("grp", *DIGITS, "ids", "more")]
+        for *key, ids, more in zip(*columns, strict=True):
+            if key != held:
+                if parts:
+                    out.append(row())
+                held, parts = key, []
+            parts.append((ids, more))
+        if out:
+            yield batch_of(out)
+    if parts:
+        yield batch_of([row()])
+
+
+def _find(names: list[str]):
+    """Rows before each asked key; every run comes right before the rows that ask for it."""
+
+    def run(batches):
+        low, rank, before, total = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, 0
+        for batch in batches:
+            asked = np.asarray(batch.column("ids").is_null())
+            places = batch.column("low").fill_null(0).to_numpy(zero_copy_only=False)
+            starts = np.flatnonzero(~asked)
+            at, of = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
+            for first, end in zip([-1, *starts.tolist()], [*starts.tolist(), batch.num_rows], strict=True):
+                if first >= 0:
+                    low, count = _run_of([(batch.column("ids")[first].as_py(), batch.column("more")[first].as_py())])
+                    rank = np.cumsum(count) - count
+                    before, total = batch.column("before")[first].as_py(), batch.column("total")[first].as_py()
+                if end > first + 1:
+                    at[first + 1 : end] = before + rank[np.searchsorted(low, places[first + 1 : end])]
+                    of[first + 1 : end] = total
+            kept = batch.select(names).filter(pa.array(asked))
+            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(at[asked]), pa.array(of[asked])], names=[*names, "before", "total"])
+
+    return run
 
 
 def _directories(runs: DataFrame) -> DataFrame:
@@ -150,13 +207,19 @@ def _directories(runs: DataFrame) -> DataFrame:
     return at
 
 
+def _no_rows(ddl: str) -> pd.DataFrame:
+    """An empty frame of text and whole-number columns."""
+    kinds = (c.split() for c in ddl.split(", "))
+    return pd.DataFrame({name: pd.Series(dtype="object" if kind == "string" else "int64") for name, kind in kinds})
+
+
 class Ranks:
     """Containers and directories of the keys in ``rows`` (``grp``, ``key``, ``n``: rows that a row stands for)."""
 
     def __init__(self, scratch: Scratch, rows: DataFrame, name: str):
         parts = _places(rows.select("grp", "key", F.col("n").cast("long").alias("n")), "key").select("grp", *DIGITS, "low", "n")
         ddl = "grp string, d0 int, d1 int, d2 int, ids binary, more binary"
-        merged = parts.mapInArrow(_pack, ddl).groupBy("grp", *DIGITS).applyInPandas(_merge, f"{ddl}, size long")
+        merged = _by_run(parts.mapInArrow(_pack, ddl)).mapInArrow(_merge, f"{ddl}, size long")
         runs = save(scratch, merged, f"{name}-containers")
         self.runs = save(scratch, runs.join(_directories(runs), ["grp", *DIGITS]), f"{name}-directory")
 
@@ -179,16 +242,8 @@ class Ranks:
         """``rows`` (``grp``, ``key``, other columns) with ``before`` and ``total``: rows of the group before the key, and in all."""
         names = rows.columns
         ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema) + ", before long, total long"
-
-        def run(asked: pd.DataFrame, run_of: pd.DataFrame) -> pd.DataFrame:
-            if not len(asked):
-                return pd.DataFrame({c: [] for c in (*names, "before", "total")})
-            count = _counts(run_of["ids"], run_of["more"])
-            rank = np.cumsum(count) - count
-            return asked[names].assign(before=run_of["before"].iloc[0] + rank[asked["low"].to_numpy()], total=run_of["total"].iloc[0])
-
-        on = ["grp", *DIGITS]
-        return _places(rows, "key").groupBy(*on).cogroup(self.runs.groupBy(*on)).applyInPandas(run, ddl)
+        both = _places(rows, "key").unionByName(self.runs.drop("size"), allowMissingColumns=True)
+        return _by_run(both, F.col("ids").isNull()).mapInArrow(_find(names), ddl)
 
 
 def ranked_leaves(scratch: Scratch, leaves: DataFrame) -> DataFrame:
@@ -277,7 +332,7 @@ def _siblings(levels: list[list[str]], slot: int) -> list[tuple[str, str]]:
 def _down(rows: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
     """Paths of the arrays below: the siblings inside this one, then those above it."""
     if not len(rows):
-        return pd.DataFrame({c: [] for c in ("grp", "arr", "path", "subroot", "root")})
+        return _no_rows("grp string, arr long, path string, subroot string, root string")
     levels = _levels(_slots(rows), int(rows["total"].iloc[0]))
     rest = [(x["before"], x["after"]) for x in above["path"].iloc[0]]
     paths = [[{"before": a, "after": b} for a, b in (*_siblings(levels, s), *rest)] for s in rows["slot"]]
@@ -289,7 +344,7 @@ def _prove(rows: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
     """Proofs of the leaves of one array, and the roots that their fresh digests fold to."""
     columns = ("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root")
     if not len(rows):
-        return pd.DataFrame({c: [] for c in columns})
+        return _no_rows(", ".join(f"{c} string" for c in columns))
     levels = _levels(_slots(rows), int(rows["total"].iloc[0]))
     rest = [(x["before"], x["after"]) for x in above["path"].iloc[0]]
     upper = "".join(a + b for a, b in rest)
