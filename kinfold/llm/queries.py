@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kinfold.llm.alignment import align
 from kinfold.llm.common import fold
 from kinfold.llm.jaccard import near_duplicates
 from kinfold.llm.language import identify
@@ -100,6 +101,14 @@ def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest(table(spark, sf_dir, "documents"), {"text": tampered})
 
 
+#: Vocabulary that is aligned with the first one.
+PIECES = "piece_bpe_32k.model"
+
+
+def _alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align(table(spark, sf_dir, "documents"), vocabulary(), vocabulary(PIECES))
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": _mixing,
     "op2_suffix_dedup": _suffixes,
@@ -112,6 +121,7 @@ QUERIES: dict[str, Query] = {
     "op9_substring_dedup": _substrings,
     "op10_exact_topk": _nearest,
     "op11_merkle": _manifest,
+    "op13_alignment": _alignment,
 }
 
 _NEAREST = """
