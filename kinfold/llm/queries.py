@@ -19,6 +19,7 @@ from kinfold.llm.quality import quality
 from kinfold.llm.rules import quality_rules
 from kinfold.llm.substrings import remove_repeated_words
 from kinfold.llm.suffixes import remove_repeats
+from kinfold.llm.tokenfiles import token_files
 from kinfold.llm.toxicity import toxicity
 
 #: Vocabulary file of the packed sequences.
@@ -109,6 +110,10 @@ def _alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align(table(spark, sf_dir, "documents"), vocabulary(), vocabulary(PIECES))
 
 
+def _token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(table(spark, sf_dir, "documents"), vocabulary())
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": _mixing,
     "op2_suffix_dedup": _suffixes,
@@ -121,6 +126,7 @@ QUERIES: dict[str, Query] = {
     "op9_substring_dedup": _substrings,
     "op10_exact_topk": _nearest,
     "op11_merkle": _manifest,
+    "op12_token_files": _token_files,
     "op13_alignment": _alignment,
 }
 
