@@ -72,6 +72,13 @@ def _block_rows(units: DataFrame, rules: Sequence[Rule], place: dict[str, str])
     return units.selectExpr("*", f"inline(array_compact(array({', '.join(entries)})))")
 
 
+def rows_of_blocks(units: DataFrame, rules: Sequence[Rule], columns: Sequence[str]) -> tuple[DataFrame, dict[str, str]]:
+    """``columns`` and keys of the units, once for each block they are in, and the column that holds each key."""
+    units, place = _with_keys(units, rules)
+    kept = list(dict.fromkeys([*columns, *place.values()]))
+    return _block_rows(units.select(*kept), rules, place), place
+
+
 def _block_sizes(units: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     units, place = _with_keys(units, rules)
     return _block_rows(units, rules, place).groupBy("rule", "block").agg(F.count("*").alias("n"))
@@ -92,16 +99,18 @@ def join_tasks(spark: SparkSession, pairs: float, rows: float) -> int:
     return max(usual, min(math.ceil(pairs / _PAIRS_PER_TASK), _MAX_TASKS))
 
 
-def _plan_join(units: DataFrame, rules: Sequence[Rule], tile_rows: int) -> tuple[DataFrame | None, int]:
+def _plan_join(units: DataFrame, rules: Sequence[Rule], tile_rows: int, without: DataFrame | None) -> tuple[DataFrame | None, int]:
     """Chunks of the hot blocks, if any, and the number of join tasks by the pairs they have to list."""
     n = F.col("n").cast("double")
     sizes = _block_sizes(units, rules)
+    if without is not None:
+        sizes = sizes.join(without.select("rule", "block"), ["rule", "block"], "left_anti")
     found = sizes.agg(F.sum(n * (n - 1) / 2), F.count_if(F.col("n") > tile_rows), F.sum(n)).first()
     spark = units.sparkSession
     tasks = join_tasks(spark, pairs=found[0] or 0, rows=found[2] or 0)
     if not found[1]:
         return None, tasks
-    hot = hot_blocks(units, rules, tile_rows)
+    hot = sizes.filter(F.col("n") > tile_rows).select("rule", "block", F.ceil(F.col("n") / tile_rows).cast("int").alias("chunks"))
     if found[1] > _BROADCAST_BLOCKS:
         return hot, tasks  # the join strategy is left to the sizes known at run time
     rows = hot.collect()  # at most _BROADCAST_BLOCKS
@@ -129,7 +138,7 @@ def _tiled(blocks: DataFrame, hot: DataFrame | None, id_column: str, left: bool)
     return rows.withColumn("tile", number)
 
 
-def _first_rule(rules: Sequence[Rule], place: dict[str, str]) -> Column:
+def first_rule(rules: Sequence[Rule], place: dict[str, str]) -> Column:
     """Number of the first rule on which the two sides of a joined pair agree."""
     agree = [" and ".join(f"{place[k]}_l = {place[k]}_r" for k in rule.keys) for rule in rules]
     return F.expr("case " + " ".join(f"when {a} then {n}" for n, a in enumerate(agree)) + " end")
@@ -141,15 +150,18 @@ def candidate_pairs(
     id_column: str = RECORD_ID,
     carry: Sequence[str] = (),
     tile_rows: int = TILE_ROWS,
+    without: DataFrame | None = None,
 ) -> DataFrame:
     """Pairs ``<id>_l < <id>_r`` with ``match_key``, the number of their first rule.
 
-    ``carry`` columns come along for both sides, so comparing needs no second join.
+    ``carry`` columns come along for both sides, so comparing needs no second join. Blocks listed in ``without`` (``rule``,
+    ``block``) are left out.
     """
-    units, place = _with_keys(units, rules)
-    kept = list(dict.fromkeys([id_column, *carry, *place.values()]))
-    blocks = _block_rows(units.select(*kept), rules, place)
-    hot, tasks = _plan_join(units, rules, tile_rows)
+    blocks, place = rows_of_blocks(units, rules, [id_column, *carry])
+    kept = [c for c in blocks.columns if c not in ("rule", "block")]
+    if without is not None:
+        blocks = blocks.join(without.select("rule", "block"), ["rule", "block"], "left_anti")
+    hot, tasks = _plan_join(units, rules, tile_rows, without)
     join_on = ["rule", "block"] + (["tile"] if hot is not None else [])
 
     def side(suffix: str) -> DataFrame:
@@ -161,7 +173,7 @@ def candidate_pairs(
     pairs = side("l").join(side("r").hint("merge"), join_on)
     pairs = pairs.filter(F.col(f"{id_column}_l") < F.col(f"{id_column}_r"))
     # Equal hashes are not yet equal keys: the rule of the row must be the first that really agrees.
-    pairs = pairs.filter(_first_rule(rules, place) == F.col("rule"))
+    pairs = pairs.filter(first_rule(rules, place) == F.col("rule"))
     wanted = [f"{c}_{s}" for c in dict.fromkeys([id_column, *carry]) for s in "lr"]
     return pairs.select(*wanted, F.col("rule").alias("match_key"))
 

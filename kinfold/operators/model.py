@@ -8,6 +8,7 @@ sorted, so its result does not depend on how the data was partitioned.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -29,13 +30,16 @@ from kinfold.operators.blocking import (
 from kinfold.operators.comparison import (
     COMPARISONS,
     Comparison,
+    EditTiers,
     answer,
     ask,
     carried_columns,
     gamma,
     with_helpers,
 )
+from kinfold.operators.nearness import Agreement, near_values
 from kinfold.schema import RECORD_ID
+from kinfold.scratch import Scratch
 
 # Fixed values of the training recipe.
 PRIOR_RECALL = 0.8
@@ -46,6 +50,9 @@ START_EXACT_M = 0.95
 MAX_ROUNDS = 25
 MIN_CHANGE = 1e-4
 
+# All distinct values of a field are compared while they have at most so many pairs.
+MAX_VALUE_PAIRS = 50_000_000
+
 _SAMPLE_CHUNK = 256
 
 
@@ -66,7 +73,7 @@ class Level:
 class Model:
     prior: float
     levels: tuple[Level, ...]
-    #: Share of the records from which the u of similar, not equal, values was estimated.
+    #: Least share of the records from which the u of a field's similar values was estimated.
     sampled_share: float = 1.0
 
     @property
@@ -122,11 +129,13 @@ def sample_records(units: DataFrame, total: int, max_pairs: int, seed: int, id_c
     return units.filter(draw < F.lit(keep / total))
 
 
-def _agreeing_values(values: DataFrame, comparison: Comparison, chunks: int) -> DataFrame:
-    """Record pairs per level over the pairs of different values that may agree."""
+def _similar_pairs(values: DataFrame, comparison: Comparison, distinct: int) -> DataFrame:
+    """Record pairs per level over the pairs of different values that may agree, in tiles of the distinct values."""
+    chunks = max(1, math.ceil(distinct / _SAMPLE_CHUNK))
     most = chunks * _SAMPLE_CHUNK
     tasks = join_tasks(values.sparkSession, pairs=most * most / 2, rows=most * chunks)
     carried = carried_columns([comparison])
+    values = with_helpers(values, [comparison])
 
     def side(suffix: str) -> DataFrame:
         other, number = tile(F.lit(chunks), comparison.column, left=suffix == "l")
@@ -141,9 +150,13 @@ def _agreeing_values(values: DataFrame, comparison: Comparison, chunks: int) ->
     return graded.groupBy(F.col(gamma(comparison)).alias("level")).agg(F.sum("n").alias("n"))
 
 
-def sampled_share(total: int, max_pairs: int) -> float:
-    """Share of the records whose pairs `random_pair_levels` compares for similarity."""
-    return min(1.0, sample_size(max_pairs) / total) if total else 1.0
+def _edited_pairs(values: DataFrame, comparison: EditTiers) -> DataFrame:
+    """Record pairs per level over the pairs of different values within the largest edit distance, found by their keys."""
+    everything = Agreement(comparison, frozenset(range(1, comparison.top + 1)))
+    near = near_values(values.withColumnRenamed(comparison.column, "value"), everything, carry=["n"])
+    graded = near.selectExpr(f"value as {comparison.column}_l", f"other as {comparison.column}_r", "n * other_n as n")
+    levels = graded.selectExpr(f"{comparison.plain_level()} as level", "n")
+    return levels.groupBy("level").agg(F.sum("n").alias("n"))
 
 
 def exact_pairs(units: DataFrame, comparisons: Sequence[Comparison] = COMPARISONS) -> DataFrame:
@@ -172,54 +185,74 @@ def exact_pairs(units: DataFrame, comparisons: Sequence[Comparison] = COMPARISON
     )
 
 
+def value_counts(units: DataFrame, comparisons: Sequence[Comparison]) -> DataFrame:
+    """``comparison``, ``value`` and the number ``n`` of records with it, for all comparisons in one scan."""
+    rows = ", ".join(f"struct('{c.column}' as comparison, {c.column} as value)" for c in comparisons)
+    listed = units.selectExpr(f"inline(array({rows}))").filter("value is not null")
+    return listed.groupBy("comparison", "value").agg(F.count("*").alias("n"))
+
+
 def random_pair_levels(
     units: DataFrame,
     comparisons: Sequence[Comparison] = COMPARISONS,
     max_pairs: int = MAX_SAMPLED_PAIRS,
     seed: int = SEED,
     id_column: str = RECORD_ID,
+    max_value_pairs: int = MAX_VALUE_PAIRS,
+    scratch: Scratch | None = None,
 ) -> DataFrame:
-    """Non-null pairs of all records per level: ``comparison``, ``level``, ``n``.
+    """Non-null pairs of all records per level: ``comparison``, ``level``, ``n``, and the ``share`` of records compared.
 
-    Levels of equal values are counted over the whole table. How the other pairs split into similar and different
-    ones is measured by comparing the distinct values of ``sample_size(max_pairs)`` records drawn by hash, cut into
-    tiles (`sampled_share` of the records), and is exact where that is all of them.
+    Levels of equal values are counted over the whole table, and so are edit distances, by the keys that values within
+    a few edits share. Similarities are compared between all distinct values of a field while these have at most
+    ``max_value_pairs`` pairs. Beyond that the split of the other pairs into similar and different ones is measured on
+    ``sample_size(max_pairs)`` records drawn by hash.
     """
-    total = units.count()
-    sample = sample_records(units, total, max_pairs, seed, id_column)
-    chunks = max(1, math.ceil(min(total, sample_size(max_pairs)) / _SAMPLE_CHUNK))
-    parts = [exact_pairs(units, comparisons).selectExpr("comparison", "true as whole", "level", "n")]
-    for c in comparisons:
-        equal = [str(level) for level, _ in c.exact]
-        if len(equal) == c.top:
+    scratch = scratch or Scratch(units.sparkSession, "random-pairs")
+    graded = [c for c in comparisons if len(c.exact) < c.top]
+    parts = [exact_pairs(units, comparisons).selectExpr("comparison", "true as whole", "level", "n", "1D as share")]
+    sizes = {}
+    if graded:
+        values = scratch.materialise(value_counts(units, graded), f"values-{uuid.uuid4().hex}")
+        sizes = {r["comparison"]: r["n"] for r in values.groupBy("comparison").agg(F.count("*").alias("n")).collect()}  # one row for each
+    for c in graded:
+        if c.column not in sizes:
             continue
-        values = sample.filter(F.col(c.column).isNotNull()).groupBy(c.column).agg(F.count("*").alias("n"))
-        others = values.selectExpr("0 as level", "cast((sum(n) * (sum(n) - 1) - sum(n * (n - 1))) / 2 as bigint) as n")
-        near = _agreeing_values(with_helpers(values, [c]), c, chunks).filter("level > 0")
-        listed = f"level in ({', '.join(equal)})"
-        near = near.selectExpr(f"if({listed}, 0, level) as level", f"if({listed}, -n, n) as n")
-        found = others.unionByName(near).selectExpr(f"'{c.column}' as comparison", "false as whole", "level", "cast(n as decimal(38,0)) as n")
-        parts.append(found)
-    counts = reduce(DataFrame.unionByName, parts).groupBy("comparison", "whole", "level").agg(F.sum("n").alias("n"))
+        distinct, share = sizes[c.column], 1.0
+        own = values.filter(F.col("comparison") == c.column).select(F.col("value").alias(c.column), "n")
+        if not isinstance(c, EditTiers) and distinct > sample_size(max_value_pairs):
+            total, drawn = units.count(), sample_size(max_pairs)
+            share = min(1.0, drawn / total)
+            own = sample_records(units, total, max_pairs, seed, id_column).filter(F.col(c.column).isNotNull())
+            own, distinct = own.groupBy(c.column).agg(F.count("*").alias("n")), min(distinct, drawn)
+        near = _edited_pairs(own, c) if isinstance(c, EditTiers) else _similar_pairs(own, c, distinct)
+        others = own.selectExpr("0 as level", "cast((sum(n) * (sum(n) - 1) - sum(n * (n - 1))) / 2 as bigint) as n")
+        listed = f"level in ({', '.join(str(level) for level, _ in c.exact)})"
+        near = near.filter("level > 0").selectExpr(f"if({listed}, 0, level) as level", f"if({listed}, -n, n) as n")
+        found = others.unionByName(near)
+        parts.append(found.selectExpr(f"'{c.column}' as comparison", "false as whole", "level", "cast(n as decimal(38,0)) as n", f"{share}D as share"))
+    counts = reduce(DataFrame.unionByName, parts).groupBy("comparison", "whole", "level").agg(F.sum("n").alias("n"), F.min("share").alias("share"))
     same = Window.partitionBy("comparison")  # a few rows each
     rest = counts.withColumns({
         "rest": F.max(F.expr("if(whole and level = 0, cast(n as double), null)")).over(same),
         "sampled": F.max(F.expr("if(not whole and level = 0, cast(n as double), null)")).over(same),
+        "share": F.min("share").over(same),
     })
-    share = "cast(round(rest * cast(n as double) / sampled) as decimal(38,0))"
+    part = "if(share < 1, cast(round(rest * cast(n as double) / sampled) as decimal(38,0)), n)"
     split = rest.filter("whole or level > 0").selectExpr(
         "comparison",
-        f"inline(if(whole, array(struct(level, n)), array(struct(level, coalesce({share}, 0) as n), struct(0 as level, -coalesce({share}, 0) as n))))",
+        "share",
+        f"inline(if(whole, array(struct(level, n)), array(struct(level, coalesce({part}, 0) as n), struct(0 as level, -coalesce({part}, 0) as n))))",
     )
-    levels = split.groupBy("comparison", "level").agg(F.sum("n").alias("n"))
+    levels = split.groupBy("comparison", "level").agg(F.sum("n").alias("n"), F.min("share").alias("share"))
     return levels.filter("n > 0")
 
 
 def u_probabilities(levels: DataFrame) -> DataFrame:
-    """Share of each level: ``comparison``, ``level``, ``u``."""
+    """Share of each level: ``comparison``, ``level``, ``u``, and the ``share`` of records compared for it."""
     totals = levels.groupBy(F.col("comparison").alias("of")).agg(F.sum("n").alias("total"))
     shares = levels.join(F.broadcast(totals), F.col("comparison") == F.col("of"))  # one row per comparison
-    return shares.select("comparison", "level", (F.col("n").cast("double") / F.col("total").cast("double")).alias("u"))
+    return shares.select("comparison", "level", (F.col("n").cast("double") / F.col("total").cast("double")).alias("u"), "share")
 
 
 # --- m: agreement of matches ------------------------------------------------------------------------
@@ -367,6 +400,12 @@ def score_pairs(vectors: DataFrame, model: Model, comparisons: Sequence[Comparis
     return scored.withColumn("match_probability", F.expr("1D / (1D + pow(2D, -match_weight))"))
 
 
+def weight_needed(threshold: float) -> float:
+    """Weight with which a pair reaches the threshold, less what rounding can add."""
+    needed = math.log2(threshold / (1 - threshold)) if threshold < 1 else 50.0
+    return min(needed, 50.0) - 1e-6
+
+
 def can_still_match(model: Model, threshold: float, comparisons: Sequence[Comparison] = COMPARISONS) -> Column:
     """Whether an ungraded pair can still score ``threshold``.
 
@@ -381,8 +420,7 @@ def can_still_match(model: Model, threshold: float, comparisons: Sequence[Compar
             f" when {c.column}_l = {c.column}_r then {w[c.top]}D"
             f" when {c.may_agree()} then {max(w[level] for level in range(c.top))}D else {w[0]}D end"
         )
-    needed = math.log2(threshold / (1 - threshold)) if threshold < 1 else 50.0
-    return F.expr(" + ".join(best)) >= min(needed, 50.0) - 1e-6
+    return F.expr(" + ".join(best)) >= weight_needed(threshold)
 
 
 def pairs_above_threshold(scored: DataFrame, threshold: float) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from kinfold.config import Settings
 from kinfold.functions.text import linkage_view
+from kinfold.operators.agreement import hopeful_pairs
 from kinfold.operators.blocking import (
     CANDIDATE_RULES,
     DETERMINISTIC_RULES,
@@ -32,11 +33,9 @@ from kinfold.operators.model import (
     copies_pattern,
     fit_model,
     in_some_block,
-    can_still_match,
     pairs_above_threshold,
     prior_probability,
     random_pair_levels,
-    sampled_share,
     score_pairs,
     training_pattern_counts,
     u_probabilities,
@@ -75,10 +74,10 @@ def train_model(
 ) -> Model:
     prior = prior_probability(profiles, deterministic_rules, settings.prior_recall, "copies").first()["prior"]
     levels = random_pair_levels(view, comparisons, settings.max_sampled_pairs, settings.seed)
-    u_rows = u_probabilities(levels).collect()  # one row per level
+    u_rows = u_probabilities(levels).collect()  # one row per level, with the share of records compared for it
     patterns = training_pattern_counts(profiles, comparisons, training_rules).collect()  # one per pattern
     model = fit_model(prior, u_rows, patterns, comparisons, training_rules)
-    return replace(model, sampled_share=sampled_share(view.count(), settings.max_sampled_pairs))
+    return replace(model, sampled_share=min((r["share"] for r in u_rows), default=1.0))
 
 
 def scored_candidates(
@@ -98,11 +97,11 @@ def matching_profiles(
     threshold: float,
     rules: Sequence[Rule] = CANDIDATE_RULES,
     comparisons: Sequence[Comparison] = COMPARISONS,
+    scratch: Scratch | None = None,
 ) -> DataFrame:
     """Pairs of different profiles at or above the threshold, with the record pairs they stand for."""
-    carry = [*carried_columns(comparisons), "copies"]
-    pairs = candidate_pairs(with_helpers(profiles, comparisons), rules, carry=carry)
-    hopeful = pairs.filter(can_still_match(model, threshold, comparisons))
+    scratch = scratch or Scratch(profiles.sparkSession, "matching")
+    hopeful = hopeful_pairs(with_helpers(profiles, comparisons), model, threshold, rules, comparisons, scratch, carry=["copies"])
     scored = score_pairs(compare_pairs(hopeful, comparisons), model, comparisons)
     record_pairs = (F.col("copies_l") * F.col("copies_r")).alias("record_pairs")
     return pairs_above_threshold(scored, threshold).select(f"{RECORD_ID}_l", f"{RECORD_ID}_r", record_pairs)
@@ -145,7 +144,7 @@ def resolve_records(
         model = train_model(view, profiles, settings, comparisons, deterministic_rules, training_rules)
     candidates = pair_count(profiles, rules, "copies").first()["pairs"]
 
-    edges = scratch.materialise(matching_profiles(profiles, model, threshold, rules, comparisons), "edges")
+    edges = scratch.materialise(matching_profiles(profiles, model, threshold, rules, comparisons, scratch), "edges")
     copies = scratch.materialise(matching_copies(profiles, model, threshold, rules, comparisons), "copies")
     matched = edges.select("record_pairs").unionByName(copies.select("record_pairs"))
     above = matched.agg(F.coalesce(F.sum("record_pairs"), F.lit(0))).first()[0]
