@@ -19,6 +19,7 @@ from kinfold.operators.batches import high_water_mark, record_batches, select_ne
 from kinfold.operators.blocking import (  # noqa: E402
     CANDIDATE_RULES,
     DETERMINISTIC_RULES,
+    TRAINING_RULES,
     block_pairs,
     blocking_reduction,
     candidate_pairs,
@@ -167,11 +168,21 @@ def _u(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shares.select("comparison", "level", F.round("u", 9).alias("u"))
 
 
-def _trained(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _model(spark: SparkSession, sf_dir: str) -> Model:
     scratch = Scratch(spark, "trained")
     view = scratch.materialise(_view(spark, sf_dir), "view")
     profiles = scratch.materialise(distinct_profiles(view), "profiles")
-    return train_model(view, profiles).to_frame(spark)
+    return train_model(view, profiles)
+
+
+def _trained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _model(spark, sf_dir).to_frame(spark)
+    return found.withColumns({c: F.round(c, 6) for c in ("m", "u")})
+
+
+def _training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _model(spark, sf_dir).training_frame(spark)
+    return found.withColumns({c: F.round(c, n) for c, n in (("change", 9), ("match_rate", 6), ("log_likelihood", 3))})
 
 
 def _prior(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,8 +204,8 @@ def _partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partition_check(fixtures.persons(spark, sf_dir), cluster_members(_golden(spark, sf_dir)))
 
 
-def _resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resolve_records(fixtures.persons(spark, sf_dir), model=FIXED_MODEL).clusters
+def _resolved(spark: SparkSession, sf_dir: str, model: Model | None = FIXED_MODEL) -> DataFrame:
+    return resolve_records(fixtures.persons(spark, sf_dir), model=model).clusters
 
 
 def _resolved_golden(spark: SparkSession, sf_dir: str, model: Model | None = FIXED_MODEL) -> DataFrame:
@@ -280,6 +291,7 @@ def queries() -> dict[str, Query]:
         "u_probabilities": _u,
         "training_pattern_counts": _training_patterns,
         "em_m_probabilities": _trained,
+        "em_convergence": _training,
         "connected_components": _linked,
         "document_copies": _document_copies,
         "attach_clusters": _attached,
@@ -291,6 +303,8 @@ def queries() -> dict[str, Query]:
         "linkage_quality": _quality,
         "resolve_records": _resolved,
         "resolved_golden": _resolved_golden,
+        "resolve_trained": lambda s, d: _resolved(s, d, None),
+        "resolved_golden_trained": lambda s, d: _resolved_golden(s, d, None),
         "incremental_golden": _incremental,
         "generation_summary": lambda s, d: generation_counts(persons(s, d)),
     }
@@ -406,6 +420,80 @@ _PADDED = (
 )
 
 
+_TOPS = {c.column: c.top for c in COMPARISONS}
+_FIXED_BY_BLOCK = tuple(rule.keys for rule in TRAINING_RULES)
+
+
+def _em_sql() -> list[str]:
+    """Training as a fixed point: one row of rates per block and round, until they settle or 25 rounds are over.
+
+    Needs ``u_`` (comparison, level, u), ``prior_`` (prior) and ``patterns`` (training_rule, levels, n).
+    """
+    lists = ", ".join(
+        f"(select list(coalesce(u, 0) order by l) from (select unnest(range(0, {top + 1})) as l) left join u_ on comparison = '{c}' and level = l) as u_{c}"
+        for c, top in _TOPS.items()
+    )
+    blocks = range(len(_FIXED_BY_BLOCK))
+    free = {c: ", ".join(str(b) for b in blocks if c not in _FIXED_BY_BLOCK[b]) for c in _TOPS}
+    odds = "p / greatest(1 - p, 1e-6)"
+    starts = " union all ".join(
+        f"select {b} as block, 0 as round, 1.0::double as change, x / (1 + x) as rate, "
+        + ", ".join(f"[{', '.join([repr(0.05 / top) + '::double'] * top)}, 0.95::double] as m_{c}" for c, top in _TOPS.items())
+        + f" from (select {odds} * " + " * ".join(f"0.95 / greatest(u_{c}[{_TOPS[c] + 1}], 1e-6)" for c in _FIXED_BY_BLOCK[b])
+        + " as x from (select prior as p from prior_), us)"
+        for b in blocks
+    )
+    used = {c: f"gamma_{c} >= 0 and block in ({free[c]})" for c in _TOPS}
+    log_odds = " + ".join(
+        ["ln(rate / (1 - rate))", *[f"if({used[c]}, ln(greatest(m_{c}[gamma_{c} + 1], 1e-6) / greatest(u_{c}[gamma_{c} + 1], 1e-6)), 0)" for c in _TOPS]]
+    )
+    background = " + ".join(["ln(1 - rate)", *[f"if({used[c]}, ln(greatest(u_{c}[gamma_{c} + 1], 1e-6)), 0)" for c in _TOPS]])
+    masses = ", ".join(
+        f"any_value(m_{c}) as m_{c}, sum(e) filter (gamma_{c} >= 0) as all_{c}, ["
+        + ", ".join(f"coalesce(sum(e) filter (gamma_{c} = {i}), 0)" for i in range(top + 1))
+        + f"] as mass_{c}"
+        for c, top in _TOPS.items()
+    )
+    new = {c: f"if(block in ({free[c]}) and all_{c} > 0, list_transform(mass_{c}, lambda x: x / all_{c}), m_{c})" for c in _TOPS}
+    change = ", ".join(f"list_max(list_transform(range(1, {top + 2}), lambda i: abs(new_{c}[i] - m_{c}[i])))" for c, top in _TOPS.items())
+    return [
+        f"us as (select {lists})",
+        f"start_ as ({starts})",
+        f"em as (select block, round, change, least(greatest(rate, 1e-6), 1 - 1e-6) as rate, {', '.join(f'm_{c}' for c in _TOPS)} from start_"
+        " where block in (select training_rule from patterns) union all"
+        f" select block, round + 1, greatest({change}), least(greatest(share, 1e-6), 1 - 1e-6), {', '.join(f'new_{c}' for c in _TOPS)} from"
+        f" (select *, {', '.join(f'{x} as new_{c}' for c, x in new.items())} from"
+        f" (select block, round, sum(e) / sum(n) as share, {masses} from"
+        f" (select *, n / (1 + exp(-({log_odds}))) as e from em join patterns on training_rule = block, us where change >= 1e-4 and round < 25)"
+        " group by block, round)))",
+        "settled as (select * from em where round > 0 qualify row_number() over (partition by block order by round desc) = 1)",
+        "ended as (select block, sum(n * (" + background + " + ln(1 + exp(" + log_odds + ")))) as log_likelihood"
+        " from settled join patterns on training_rule = block, us group by block)",
+        "found_m as (select comparison, level, median(m) as m from ("
+        + " union all ".join(
+            f"select '{c}' as comparison, g as level, m_{c}[g + 1] as m from settled join (select distinct training_rule, gamma_{c} as g from patterns)"
+            f" on training_rule = block where g >= 0 and block in ({free[c]})"
+            for c in _TOPS
+        )
+        + ") group by comparison, level)",
+        "every_level as ("
+        + " union all ".join(f"select '{c}' as comparison, unnest(range(0, {top + 1}))::int as level, {top} as top" for c, top in _TOPS.items())
+        + ")",
+        "model_ as (select comparison, level, coalesce(m, if(level = top, 0.95, 0.05 / top))::double as m, coalesce(u, 0)::double as u,"
+        " m is not null and coalesce(u, 0) > 0 as trained from every_level left join found_m using (comparison, level) left join u_ using (comparison, level))",
+    ]
+
+
+def _trained_weight_sql() -> str:
+    """``weighted`` and ``scored`` by the rates of ``model_``."""
+    parts = [
+        f"case when gamma_{c} >= 0 then (select list(log2(greatest(m, 1e-6) / greatest(u, 1e-6)) order by level) from model_ where comparison = '{c}')[gamma_{c} + 1] else 0 end"
+        for c in _TOPS
+    ]
+    weight = " + ".join(["(select log2(prior / (1 - prior)) from prior_)", *parts])
+    return f"weighted as (select *, cast({weight} as double) as match_weight from vectors), scored as (select *, 1 / (1 + pow(2.0, -match_weight)) as match_probability from weighted)"
+
+
 def _with(*parts: str, select: str) -> str:
     return f"with recursive {', '.join((fixtures.persons_sql(), *parts))} {select}"
 
@@ -564,6 +652,36 @@ def oracle_sql() -> dict[str, str]:
             " from people",
         ),
     }
+    u_parts = (
+        sampled,
+        f"levels_ as ({levels})",
+        f"equal_ as ({' union all '.join(equal)})",
+        f"everything_ as ({everything})",
+        "fixed_ as (select comparison, sum(n) as fixed from equal_ group by comparison)",
+        "others_ as (select * from levels_ l where level >= 0 and not exists (select 1 from equal_ e where e.comparison = l.comparison and e.level = l.level))",
+        "u_ as (select comparison, level, n / total as u from equal_ join everything_ using (comparison) where n > 0"
+        " union all select comparison, level, (total - fixed) / total * (n / sum(n) over (partition by comparison))"
+        " from others_ join everything_ using (comparison) join fixed_ using (comparison))",
+    )
+    trained = (
+        _VIEW,
+        *u_parts,
+        _pairs_sql(_DETERMINISTIC_SQL, "certain"),
+        "prior_ as (select least(1.0, c / 0.8 / (n * (n - 1) / 2.0)) as prior from"
+        " (select cast((select count(*) from certain) as double) as c, cast((select count(*) from view_) as double) as n))",
+        f"blocks as ({training})",
+        f"patterns as (select training_rule, {gammas}, count(*) as n from blocks group by all)",
+        *_em_sql(),
+    )
+    found["em_m_probabilities"] = _with(*trained, select="select comparison, level, round(m, 6) as m, round(u, 6) as u, trained from model_")
+    found["em_convergence"] = _with(
+        *trained,
+        select="select block::int as training_rule, round::int as rounds, round(change, 9) as change, round(rate, 6) as match_rate,"
+        " round(log_likelihood, 3) as log_likelihood, change < 1e-4 as converged from settled join ended using (block)",
+    )
+    scored_by_training = (*trained, candidates, _FIELDS_OF_PAIRS, _VECTORS, _trained_weight_sql(), _HITS, _CLUSTERS_OF_HITS)
+    found["resolve_trained"] = _with(*scored_by_training, select="select * from clusters")
+    found["resolved_golden_trained"] = _with(*scored_by_training, _GOLDEN, select="select * from golden")
     found["read_contract"] = found["clean_records"]
     for name, columns in {
         "names": ("first_name", "last_name"),

@@ -15,7 +15,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -192,16 +191,22 @@ def _pairs(n: Column) -> Column:
 def _signed_sets(rules: Sequence[Rule], place: dict[str, str]) -> dict[tuple[str, ...], dict[int, int]]:
     """Inclusion-exclusion: for each set of key columns, the sign with which each rule counts its pairs.
 
-    A pair counts for rule i when it agrees on i and on no earlier rule. With A(S) the pairs that agree on
-    every rule of S, that is the sum of (-1)^|S| A(S + i) over all sets S of earlier rules.
+    A pair counts for rule i when it agrees on i and on no earlier rule. With A(S) the pairs that agree on all columns of
+    S, that is the sum of (-1)^n A(S + i) over all unions S of n earlier rules. Unions are built rule by rule, and equal ones
+    merge at once, so their number is that of the different unions of columns, not of the sets of rules.
     """
     signs: dict[tuple[str, ...], dict[int, int]] = {}
+    earlier: dict[frozenset[str], int] = {frozenset(): 1}
     for i, rule in enumerate(rules):
-        for size in range(i + 1):
-            for earlier in combinations(rules[:i], size):
-                columns = tuple(sorted({place[k] for r in (*earlier, rule) for k in r.keys}))
-                by_rule = signs.setdefault(columns, {})
-                by_rule[i] = by_rule.get(i, 0) + (-1) ** size
+        columns = frozenset(place[k] for k in rule.keys)
+        united: dict[frozenset[str], int] = {}
+        for union, sign in earlier.items():
+            united[union | columns] = united.get(union | columns, 0) + sign
+        for union, sign in united.items():
+            if sign:
+                signs.setdefault(tuple(sorted(union)), {})[i] = sign
+                earlier[union] = earlier.get(union, 0) - sign
+        earlier = {union: sign for union, sign in earlier.items() if sign}
     return signs
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import uuid
+import warnings
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -69,12 +70,30 @@ class Level:
         return math.log2(max(self.m, FLOOR) / max(self.u, FLOOR))
 
 
+@dataclass(frozen=True)
+class BlockTraining:
+    """How the estimation on one training block ended."""
+
+    rule: int
+    rounds: int
+    #: Largest change of a rate in the last round.
+    change: float
+    match_rate: float
+    #: Of the block's patterns, over the columns it trains.
+    log_likelihood: float
+
+    @property
+    def converged(self) -> bool:
+        return self.change < MIN_CHANGE
+
+
 @dataclass(frozen=True)
 class Model:
     prior: float
     levels: tuple[Level, ...]
     #: Least share of the records from which the u of a field's similar values was estimated.
     sampled_share: float = 1.0
+    training: tuple[BlockTraining, ...] = ()
 
     @property
     def prior_weight(self) -> float:
@@ -91,6 +110,10 @@ class Model:
         rows = [(x.comparison, x.level, x.m, x.u, x.trained) for x in self.levels]
         return spark.createDataFrame(rows, "comparison string, level int, m double, u double, trained boolean")
 
+    def training_frame(self, spark: SparkSession) -> DataFrame:
+        rows = [(x.rule, x.rounds, x.change, x.match_rate, x.log_likelihood, x.converged) for x in self.training]
+        return spark.createDataFrame(rows, "training_rule int, rounds int, change double, match_rate double, log_likelihood double, converged boolean")
+
 
 # --- prior ------------------------------------------------------------------------------------------
 
@@ -315,20 +338,26 @@ def _train_block(
     trained: Mapping[int, int],
     u: Mapping[int, np.ndarray],
     start_rate: float,
-) -> dict[int, np.ndarray]:
+    rule: int,
+) -> tuple[dict[int, np.ndarray], BlockTraining]:
     """EM over one block; ``trained`` maps a pattern column to its number of levels, ``u`` stays fixed."""
     m = {}
     for c, size in trained.items():
         m[c] = np.full(size, (1 - START_EXACT_M) / (size - 1))
         m[c][-1] = START_EXACT_M
     rate = min(max(start_rate, FLOOR), 1 - FLOOR)
-    for _ in range(MAX_ROUNDS):
-        log_odds = np.full(len(counts), math.log(rate / (1 - rate)))
+
+    def odds() -> np.ndarray:
+        total = np.full(len(counts), math.log(rate / (1 - rate)))
         for c in trained:
             factor = np.log(np.maximum(m[c], FLOOR) / np.maximum(u[c], FLOOR))
-            log_odds += np.where(patterns[:, c] >= 0, factor[patterns[:, c]], 0.0)
-        expected = counts / (1 + np.exp(-np.clip(log_odds, -700, 700)))
-        change = 0.0
+            total += np.where(patterns[:, c] >= 0, factor[patterns[:, c]], 0.0)
+        return np.clip(total, -700, 700)
+
+    rounds, change = 0, math.inf
+    while rounds < MAX_ROUNDS and change >= MIN_CHANGE:
+        rounds, change = rounds + 1, 0.0
+        expected = counts / (1 + np.exp(-odds()))
         for c, size in trained.items():
             seen = patterns[:, c] >= 0
             mass = np.bincount(patterns[seen, c], weights=expected[seen], minlength=size)
@@ -337,9 +366,11 @@ def _train_block(
                 change = max(change, float(np.abs(new - m[c]).max()))
                 m[c] = new
         rate = min(max(float(expected.sum() / counts.sum()), FLOOR), 1 - FLOOR)
-        if change < MIN_CHANGE:
-            break
-    return m
+    chance = np.full(len(counts), math.log(1 - rate))
+    for c in trained:
+        chance += np.where(patterns[:, c] >= 0, np.log(np.maximum(u[c], FLOOR))[patterns[:, c]], 0.0)
+    likelihood = float((counts * (chance + np.log1p(np.exp(odds())))).sum())
+    return m, BlockTraining(rule, rounds, change, rate, likelihood)
 
 
 def fit_model(
@@ -360,6 +391,7 @@ def fit_model(
         u[position[row["comparison"]]][row["level"]] = row["u"]
     gammas = [gamma(c) for c in comparisons]
     seen_m: dict[tuple[int, int], list[float]] = {}
+    training: list[BlockTraining] = []
     table = sorted((r["training_rule"], *(r[g] for g in gammas), r["n"]) for r in pattern_rows)
     for number, rule in enumerate(rules):
         block = np.array([r[1:] for r in table if r[0] == number], dtype=np.int64)
@@ -371,7 +403,10 @@ def fit_model(
         for c in fixed:
             odds *= START_EXACT_M / max(u[c][-1], FLOOR)
         trained = {i: c.top + 1 for i, c in enumerate(comparisons) if i not in fixed}
-        m = _train_block(patterns, counts, trained, u, odds / (1 + odds))
+        m, ended = _train_block(patterns, counts, trained, u, odds / (1 + odds), number)
+        training.append(ended)
+        if not ended.converged:
+            warnings.warn(f"training block {number} still changed by {ended.change:.2g} after {ended.rounds} rounds", stacklevel=2)
         for c in trained:
             for level in np.unique(patterns[:, c]):
                 if level >= 0:
@@ -384,7 +419,7 @@ def fit_model(
             levels.append(
                 Level(c.column, level, median(found) if found else start, float(u[i][level]), bool(found) and bool(u[i][level] > 0))
             )
-    return Model(prior, tuple(levels))
+    return Model(prior, tuple(levels), training=tuple(training))
 
 
 # --- score ------------------------------------------------------------------------------------------

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import PEOPLE, rows
+import kinfold.operators.model as model_module
 from kinfold.config import Settings
 from kinfold.functions.text import linkage_view
 from kinfold.operators.blocking import Rule, candidate_pairs
@@ -166,6 +167,28 @@ def test_weighted_patterns_equal_patterns_of_the_copies(spark, sample):
     assert rows(training_pattern_counts(distinct_profiles(view))) == rows(plain)
 
 
+def test_training_reports_how_it_ended(spark, sample):
+    training = sample.linkage.model.training
+    assert [t.rule for t in training] == [0, 1, 2] and all(t.rounds >= 1 and t.log_likelihood < 0 for t in training)
+    assert sample.linkage.model.training_frame(spark).filter("converged = (change < 1e-4)").count() == len(training)
+
+
+def test_training_that_does_not_settle_warns(monkeypatch):
+    comparisons = COMPARISONS[:2]
+    names = [c.column for c in comparisons]
+    u_rows = [{"comparison": n, "level": i, "u": x} for n in names for i, x in enumerate((0.9, 0.05, 0.03, 0.01, 0.01))]
+    pattern_rows = [{"training_rule": 0, "gamma_first_name": i, "gamma_last_name": j, "n": 1 + 7 * i * j} for i in range(5) for j in range(5)]
+    rules = (Rule.on("email"),)
+    with pytest.raises(KeyError):  # a training rule of a column that is not compared
+        fit_model(0.01, u_rows, pattern_rows, comparisons, rules)
+    settled = fit_model(0.01, u_rows, pattern_rows, comparisons, (Rule(()),))
+    monkeypatch.setattr(model_module, "MAX_ROUNDS", 1)
+    with pytest.warns(UserWarning, match="still changed"):
+        early = fit_model(0.01, u_rows, pattern_rows, comparisons, (Rule(()),))
+    assert early.training[0].rounds == 1 and not early.training[0].converged
+    assert settled.training[0].log_likelihood >= early.training[0].log_likelihood
+
+
 def test_em_separates_matches_from_the_rest():
     """A block that mixes two known populations: the estimate finds the rates it was made with."""
     comparisons = (*COMPARISONS[:2], *COMPARISONS[3:])
