@@ -119,7 +119,7 @@ def _sides(rows: DataFrame, agreement: Agreement, number: int, scratch: Scratch)
         same = keyed(present, "equal", column, "true")
         out.append((same, same))
         values = scratch.materialise(present.select(F.col(column).alias("value")).distinct(), f"values-{column}-{uuid.uuid4().hex}")
-        near = scratch.materialise(near_values(values, agreement), f"near-{column}-{uuid.uuid4().hex}")
+        near = scratch.materialise(near_values(values, agreement, scratch), f"near-{column}-{uuid.uuid4().hex}")
         left = present.join(near, F.col(column) == F.col("value"))
         out.append((keyed(left, "near", "other", "false"), keyed(present, "near", column, "false")))
     if MISSING in agreement.statuses:

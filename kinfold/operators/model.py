@@ -173,10 +173,10 @@ def _similar_pairs(values: DataFrame, comparison: Comparison, distinct: int) ->
     return graded.groupBy(F.col(gamma(comparison)).alias("level")).agg(F.sum("n").alias("n"))
 
 
-def _edited_pairs(values: DataFrame, comparison: EditTiers) -> DataFrame:
+def _edited_pairs(values: DataFrame, comparison: EditTiers, scratch: Scratch) -> DataFrame:
     """Record pairs per level over the pairs of different values within the largest edit distance, found by their keys."""
     everything = Agreement(comparison, frozenset(range(1, comparison.top + 1)))
-    near = near_values(values.withColumnRenamed(comparison.column, "value"), everything, carry=["n"])
+    near = near_values(values.withColumnRenamed(comparison.column, "value"), everything, scratch, carry=["n"])
     graded = near.selectExpr(f"value as {comparison.column}_l", f"other as {comparison.column}_r", "n * other_n as n")
     levels = graded.selectExpr(f"{comparison.plain_level()} as level", "n")
     return levels.groupBy("level").agg(F.sum("n").alias("n"))
@@ -248,7 +248,7 @@ def random_pair_levels(
             share = min(1.0, drawn / total)
             own = sample_records(units, total, max_pairs, seed, id_column).filter(F.col(c.column).isNotNull())
             own, distinct = own.groupBy(c.column).agg(F.count("*").alias("n")), min(distinct, drawn)
-        near = _edited_pairs(own, c) if isinstance(c, EditTiers) else _similar_pairs(own, c, distinct)
+        near = _edited_pairs(own, c, scratch) if isinstance(c, EditTiers) else _similar_pairs(own, c, distinct)
         others = own.selectExpr("0 as level", "cast((sum(n) * (sum(n) - 1) - sum(n * (n - 1))) / 2 as bigint) as n")
         listed = f"level in ({', '.join(str(level) for level, _ in c.exact)})"
         near = near.filter("level > 0").selectExpr(f"if({listed}, 0, level) as level", f"if({listed}, -n, n) as n")
@@ -273,9 +273,9 @@ def random_pair_levels(
 
 def u_probabilities(levels: DataFrame) -> DataFrame:
     """Share of each level: ``comparison``, ``level``, ``u``, and the ``share`` of records compared for it."""
-    totals = levels.groupBy(F.col("comparison").alias("of")).agg(F.sum("n").alias("total"))
-    shares = levels.join(F.broadcast(totals), F.col("comparison") == F.col("of"))  # one row per comparison
-    return shares.select("comparison", "level", (F.col("n").cast("double") / F.col("total").cast("double")).alias("u"), "share")
+    # A few rows for each comparison; a join with their sums would compute the levels twice.
+    total = F.sum("n").over(Window.partitionBy("comparison"))
+    return levels.select("comparison", "level", (F.col("n").cast("double") / total.cast("double")).alias("u"), "share")
 
 
 # --- m: agreement of matches ------------------------------------------------------------------------

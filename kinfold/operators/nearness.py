@@ -9,6 +9,7 @@ Keys are made for distinct values and no pair is missed; texts that are too long
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import cache
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from kinfold.functions.similarity import BOOST_ABOVE, PREFIX_LENGTH, PREFIX_WEIGHT, jaro_winkler
 from kinfold.operators.blocking import join_tasks, tile
 from kinfold.operators.comparison import Comparison, EditTiers, NameTiers
+from kinfold.scratch import Scratch
 
 MISSING = -1
 #: Similar texts up to this length are found by the characters they share; longer ones are compared in tiles.
@@ -140,10 +142,15 @@ def deletions(text: str, edits: int) -> str:
     return f"array_distinct(concat({', '.join(rounds)}))"
 
 
-def _pairs_by_key(values: DataFrame, keys: Column, carry: Sequence[str]) -> DataFrame:
-    keyed = values.select("value", *carry, F.explode(keys).alias("key"))
+def _pairs_by_key(values: DataFrame, keys: Column, carry: Sequence[str], scratch: Scratch) -> DataFrame:
+    """Pairs that share a key, once for each one."""
+    keyed = scratch.materialise(values.select("value", *carry, F.explode(keys).alias("key")), f"keys-{uuid.uuid4().hex}")
+    n = F.col("n").cast("double")
+    work = keyed.groupBy("key").agg(F.count("*").alias("n")).agg(F.sum(n * (n - 1) / 2), F.sum(n)).first()
+    tasks = join_tasks(values.sparkSession, pairs=work[0] or 0, rows=work[1] or 0)  # few bytes, many pairs
     other = keyed.select(F.col("value").alias("other"), *[F.col(c).alias(f"other_{c}") for c in carry], "key")
-    return keyed.join(other, "key").filter("value < other").drop("key").distinct()
+    both = keyed.repartition(tasks, "key").join(other.repartition(tasks, "key").hint("merge"), "key")
+    return both.filter("value < other").drop("key")
 
 
 def _pairs_of_long(values: DataFrame, long: str, carry: Sequence[str]) -> DataFrame:
@@ -158,11 +165,10 @@ def _pairs_of_long(values: DataFrame, long: str, carry: Sequence[str]) -> DataFr
 
     both = side(values.filter(long), "a", True).join(side(values, "b", False).hint("merge"), "tile").filter("a.value != b.value")
     first, second = F.least("a", "b"), F.greatest("a", "b")  # by value, the first field
-    pairs = both.select(first["value"].alias("value"), *[first[c].alias(c) for c in carry], second["value"].alias("other"), *[second[c].alias(f"other_{c}") for c in carry])
-    return pairs.distinct()
+    return both.select(first["value"].alias("value"), *[first[c].alias(c) for c in carry], second["value"].alias("other"), *[second[c].alias(f"other_{c}") for c in carry])
 
 
-def near_values(values: DataFrame, agreement: Agreement, carry: Sequence[str] = ()) -> DataFrame:
+def near_values(values: DataFrame, agreement: Agreement, scratch: Scratch, carry: Sequence[str] = ()) -> DataFrame:
     """Pairs ``value < other`` of different texts among the distinct ``value``s that have the agreement, all of them.
 
     ``carry`` columns come as ``<name>`` and ``other_<name>``.
@@ -173,10 +179,11 @@ def near_values(values: DataFrame, agreement: Agreement, carry: Sequence[str] =
     values = values.filter("value != ''").select("value", *carry)
     short = values.filter(f"length(value) <= {size}")
     keys = F.expr(deletions("value", edits)) if edits is not None else _similar_key_column(similarity)("value")
-    pairs = _pairs_by_key(short, keys, carry)
+    pairs = _pairs_by_key(short, keys, carry, scratch)
     long = f"length(value) > {size}"
     if not values.filter(long).isEmpty():
         pairs = pairs.unionByName(_pairs_of_long(values, long, carry))
+    # Pairs come up once for each key they share: edits cost less than telling repeated pairs apart, similarities more.
     if edits is not None:
-        return pairs.filter(f"levenshtein(value, other, {edits}) >= 0")
-    return pairs.withColumn("_similarity", jaro_winkler("value", "other")).filter(F.col("_similarity") >= F.lit(similarity)).drop("_similarity")
+        return pairs.filter(f"levenshtein(value, other, {edits}) >= 0").distinct()
+    return pairs.distinct().withColumn("_similarity", jaro_winkler("value", "other")).filter(F.col("_similarity") >= F.lit(similarity)).drop("_similarity")

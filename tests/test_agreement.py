@@ -86,7 +86,7 @@ def test_similar_values_are_all_found(spark, least, alphabet, longest):
     words = _words(least + longest, 220, alphabet, longest)
     comparison = NameTiers("first_name")
     frame = spark.createDataFrame([(w,) for w in words], "value string")
-    found = near_values(frame, Agreement(comparison, frozenset(range(least, 5))))
+    found = near_values(frame, Agreement(comparison, frozenset(range(least, 5))), Scratch(spark, "test"))
     pairs = frame.join(frame.withColumnRenamed("value", "other"), F.col("value") < F.col("other"))
     want = pairs.join(_similar(spark, words, comparison.thresholds[comparison.top - 1 - least]), ["value", "other"], "left_semi")
     assert rows(found) == rows(want)
@@ -110,7 +110,7 @@ def test_values_within_some_edits_are_all_found(spark, distances):
     pairs = frame.join(frame.withColumnRenamed("value", "other"), F.col("value") < F.col("other"))
     for level in range(1, comparison.top):
         edits = distances[comparison.top - 1 - level]
-        found = near_values(frame, Agreement(comparison, frozenset(range(level, comparison.top + 1))))
+        found = near_values(frame, Agreement(comparison, frozenset(range(level, comparison.top + 1))), Scratch(spark, "test"))
         assert rows(found) == rows(pairs.filter(f"levenshtein(value, other) <= {edits}"))
 
 
