@@ -9,13 +9,14 @@ Keys are made for distinct values and no pair is missed; texts that are too long
 from __future__ import annotations
 
 import math
+import sys
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import cache
 from itertools import combinations
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +25,9 @@ from kinfold.operators.blocking import join_tasks, tile
 from kinfold.operators.comparison import Comparison, EditTiers, NameTiers
 from kinfold.scratch import Scratch
 
+# Workers then need no copy of this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MISSING = -1
 #: Similar texts up to this length are found by the characters they share; longer ones are compared in tiles.
 BAG_LENGTH = 12
@@ -101,30 +105,31 @@ def least_shared(a: int, b: int, similarity: float) -> int:
     return math.ceil((3 * jaro - 1) * a * b / (a + b) - _SLACK)
 
 
-@cache
-def _partners(length: int, similarity: float) -> tuple[tuple[int, int, int], ...]:
+def partners(length: int, similarity: float) -> list[tuple[int, int, int]]:
     """Lengths of similar texts (shorter, longer) for a text of ``length``, and the number of shared characters."""
     found = []
     for other in range(1, BAG_LENGTH + 1):
-        shared = least_shared(length, other, similarity)
+        shared = max(1, least_shared(length, other, similarity))
         if shared <= min(length, other):
-            found.append((min(length, other), max(length, other), max(shared, 1)))
-    return tuple(found)
+            found.append((min(length, other), max(length, other), shared))
+    return found
 
 
-def similar_keys(text: str, similarity: float) -> list[str]:
-    """Keys of a text of at most ``BAG_LENGTH`` characters; two similar ones share a key."""
+def similar_keys(text: str, of_length: list[list[tuple[int, int, int]]]) -> list[str]:
+    """Keys of a text of at most ``BAG_LENGTH`` characters, given the `partners` of each length; similar texts share one."""
     keys = {f"p{text[:PREFIX_KEY]}"} if len(text) >= PREFIX_KEY else set()
     ordered = sorted(text)
-    for short, long, shared in _partners(len(text), similarity):
+    for short, long, shared in of_length[len(text)]:
         keys.update(f"{short},{long},{''.join(bag)}" for bag in combinations(ordered, shared))
     return sorted(keys)
 
 
 def _similar_key_column(similarity: float):
+    of_length = [[], *[partners(n, similarity) for n in range(1, BAG_LENGTH + 1)]]
+
     @F.pandas_udf("array<string>")
     def keys(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: similar_keys(t, similarity))
+        return texts.map(lambda t: similar_keys(t, of_length))
 
     return keys
 

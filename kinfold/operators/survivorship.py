@@ -105,7 +105,7 @@ def merge_clusters(members: DataFrame, large_rows: int = LARGE_ROWS) -> DataFram
     else:
         ids = sizes.select(F.col("cluster_id").alias("_large"))  # strategy by the sizes at run time
     is_large = F.col("cluster_id") == F.col("_large")
-    rows = sum(r["n"] for r in large)
+    rows = sizes.agg(F.sum("n")).first()[0]  # the list above may be cut
     ordinary = _merge(members.join(ids, is_large, "left_anti"))
     return ordinary.unionByName(_merge_large(members.join(ids, is_large, "left_semi"), rows, large_rows))
 

@@ -131,7 +131,7 @@ def resolve_records(
     deterministic_rules: Sequence[Rule] = DETERMINISTIC_RULES,
     scratch: Scratch | None = None,
 ) -> Linkage:
-    """Cluster records of the same person: ``record_id``, ``cluster_id`` for every record.
+    """Cluster records of the same person: ``record_id``, ``cluster_id`` for every record, in order of their ids.
 
     Pass a ``model`` of an earlier run to skip training, as for a small incremental batch.
     """
@@ -155,7 +155,7 @@ def resolve_records(
     joint = alone.join(components.select("node"), "node", "left_anti").unionByName(components)
     joint = scratch.materialise(joint, "joint")
     clusters = scratch.materialise(_spread(view, profiles, joint, total), "clusters")
-    return Linkage(clusters, model, int(total), int(candidates), int(above), threshold)
+    return Linkage(clusters.orderBy(RECORD_ID), model, int(total), int(candidates), int(above), threshold)
 
 
 def _spread(view: DataFrame, profiles: DataFrame, joint: DataFrame, total: int) -> DataFrame:

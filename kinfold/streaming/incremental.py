@@ -11,16 +11,17 @@ import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from kinfold.config import Settings
-from kinfold.operators.batches import high_water_mark, select_new_records
+from kinfold.operators.batches import select_new_records
 from kinfold.operators.model import Model
 from kinfold.plans.resolve import resolve_records
 from kinfold.plans.run import golden_of
 from kinfold.schema import RECORD_SCHEMA
 from kinfold.scratch import Scratch
-from kinfold.sources.files import check_records, csv_options, path_exists, to_records
+from kinfold.sources.files import check_ids, csv_options, has_comma, path_exists, to_records
 from kinfold.sources.snapshots import Mark, SnapshotTable
 
 
@@ -49,17 +50,19 @@ def resolve_batch(
     base = table.manifest()
     mark = base.mark
     records = select_new_records(arrived, mark.highest_record_id if mark else None)
-    late = arrived.count() - records.count()
-    if records.isEmpty():
-        return BatchOutcome(number, 0, late, 0, False)
-    check_records(records)
+    fresh = F.lit(True) if mark is None else F.col(RECORD_ID) > mark.highest_record_id
+    seen = arrived.agg(
+        F.count_if(fresh).alias("new"), F.count_if(~fresh).alias("late"), F.count_if(fresh & has_comma()).alias("commas"), F.max(RECORD_ID).alias("greatest")
+    ).first()
+    if not seen["new"]:
+        return BatchOutcome(number, 0, seen["late"], 0, False)
+    check_ids(records, seen["commas"])
     linkage = resolve_records(records, settings, model)
     golden, counts = golden_of(records, linkage, scratch)
-    highest = high_water_mark(records).first()[0]
     table.publish(
-        golden, append=True, mark=Mark(highest, linkage.input_records), stream_batch=(stream, number), base=base
+        golden, append=True, mark=Mark(seen["greatest"], linkage.input_records), stream_batch=(stream, number), base=base
     )
-    return BatchOutcome(number, linkage.input_records, late, counts["golden_records"], True)
+    return BatchOutcome(number, linkage.input_records, seen["late"], counts["golden_records"], True)
 
 
 def _checkpoint_id(spark: SparkSession, checkpoint: str) -> str:

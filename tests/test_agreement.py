@@ -12,7 +12,7 @@ from kinfold.operators.agreement import Ranks, agreeing_pairs, agreements_of, ho
 from kinfold.operators.blocking import CANDIDATE_RULES, Rule, hot_blocks, rows_of_blocks
 from kinfold.operators.comparison import COMPARISONS, EditTiers, NameTiers, compare_pairs, with_helpers
 from kinfold.operators.model import Level, Model, pairs_above_threshold, score_pairs, weight_needed
-from kinfold.operators.nearness import MISSING, Agreement, deletions, least_shared, near_values, similar_keys
+from kinfold.operators.nearness import MISSING, Agreement, deletions, least_shared, near_values, partners, similar_keys
 from kinfold.plans.resolve import distinct_profiles, matching_profiles, scored_candidates
 from kinfold.schema import RECORD_SCHEMA
 from kinfold.scratch import Scratch
@@ -117,7 +117,7 @@ def test_values_within_some_edits_are_all_found(spark, distances):
 def test_deletions(spark):
     left = spark.range(1).selectExpr(f"{deletions("'aab'", 2)} as d", f"{deletions("'a'", 2)} as e").first()
     assert sorted(left["d"]) == ["a", "aa", "aab", "ab", "b"] and sorted(left["e"]) == ["", "a"]
-    assert least_shared(7, 7, 0.88) == 6 and similar_keys("ab", 0.88) == ["2,2,ab", "2,3,ab"]
+    assert least_shared(7, 7, 0.88) == 6 and similar_keys("ab", [[], [], partners(2, 0.88)]) == ["2,2,ab", "2,3,ab"]
 
 
 def _one_large_block(spark, n: int = 3000, share: float = 1 / 3):

@@ -2,10 +2,11 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
 from conftest import rows
-from kinfold.operators.components import assign_clusters, connected_components
+from kinfold.operators.components import assign_clusters, connected_components, least_reachable
 from kinfold.operators.skew import lookup
 from kinfold.scratch import Scratch
 
@@ -52,6 +53,35 @@ def test_known_graphs(spark, case):
     assert _components(spark, edges) == _union_find(edges)
 
 
+def test_forests_connect_what_the_edges_connect():
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 50, 400):
+        a, b = rng.integers(0, n, 2 * n // 3), rng.integers(0, n, 2 * n // 3)
+        want = dict(_union_find(list(zip(a.tolist(), b.tolist(), strict=True))))
+        assert least_reachable(a, b, n).tolist() == [want.get(i, i) for i in range(n)]
+    path = np.arange(5000)
+    assert not least_reachable(path[1:], path[:-1], 5000).any()
+
+
+@pytest.mark.parametrize("case", ["shuffled path", "star around the largest"])
+def test_small_forests_give_the_same_components(spark, case):
+    assert _components(spark, CASES[case], forest_edges=7) == _union_find(CASES[case])
+
+
+def test_forests_halve_the_rounds_of_a_shuffled_path(spark):
+    edges = spark.createDataFrame(CASES["shuffled path"], "a string, b string").repartition(8)
+
+    def rounds(size: int) -> int:
+        scratch = Scratch(spark, "rounds")
+        written = []
+        scratch_write = scratch.materialise
+        scratch.materialise = lambda df, name: (written.append(name), scratch_write(df, name))[1]
+        connected_components(edges, "a", "b", scratch, forest_edges=size)
+        return len(written) - 1
+
+    assert 2 * rounds(1_000_000) <= rounds(1)
+
+
 def test_hot_nodes_take_the_broadcast_path(spark):
     rng = random.Random(4)
     edges = [(_name(rng.randrange(400)), _name(rng.randrange(400))) for _ in range(250)]

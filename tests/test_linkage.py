@@ -36,6 +36,11 @@ def test_quality_floors(sample):
     assert found["precision"] >= 0.95
 
 
+def test_clusters_come_in_order_of_the_records(sample):
+    found = [r["record_id"] for r in sample.linkage.clusters.collect()]
+    assert found == sorted(found)
+
+
 def test_golden_records_partition_the_input(sample):
     found = partition_check(sample.records, cluster_members(sample.golden)).first()
     assert (found["missing"], found["unknown"], found["repeated"]) == (0, 0, 0)

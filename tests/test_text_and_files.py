@@ -1,11 +1,14 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
+import kinfold.sources.files as files
 from conftest import rows
 from kinfold.functions.text import clean_records, linkage_view, strip
 from kinfold.operators.batches import record_batches, select_new_records
 from kinfold.schema import RECORD_COLUMNS
+from kinfold.scratch import Scratch
 from kinfold.sources.files import InputError, read_records, write_csv
 
 HEADER = ",".join(RECORD_COLUMNS)
@@ -78,6 +81,29 @@ def test_contract_violations(spark, tmp_path, lines, message):
         read_records(spark, _csv(tmp_path, *lines))
 
 
+def test_the_source_is_read_once(spark, tmp_path, monkeypatch):
+    """Rows that pass the scan are counted where they are read."""
+    path = _csv(tmp_path, *(f"r{i:03d},a,b,c,d,e" for i in range(90, 0, -1)))
+    passed = spark.sparkContext.accumulator(0)
+
+    def counted(i):
+        passed.add(1)
+        return i
+
+    plain = files.scan
+    count = F.udf(counted).asNondeterministic()
+    monkeypatch.setattr(files, "scan", lambda *args: plain(*args).withColumn("record_id", count("record_id")))
+    loaded = files.load_records(spark, path, Scratch(spark, "test"))
+    assert (passed.value, loaded.rows, loaded.greatest_id, loaded.records.count()) == (90, 90, "r090", 90)
+    assert passed.value == 90
+
+
+def test_records_come_in_order_of_their_ids(spark, tmp_path):
+    path = _csv(tmp_path, *(f"r{i * 37 % 101:03d},a,b,c,d,e" for i in range(101)))
+    found = [r["record_id"] for r in read_records(spark, path).collect()]
+    assert found == sorted(found) and len(found) == 101
+
+
 def test_missing_column_file_and_format(spark, tmp_path):
     path = tmp_path / "records.csv"
     path.write_text("record_id,first_name,last_name,postcode,city\nr1,a,b,c,d\n")
