@@ -7,10 +7,10 @@ stay. The exact vectors are then read in the order of their bounds: first the ``
 k-th exact score is a new limit, then the rest that may still reach that limit. The result is exact.
 
 Scans run in cells of a grid of query blocks by candidate blocks, both of fixed size, so a task holds two blocks.
-Equal vectors are one entry with its ``k + 1`` least ids, so a vector held by a third of all rows costs one entry.
+Equal vectors are one entry with its first ``k + 1`` rows by id, so a vector held by a third of all rows costs one entry.
 
 Defined cases: a row without id or vector, or whose vector holds a null or a value that is not finite, takes no part;
-of several rows with one id the vector with the least bytes counts; shorter vectors end in zeros; fewer than k
+rows that share an id are rows of their own, as candidates and as queries; shorter vectors end in zeros; fewer than k
 candidates give fewer rows; an empty table gives no rows. Components beyond 2 ** 27 in size raise an error.
 """
 
@@ -47,8 +47,8 @@ def _whole_numbers(scale: float):
             keep = np.flatnonzero(bad[ends] == bad[ends - lengths])
             whole = values.astype("<i4")
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id").take(pa.array(keep)), pa.array([whole[ends[i] - lengths[i] : ends[i]].tobytes() for i in keep], pa.binary())],
-                names=["id", "vec"],
+                [batch.column("row").take(pa.array(keep)), batch.column("id").take(pa.array(keep)), pa.array([whole[ends[i] - lengths[i] : ends[i]].tobytes() for i in keep], pa.binary())],
+                names=["row", "id", "vec"],
             )
 
     return run
@@ -93,8 +93,8 @@ def _scan(dims: int, least: np.ndarray, width: np.ndarray, k: int):
                 else:
                     limit = np.full(len(part), -np.inf)
                 row, col = np.nonzero(base >= limit[:, None])
-                found.append(pd.DataFrame({"query_id": part["id"].to_numpy()[row], "entry": ids[col], "bound": (base + up[:, None])[row, col].astype(np.int64)}))
-        return pd.concat(found) if found else pd.DataFrame({"query_id": pd.Series(dtype="int64"), "entry": pd.Series(dtype="int64"), "bound": pd.Series(dtype="int64")})
+                found.append(pd.DataFrame({"query": part["row"].to_numpy()[row], "entry": ids[col], "bound": (base + up[:, None])[row, col].astype(np.int64)}))
+        return pd.concat(found) if found else pd.DataFrame({"query": pd.Series(dtype="int64"), "entry": pd.Series(dtype="int64"), "bound": pd.Series(dtype="int64")})
 
     return run
 
@@ -117,10 +117,10 @@ def _products(batches):
         raw = [batch.column(c).to_pylist() for c in ("vec", "other")]
         dims = max(1, max(len(x) for c in raw for x in c) // 4)
         a, b = (_matrix(x, dims, "<i4").astype(np.int64) for x in raw)
-        yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("entry"), pa.array((a * b).sum(axis=1))], names=["query_id", "entry", "score"])
+        yield pa.RecordBatch.from_arrays([batch.column("query"), batch.column("entry"), pa.array((a * b).sum(axis=1))], names=["query", "entry", "score"])
 
 
-def nearest(vectors: DataFrame, is_query, id_column: str = "vec_id", vector_column: str = "embedding", k: int = 20, scale: float = 64.0, bits: int = 5, reads: int = 64) -> DataFrame:
+def nearest(vectors: DataFrame, is_query, id_column: str = "vec_id", vector_column: str = "embedding", k: int = 20, scale: float = 64.0, bits: int = 8, reads: int = 64) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the k greatest inner products of every query row, ties to the smaller id.
 
     ``is_query`` is a condition on ``vectors``; ``bits`` is the size of a cell number, at most 8.
@@ -128,15 +128,15 @@ def nearest(vectors: DataFrame, is_query, id_column: str = "vec_id", vector_colu
     spark = vectors.sparkSession
     work = workspace(spark, "nearest")
     rows = vectors.select(F.col(id_column).cast("long").alias("id"), F.col(vector_column).cast("array<double>").alias("vec"), F.coalesce(is_query, F.lit(False)).alias("asked"))
-    asked = rows.filter("asked and id is not null").select("id").distinct()
-    known = rows.filter("id is not null and vec is not null").select("id", "vec").mapInArrow(_whole_numbers(scale), "id long, vec binary")
-    known = save(work, known.groupBy("id").agg(F.min("vec").alias("vec")), "vectors")
-    queries = save(work, known.join(asked, "id", "left_semi"), "queries")
+    rows = rows.filter("id is not null and vec is not null").withColumn("row", F.monotonically_increasing_id())
+    marked = rows.select((F.col("row") * 2 + F.col("asked").cast("long")).alias("row"), "id", "vec")
+    known = save(work, marked.mapInArrow(_whole_numbers(scale), "row long, id long, vec binary"), "vectors")
+    queries = save(work, known.filter("row % 2 = 1"), "queries")
 
-    same = Window.partitionBy("vec").orderBy("id")
+    same = Window.partitionBy("vec").orderBy("id", "row")
     firsts = known.withColumn("n", F.row_number().over(same)).filter(F.col("n") <= k + 1)
-    entries = firsts.groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("ids"))
-    entries = save(work, entries.select(F.col("ids")[0].alias("entry"), "ids", "vec"), "entries")
+    entries = firsts.groupBy("vec").agg(F.sort_array(F.collect_list(F.struct("id", "row"))).alias("members"))
+    entries = save(work, entries.select(F.col("members")[0]["row"].alias("entry"), "members", "vec"), "entries")
 
     ranges = entries.select("vec").mapInArrow(_ranges, "dim int, least long, most long")
     span = ranges.groupBy("dim").agg(F.min("least").alias("least"), F.max("most").alias("most")).orderBy("dim").collect()
@@ -150,28 +150,29 @@ def nearest(vectors: DataFrame, is_query, id_column: str = "vec_id", vector_colu
     blocks, query_blocks = max(1, math.ceil(n / CANDIDATE_BLOCK)), max(1, math.ceil(asked_n / QUERY_BLOCK))
     cells = entries.select("entry", "vec").mapInArrow(_codes(dims, least, width), "entry long, code binary")
     cells = cells.withColumn("block", F.pmod(F.xxhash64("entry"), F.lit(blocks))).withColumn("query_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_blocks - 1).cast("long"))))
-    sent = queries.withColumn("query_block", F.pmod(F.xxhash64("id"), F.lit(query_blocks))).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    sent = queries.withColumn("query_block", F.pmod(F.xxhash64("row"), F.lit(query_blocks))).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
     pair = ["query_block", "block"]
-    found = sent.groupBy(*pair).cogroup(cells.groupBy(*pair)).applyInPandas(_scan(dims, least, width, k), "query_id long, entry long, bound long")
+    found = sent.groupBy(*pair).cogroup(cells.groupBy(*pair)).applyInPandas(_scan(dims, least, width, k), "query long, entry long, bound long")
     found = save(work, found, "bounds")
 
-    exact_of = queries.withColumnRenamed("id", "query_id")
+    exact_of = queries.select(F.col("row").alias("query"), "vec")
     others = entries.select("entry", F.col("vec").alias("other"))
 
     def exact(pairs: DataFrame) -> DataFrame:
-        both = pairs.select("query_id", "entry").join(others, "entry").join(exact_of, "query_id")
-        return both.select("query_id", "entry", "vec", "other").mapInArrow(_products, "query_id long, entry long, score long")
+        both = pairs.select("query", "entry").join(others, "entry").join(exact_of, "query")
+        return both.select("query", "entry", "vec", "other").mapInArrow(_products, "query long, entry long, score long")
 
     def best(scored: DataFrame) -> DataFrame:
-        members = scored.join(entries.select("entry", "ids"), "entry").select("query_id", "score", F.explode("ids").alias("vec_id"))
-        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-        ranked = members.filter("vec_id <> query_id").withColumn("rank", F.row_number().over(order))
+        members = scored.join(entries.select("entry", "members"), "entry").select("query", "score", F.inline("members"))
+        order = Window.partitionBy("query").orderBy(F.desc("score"), "id", "row")
+        ranked = members.filter("row <> query").withColumn("rank", F.row_number().over(order))
         return ranked.filter(F.col("rank") <= k)
 
-    in_order = Window.partitionBy("query_id").orderBy(F.desc("bound"), "entry")
+    in_order = Window.partitionBy("query").orderBy(F.desc("bound"), "entry")
     first = found.withColumn("n", F.row_number().over(in_order)).filter(F.col("n") <= reads)
     scored = save(work, exact(first), "first")
-    limit = best(scored).groupBy("query_id").agg(F.when(F.count("*") == k, F.min("score")).alias("limit"))
-    rest = found.join(scored, ["query_id", "entry"], "left_anti").join(limit, "query_id", "left")
+    limit = best(scored).groupBy("query").agg(F.when(F.count("*") == k, F.min("score")).alias("limit"))
+    rest = found.join(scored, ["query", "entry"], "left_anti").join(limit, "query", "left")
     second = exact(rest.filter("limit is null or bound >= limit"))
-    return best(scored.unionByName(second)).select("query_id", "rank", "vec_id", "score")
+    named = queries.select(F.col("row").alias("query"), F.col("id").alias("query_id"))
+    return best(scored.unionByName(second)).join(named, "query").select("query_id", "rank", F.col("id").alias("vec_id"), "score")

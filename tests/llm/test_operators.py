@@ -269,13 +269,17 @@ def test_rules(spark, docs, empty):
 def test_nearest_on_ties_and_odd_rows(spark):
     rng = np.random.default_rng(3)
     rows = [(i, rng.normal(0, 0.2, 8).tolist()) for i in range(300)] + [(i, [0.5] * 8) for i in range(300, 600)]
-    rows += [(600, None), (601, [1.0, None]), (602, [float("nan")] * 8), (None, [1.0] * 8), (604, [0.25]), (604, [0.25]), (605, [])]
+    rows += [(600, None), (601, [1.0, None]), (602, [float("nan")] * 8), (None, [1.0] * 8), (605, [])]
+    rows += [(604, [0.25]), (604, [0.25]), (604, [0.75] * 8), (640, [0.5] * 8), (640, [0.75, 1.0])]  # rows of one id
     frame = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id long, embedding array<float>, query_id string")
-    good = {i: np.floor(64 * np.pad(np.array(v, np.float32).astype(float), (0, 8 - len(v)))) for i, v in rows if i is not None and v is not None and None not in v and np.isfinite(v).all()}
-    want = {q: sorted(((-int(good[q] @ good[c]), c) for c in good if c != q))[:20] for q in good if q % 20 == 0}
-    found = nearest(frame, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect()
+    good = [(i, np.floor(64 * np.pad(np.array(v, np.float32).astype(float), (0, 8 - len(v))))) for i, v in rows if i is not None and v is not None and None not in v and np.isfinite(v).all()]
+    want = sorted((q, sorted((-int(x @ y), c) for k, (c, y) in enumerate(good) if k != n)[:20]) for n, (q, x) in enumerate(good) if q % 20 == 0)
+    found = nearest(frame, F.col("vec_id") % 20 == 0).collect()
     got: dict = {}
     for r in found:
-        got.setdefault(r["query_id"], []).append((-r["score"], r["vec_id"]))
-    assert got == want
+        got.setdefault(r["query_id"], []).append((r["rank"], -r["score"], r["vec_id"]))
+    lists: dict = {}
+    for q, own in want:
+        lists.setdefault(q, []).extend((i + 1, s, c) for i, (s, c) in enumerate(own))
+    assert {q: sorted(x) for q, x in got.items()} == {q: sorted(x) for q, x in lists.items()}
     assert nearest(frame.limit(0), F.col("vec_id") % 20 == 0).count() == 0

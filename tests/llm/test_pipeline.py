@@ -21,6 +21,21 @@ def test_every_stage_handles_odd_rows(spark, docs, empty, tmp_path):
     assert texts[5] == texts[6] == "" and texts[8] == "two words" and texts[1].endswith("one end")
 
 
+CLASHING = ("score", "row", "block", "epoch", "n_tokens", "start", "key", "copy", "ids", "weights", "lang_pred", "row_id", "carried", "size", "class", "Bucket")
+
+
+def test_columns_of_the_operators_names_pass_through(spark, docs, tmp_path):
+    crowded = docs.selectExpr("*", *[f"cast(coalesce(doc_id, 0) * 100 + {i} as string) as {c}" for i, c in enumerate(CLASHING)])
+    rows = crowded
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        stage(spark, rows, SF_DIR).write.parquet(str(tmp_path / name))
+        rows = spark.read.parquet(str(tmp_path / name))
+        assert rows.columns == crowded.columns
+        for r in rows.collect():
+            assert [r[c] for c in CLASHING] == [str((r["doc_id"] or 0) * 100 + i) for i in range(len(CLASHING))]
+    assert corpus_pipeline.STAGES[-1][1](spark, rows, SF_DIR).count() > 0
+
+
 def test_run_packs_what_the_stages_keep(spark):
     out = corpus_pipeline.run(spark, SF_DIR).toPandas()
     assert len(out) > 500 and out.groupby("sequence_id")["length"].sum().max() <= 2048
