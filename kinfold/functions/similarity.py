@@ -81,30 +81,46 @@ def _jaro_short(a: np.ndarray, b: np.ndarray, len_a: np.ndarray, len_b: np.ndarr
         taken_b[:, j] = first != zero
     used = np.ascontiguousarray(~free, dtype="<u8").view(np.uint8).reshape(rows, 8)
     taken_a = np.unpackbits(used, axis=1, bitorder="little")[:, :width].astype(bool)
+    return _score(a, b, taken_a, taken_b, len_a, len_b)
+
+
+def _score(
+    a: np.ndarray, b: np.ndarray, taken_a: np.ndarray, taken_b: np.ndarray, len_a: np.ndarray, len_b: np.ndarray
+) -> np.ndarray:
+    """Jaro similarity from the matched characters of both sides."""
     matches = taken_b.sum(axis=1)
-    seq_a, seq_b = _in_order(a, taken_a), _in_order(b, taken_b)
-    swapped = (seq_a != seq_b).sum(axis=1) // 2
+    swapped = (_in_order(a, taken_a) != _in_order(b, taken_b)).sum(axis=1) // 2
     with np.errstate(divide="ignore", invalid="ignore"):
         score = (matches / len_a + matches / len_b + (matches - swapped) / matches) / 3.0
     return np.where(matches > 0, score, 0.0)
 
 
-def _jaro_long(a: np.ndarray, b: np.ndarray) -> float:
-    """Jaro similarity of two texts of any length."""
-    reach = max(max(len(a), len(b)) // 2 - 1, 0)
-    free = np.ones(len(a), dtype=bool)
-    taken_b = np.zeros(len(b), dtype=bool)
-    for j, char in enumerate(b):
-        start = max(j - reach, 0)
-        hits = np.flatnonzero(free[start : j + reach + 1] & (a[start : j + reach + 1] == char))
-        if len(hits):
-            free[start + hits[0]] = False
-            taken_b[j] = True
-    m = int(taken_b.sum())
-    if m == 0:
-        return 0.0
-    swapped = int((a[~free] != b[taken_b]).sum()) // 2
-    return (m / len(a) + m / len(b) + (m - swapped) / m) / 3.0
+def _jaro_long(a: np.ndarray, b: np.ndarray, len_a: np.ndarray, len_b: np.ndarray) -> np.ndarray:
+    """Jaro similarity of row pairs of any length: the matched positions of a row take several 64-bit words.
+
+    One step handles a character of every row; the lowest free hit of a row lies in its first word that has one.
+    """
+    rows, width = a.shape
+    words = -(-width // _WORD)
+    every, first_bit = np.arange(rows), np.arange(words) * _WORD
+    reach = np.maximum(np.maximum(len_a, len_b) // 2 - 1, 0)[:, None]
+    below = np.array([(1 << k) - 1 for k in range(_WORD + 1)], dtype=np.uint64)
+    free = np.full((rows, words), ~np.uint64(0))
+    taken_b = np.zeros((rows, width), dtype=bool)
+    same = np.zeros((rows, words * _WORD), dtype=bool)
+    for j in range(width):
+        np.equal(a, b[:, j : j + 1], out=same[:, :width])
+        where = np.packbits(same, axis=1, bitorder="little").view("<u8")
+        window = below[np.clip(j + reach + 1 - first_bit, 0, _WORD)] & ~below[np.clip(j - reach - first_bit, 0, _WORD)]
+        hits = where & free & window
+        word = (hits != 0).argmax(axis=1)
+        own = hits[every, word]
+        first = own & (~own + np.uint64(1))
+        free[every, word] &= ~first
+        taken_b[:, j] = first != 0
+    used = np.ascontiguousarray(~free, dtype="<u8").view(np.uint8).reshape(rows, -1)
+    taken_a = np.unpackbits(used, axis=1, bitorder="little")[:, :width].astype(bool)
+    return _score(a, b, taken_a, taken_b, len_a, len_b)
 
 
 def jaro_winkler_batch(left: pa.Array, right: pa.Array) -> np.ndarray:
@@ -127,8 +143,17 @@ def jaro_winkler_batch(left: pa.Array, right: pa.Array) -> np.ndarray:
             a = _grid(data_a, off_a, rows, band + 8, _PAD_LEFT)
             b = _grid(data_b, off_b, rows, band + 8, _PAD_RIGHT)
             score[rows] = _jaro_short(a, b, len_a[rows], len_b[rows])
-    for row in np.flatnonzero(filled & (longest > _WORD)):
-        score[row] = _jaro_long(data_a[off_a[row] : off_a[row + 1]], data_b[off_b[row] : off_b[row + 1]])
+    long, width = np.flatnonzero(filled & (longest > _WORD)), 2 * _WORD
+    while len(long):
+        in_band = long[longest[long] <= width]
+        step = max(1, _CELLS // width)
+        for at in range(0, len(in_band), step):
+            rows = in_band[at : at + step]
+            own = int(longest[rows].max())
+            a = _grid(data_a, off_a, rows, own, _PAD_LEFT)
+            b = _grid(data_b, off_b, rows, own, _PAD_RIGHT)
+            score[rows] = _jaro_long(a, b, len_a[rows], len_b[rows])
+        long, width = long[longest[long] > width], 2 * width
     rows = np.flatnonzero(score > BOOST_ABOVE)
     heads_a = _grid(data_a, off_a, rows, PREFIX_LENGTH, _PAD_LEFT)
     heads_b = _grid(data_b, off_b, rows, PREFIX_LENGTH, _PAD_RIGHT)

@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kinfold.operators.skew import lookup
 from kinfold.schema import RECORD_ID
 
 TILE_ROWS = 1_000
@@ -98,8 +99,11 @@ def join_tasks(spark: SparkSession, pairs: float, rows: float) -> int:
     return max(usual, min(math.ceil(pairs / _PAIRS_PER_TASK), _MAX_TASKS))
 
 
-def _plan_join(units: DataFrame, rules: Sequence[Rule], tile_rows: int, without: DataFrame | None) -> tuple[DataFrame | None, int]:
-    """Chunks of the hot blocks, if any, and the number of join tasks by the pairs they have to list."""
+def _plan_join(units: DataFrame, rules: Sequence[Rule], tile_rows: int, without: DataFrame | None) -> tuple[DataFrame | None, int, int]:
+    """Chunks of the hot blocks, if any, the number of join tasks by the pairs they have to list, and the rows of all blocks.
+
+    The sizes of hot blocks come along only where there are too many for a broadcast.
+    """
     n = F.col("n").cast("double")
     sizes = _block_sizes(units, rules)
     if without is not None:
@@ -108,12 +112,12 @@ def _plan_join(units: DataFrame, rules: Sequence[Rule], tile_rows: int, without:
     spark = units.sparkSession
     tasks = join_tasks(spark, pairs=found[0] or 0, rows=found[2] or 0)
     if not found[1]:
-        return None, tasks
-    hot = sizes.filter(F.col("n") > tile_rows).select("rule", "block", F.ceil(F.col("n") / tile_rows).cast("int").alias("chunks"))
+        return None, tasks, int(found[2] or 0)
+    hot = sizes.filter(F.col("n") > tile_rows).select("rule", "block", F.ceil(F.col("n") / tile_rows).cast("int").alias("chunks"), "n")
     if found[1] > _BROADCAST_BLOCKS:
-        return hot, tasks  # the join strategy is left to the sizes known at run time
-    rows = hot.collect()  # at most _BROADCAST_BLOCKS
-    return F.broadcast(spark.createDataFrame(rows, "rule int, block bigint, chunks int")), tasks
+        return hot, tasks, int(found[2])
+    rows = hot.drop("n").collect()  # at most _BROADCAST_BLOCKS
+    return spark.createDataFrame(rows, "rule int, block bigint, chunks int"), tasks, int(found[2])
 
 
 def tile(chunks: Column, id_column: str, left: bool) -> tuple[Column, Column]:
@@ -128,13 +132,16 @@ def tile(chunks: Column, id_column: str, left: bool) -> tuple[Column, Column]:
     return other.alias("_other"), first.cast("bigint") * chunks + second
 
 
-def _tiled(blocks: DataFrame, hot: DataFrame | None, id_column: str, left: bool) -> DataFrame:
+def _tiled(blocks: DataFrame, hot: DataFrame | None, rows: int, id_column: str, left: bool) -> DataFrame:
     if hot is None:
         return blocks
     # Left join: a row of a small block meets no hot block and keeps the single tile 0.
+    if "n" in hot.columns:  # too many to broadcast: the largest of them are, the others meet their rows by key
+        known = lookup(blocks, hot, ["rule", "block"], "n", rows, how="left")
+    else:
+        known = blocks.join(F.broadcast(hot), ["rule", "block"], "left")
     other, number = tile(F.coalesce(F.col("chunks"), F.lit(1)), id_column, left)
-    rows = blocks.join(hot, ["rule", "block"], "left").select("*", other)
-    return rows.withColumn("tile", number)
+    return known.select("*", other).withColumn("tile", number)
 
 
 def first_rule(rules: Sequence[Rule], place: dict[str, str]) -> Column:
@@ -160,11 +167,11 @@ def candidate_pairs(
     kept = [c for c in blocks.columns if c not in ("rule", "block")]
     if without is not None:
         blocks = blocks.join(without.select("rule", "block"), ["rule", "block"], "left_anti")
-    hot, tasks = _plan_join(units, rules, tile_rows, without)
+    hot, tasks, total = _plan_join(units, rules, tile_rows, without)
     join_on = ["rule", "block"] + (["tile"] if hot is not None else [])
 
     def side(suffix: str) -> DataFrame:
-        rows = _tiled(blocks, hot, id_column, left=suffix == "l")
+        rows = _tiled(blocks, hot, total, id_column, left=suffix == "l")
         rows = rows.select(*join_on, *[F.col(c).alias(f"{c}_{suffix}") for c in kept])
         return rows.repartition(tasks, *join_on)  # by number of pairs: a block is small in bytes
 

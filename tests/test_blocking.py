@@ -5,6 +5,7 @@ import random
 
 import pytest
 
+import kinfold.operators.blocking as blocking
 from conftest import rows
 from kinfold.operators.blocking import (
     CANDIDATE_RULES,
@@ -69,6 +70,33 @@ def test_pairs_equal_brute_force_at_any_tile_size(spark, tile_rows):
     assert set(rows(candidate_pairs(df, tile_rows=tile_rows))) == _brute_force(records)
 
 
+def test_more_hot_blocks_than_a_broadcast_takes(spark, monkeypatch):
+    monkeypatch.setattr(blocking, "_BROADCAST_BLOCKS", 0)
+    records = _records(8, 250)
+    df = spark.createDataFrame(records, SCHEMA).repartition(3)
+    assert set(rows(candidate_pairs(df, tile_rows=5))) == _brute_force(records)
+
+
+def test_blocks_can_be_left_out(spark):
+    df = spark.createDataFrame(_records(5, 250), SCHEMA)
+    large = blocking.hot_blocks(df, CANDIDATE_RULES, 20)
+    listed = candidate_pairs(df, without=large)
+    assert 0 < listed.count() < candidate_pairs(df).count()
+    assert listed.join(candidate_pairs(df), ["record_id_l", "record_id_r", "match_key"], "left_anti").isEmpty()
+
+
+@pytest.mark.parametrize("count", [3, 12])
+def test_counts_of_many_overlapping_rules(spark, count):
+    """Unions of columns merge, so the number of rules does not double the work."""
+    keys = ("email", "last_name", "postcode", "first_name", "city")
+    rules = [Rule.on(*(k for i, k in enumerate(keys) if mask >> i & 1)) for mask in (3, 5, 9, 17, 6, 10, 18, 12, 20, 24, 7, 28)][:count]
+    df = spark.createDataFrame(_records(9, 220), SCHEMA)
+    listed = {r["match_key"]: r["count"] for r in candidate_pairs(df, rules).groupBy("match_key").count().collect()}
+    assert {r["match_key"]: r["pairs"] for r in rule_counts(df, rules).collect()} == {i: listed.get(i, 0) for i in range(count)}
+    place = {k: k for k in keys}
+    assert len(blocking._signed_sets(rules, place)) <= 2 ** len(keys)
+
+
 def test_counts_follow_without_listing_pairs(spark):
     records = _records(6, 300)
     df = spark.createDataFrame(records, SCHEMA)

@@ -12,6 +12,36 @@ from kinfold.functions.similarity import bound_helpers, jaro_winkler_arrow, may_
 from kinfold.operators.comparison import COMPARISONS, compare_pairs, with_helpers
 
 
+def _plain_jaro(a: str, b: str) -> float:
+    reach, free, taken = max(max(len(a), len(b)) // 2 - 1, 0), [True] * len(a), []
+    for j, char in enumerate(b):
+        for i in range(max(j - reach, 0), min(j + reach + 1, len(a))):
+            if free[i] and a[i] == char:
+                free[i] = False
+                taken.append(char)
+                break
+    m = len(taken)
+    swapped = sum(x != y for x, y in zip((c for c, f in zip(a, free, strict=True) if not f), taken, strict=True)) // 2
+    return (m / len(a) + m / len(b) + (m - swapped) / m) / 3 if m else 0.0
+
+
+@pytest.mark.parametrize("alphabet", ["ab", "abcdefghij", "abcé日 "])
+def test_long_texts_equal_the_plain_form(alphabet):
+    rng = random.Random(len(alphabet))
+    left, right = [], []
+    for size in (64, 65, 66, 127, 128, 129, 200, 256, 257, 400, 512):
+        for _ in range(4):
+            a = [rng.choice(alphabet) for _ in range(size)]
+            b = [c for c in a if rng.random() > 0.1] + [rng.choice(alphabet) for _ in range(rng.randint(0, 40))]
+            left.append("".join(a))
+            right.append("".join(rng.sample(b, len(b))) if rng.random() < 0.3 else "".join(b))
+    found = jaro_winkler_arrow(pa.array(left), pa.array(right)).to_pylist()
+    for a, b, got in zip(left, right, found, strict=True):
+        jaro = _plain_jaro(a, b)
+        prefix = next((i for i, (x, y) in enumerate(zip(a[:4], b[:4], strict=False)) if x != y), min(4, len(b)))
+        assert got == pytest.approx(jaro + prefix * 0.1 * (1 - jaro) if jaro > 0.7 else jaro, abs=1e-11)
+
+
 def _texts(seed: int, count: int) -> tuple[list[str], list[str]]:
     rng = random.Random(seed)
     left, right = [], []
