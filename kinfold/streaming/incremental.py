@@ -19,7 +19,7 @@ from kinfold.operators.batches import select_new_records
 from kinfold.operators.model import Model
 from kinfold.plans.resolve import resolve_records
 from kinfold.plans.run import golden_of
-from kinfold.schema import RECORD_SCHEMA
+from kinfold.schema import RECORD_ID, RECORD_SCHEMA
 from kinfold.scratch import Scratch
 from kinfold.sources.files import check_ids, csv_options, has_comma, path_exists, to_records
 from kinfold.sources.snapshots import Mark, SnapshotTable
