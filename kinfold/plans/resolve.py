@@ -16,7 +16,6 @@ from kinfold.operators.blocking import (
     DETERMINISTIC_RULES,
     TRAINING_RULES,
     Rule,
-    all_possible_pairs,
     candidate_pairs,
     pair_count,
 )
