@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kinfold.llm.common import flat, passes, save, workspace
+from kinfold.llm.common import passes, save, workspace
 from kinfold.llm.mixcoder import BLOCK, LANES, decode, encode
 from kinfold.llm.packing import tokenizer
 from kinfold.scratch import Scratch
