@@ -6,6 +6,7 @@ words, lines and hashes of a thousand documents come from a few numpy calls.
 
 from __future__ import annotations
 
+import copy
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -168,6 +169,13 @@ class Words:
         """A 64-bit hash of each word's bytes and length."""
         return hash_spans(self.data, self.starts, self.ends - self.starts)
 
+    def distinct(self) -> tuple[Words, np.ndarray]:
+        """The different words of the batch, one of each, and which of them every word is."""
+        _, first, which = np.unique(self.hashes(), return_index=True, return_inverse=True)
+        each = copy.copy(self)
+        each.starts, each.ends = self.starts[first], self.ends[first]
+        return each, which
+
     def prefix_hashes(self, lengths: tuple[int, ...]) -> tuple[np.ndarray, list[np.ndarray]]:
         """Hashes of the words, and of their first ``n`` bytes for each of ``lengths``; a shorter word's own hash."""
         size = self.ends - self.starts

@@ -21,6 +21,8 @@ read.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -36,6 +38,9 @@ PRIOR = 50.0
 Z = 2.6
 SAMPLE = 20_000
 SIGNIFICANT = 0.01
+FIRM = -math.log(SIGNIFICANT)
+#: Sums closer than this count as equal where runs are cut.
+NEAR = 1e-6
 #: Least shingle hashes of a text, those by which texts meet, and those that must agree (a similarity of about 0.7).
 HASHES = 32
 ROUNDS = 4
@@ -45,11 +50,12 @@ _ORDERS = mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
 WHOLE = 1 << 30
 
 
-def _forms(batch: pa.RecordBatch) -> tuple[Words, list[np.ndarray]]:
-    """Words of the texts, and the place of each of their forms."""
+def _forms(batch: pa.RecordBatch) -> tuple[Words, np.ndarray, np.ndarray]:
+    """Words of the texts, which of the different words each is, and the places of those: a row for each form."""
     words = Words(*flat(batch.column("text")), lower=True, separators=NOT_LETTERS)
-    whole, first = words.prefix_hashes(PREFIXES)
-    return words, [(f >> np.uint64(44)).astype(np.int64) for f in (whole, *first)]
+    each, which = words.distinct()
+    whole, first = each.prefix_hashes(PREFIXES)
+    return words, which, (np.stack([whole, *first]) >> np.uint64(44)).astype(np.int64)
 
 
 def _copies(batch: pa.RecordBatch) -> dict:
@@ -82,12 +88,14 @@ def _count(batches):
     counts = np.zeros((4, BUCKETS), np.int64)
     texts = np.zeros(4, np.int64)
     for batch in passes(batches):
-        words, forms = _forms(batch)
+        words, which, forms = _forms(batch)
         half, toxic = (batch.column(c).to_numpy().astype(np.int64) for c in ("half", "toxic"))
         kind = half * 2 + toxic
         weight = WHOLE // batch.column("alike").to_numpy()
         np.add.at(texts, kind, weight)
-        pair = np.unique(np.concatenate([words.doc * BUCKETS + f for f in forms]))
+        used = max(forms.shape[1], 1)
+        once = np.unique(words.doc * used + which)
+        pair = np.unique(np.concatenate([once // used * BUCKETS + f[once % used] for f in forms]))
         place = kind[pair // BUCKETS] * BUCKETS + pair % BUCKETS
         np.add.at(counts.reshape(-1), place, weight[pair // BUCKETS])
     used = np.flatnonzero(counts.any(axis=0))
@@ -122,32 +130,66 @@ def segments(at: np.ndarray, gain: np.ndarray, drift: float = DRIFT) -> list[tup
     return [(high - low, first, last) for low, high, first, last in found]
 
 
+def excursions(at: np.ndarray, gain: np.ndarray, text: np.ndarray, drift: float = DRIFT) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of scoring words begin that no maximal segment crosses, and the score that each can reach at most.
+
+    A run ends where the sum falls to its lowest so far in the ``text``: a segment's sums stay above that before it.
+    ``at`` are places among the words of all texts, in order.
+    """
+    after = np.cumsum(gain) - drift * (at - np.arange(len(at)))
+    before = after - gain
+    head = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]]))
+    turn = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(at))))
+    before, after = before - before[head][turn], after - before[head][turn]
+    # Each text lies below the one before it, so that one running minimum serves all.
+    fall = turn * (float(after.max()) - float(before.min()) + 1.0)
+    lowest = np.minimum.accumulate(before - fall)
+    start = np.concatenate([[True], before[1:] - fall[1:] <= lowest[:-1] - NEAR])
+    start[head] = True
+    start = np.flatnonzero(start)
+    return start, np.maximum.reduceat(after, start) - np.minimum.reduceat(before, start)
+
+
 class Scorer:
     """Segments of a batch of texts under a table of form scores."""
 
     def __init__(self, batch: pa.RecordBatch, table: np.ndarray, half: np.ndarray | None = None):
         """``table`` has a row of scores for each half; without ``half`` its only row is used."""
-        self.words, forms = _forms(batch)
-        row = 0 if half is None else half[self.words.doc]
-        best = table[row, forms[0]]
-        for form in forms[1:]:
-            best = np.maximum(best, table[row, form])
+        self.words, which, forms = _forms(batch)
+        best = np.stack([row[forms].max(axis=0) for row in table])
+        best = best[0, which] if half is None else best[half[self.words.doc], which]
         self.at = np.flatnonzero(best > 0)
         self.gain = best[self.at].astype(np.float64)
-        self.cut = np.searchsorted(self.at, self.words.bounds)
-
-    def segments(self, i: int) -> list[tuple[float, int, int]]:
-        part = slice(self.cut[i], self.cut[i + 1])
-        return segments(self.at[part] - self.words.bounds[i], self.gain[part]) if part.stop > part.start else []
+        self.text = self.words.doc[self.at]
+
+    def segments(self, floor: np.ndarray | None = None) -> list[list[tuple[float, int, int]]]:
+        """Maximal segments of each text; with a ``floor`` for each text at least all that reach it."""
+        found: list[list] = [[] for _ in self.words.count]
+        if not len(self.at):
+            return found
+        start, most = excursions(self.at, self.gain, self.text)
+        cut = np.append(start, len(self.at))
+        text = self.text[start]
+        use = np.arange(len(start)) if floor is None else np.flatnonzero(most >= floor[text] - NEAR)
+        for i, low, high in zip(text[use].tolist(), cut[use].tolist(), cut[use + 1].tolist(), strict=True):
+            found[i] += segments(self.at[low:high] - self.words.bounds[i], self.gain[low:high])
+        return found
 
 
 def _calibration(tables: np.ndarray):
+    """Words and segment scores of each text; a batch's first text also has the gains in its clean texts and their weight."""
+
     def make(batch: pa.RecordBatch) -> dict:
         scorer = Scorer(batch, tables, batch.column("half").to_numpy().astype(np.int64))
-        found = [scorer.segments(i) for i in range(batch.num_rows)]
-        gains = [scorer.gain[scorer.cut[i] : scorer.cut[i + 1]].tolist() for i in range(batch.num_rows)]
-        scores = [[s for s, _, _ in x] for x in found]
-        return {"row_id": batch.column("row_id"), "toxic": batch.column("toxic"), "alike": batch.column("alike"), "words": scorer.words.count, "gains": gains, "scores": scores}
+        scores = [[s for s, _, _ in x] for x in scorer.segments()]
+        weight = np.where(batch.column("toxic").to_numpy() == 0, 1 / batch.column("alike").to_numpy(), 0.0)
+        gains, which = np.unique(scorer.gain, return_inverse=True)
+        times = np.bincount(which, weight[scorer.text], minlength=len(gains))
+        none: list = [[]] * (batch.num_rows - 1)
+        return {
+            "row_id": batch.column("row_id"), "toxic": batch.column("toxic"), "alike": batch.column("alike"), "words": scorer.words.count,
+            "scores": scores, "gains": [gains, *none], "times": [times, *none],
+        }
 
     return make
 
@@ -160,11 +202,12 @@ def _lists(column: pa.ChunkedArray) -> list[np.ndarray]:
 class Law:
     """Extreme-value law of segment scores in clean texts, and the curve from evidence to probability."""
 
-    def __init__(self, words: np.ndarray, gains: list, scores: list, toxic: np.ndarray, weight: np.ndarray):
+    def __init__(self, words: np.ndarray, gains: np.ndarray, times: np.ndarray, scores: list, toxic: np.ndarray, weight: np.ndarray):
+        """``times`` is the weight of the clean texts' words with each of ``gains``."""
         clean = np.flatnonzero(~toxic)
         total = max(float((words * weight)[clean].sum()), 1.0)
-        ups = np.concatenate([np.zeros(0), *[np.asarray(gains[i], float) for i in clean]])
-        times = np.append(np.repeat(weight[clean], [len(gains[i]) for i in clean]), 1.0)
+        ups, which = np.unique(gains, return_inverse=True)
+        times = np.append(np.bincount(which, times, minlength=len(ups)), 1.0)
         low, high = 0.0, 1.0
         # The decay is the positive root of the mean of exp(decay * score) - 1 over words of clean texts; an
         # added word of the highest score keeps it finite where clean texts have none.
@@ -188,9 +231,16 @@ class Law:
         """Minus the log of the expected number of segments as good as the best, and a share for further ones."""
         if not len(scores):
             return 0.0
-        each = [self.decay * s - np.log(self.rate * max(words, 1)) for s in scores]
-        further = sum(e > -np.log(SIGNIFICANT) for e in each)
-        return float(np.log1p(max(0.0, max(each)) + max(0, further - 1)))
+        each = [self.significance(s, words) for s in scores]
+        further = sum(e > FIRM for e in each)
+        return math.log1p(max(0.0, max(each)) + max(0, further - 1))
+
+    def significance(self, score: float, words: int) -> float:
+        return self.decay * score - math.log(self.rate * max(words, 1))
+
+    def floor(self, words: np.ndarray) -> np.ndarray:
+        """Scores below which a segment of a text is no evidence."""
+        return np.log(self.rate * np.maximum(words, 1)) / self.decay
 
     def probability(self, scores: list[float], words: int) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.slope * self.evidence(scores, words) + self.shift, -30, 30))))
@@ -278,9 +328,10 @@ def learn(docs: DataFrame, marks: DataFrame, scratch, sample: int = SAMPLE) -> M
     pa.default_memory_pool().release_unused()
     some = texts.select("row_id").orderBy("row_id").limit(sample)
     chosen = texts.join(F.broadcast(some), "row_id", "left_semi")  # at most ``sample`` numbers
-    seen = map_batches(chosen, _calibration(halves), "row_id long, toxic int, alike long, words long, gains array<double>, scores array<double>")
+    seen = map_batches(chosen, _calibration(halves), "row_id long, toxic int, alike long, words long, scores array<double>, gains array<double>, times array<double>")
     rows = seen.toArrow()
-    law = Law(rows["words"].to_numpy(), _lists(rows["gains"]), _lists(rows["scores"]), rows["toxic"].to_numpy() == 1, 1 / rows["alike"].to_numpy())
+    gains, times = (rows[c].combine_chunks().flatten().to_numpy() for c in ("gains", "times"))
+    law = Law(rows["words"].to_numpy(), gains, times, _lists(rows["scores"]), rows["toxic"].to_numpy() == 1, 1 / rows["alike"].to_numpy())
     return Model(whole[None], law)
 
 
@@ -294,11 +345,11 @@ def _score(model: Model | None, kept: list[str]):
             return out | {"score": np.zeros(batch.num_rows), "n_words": np.zeros(batch.num_rows, np.int64), "passages": [[]] * batch.num_rows}
         scorer = Scorer(batch, model.table)
         law, scores, passages = model.law, [], []
-        for i, n in enumerate(scorer.words.count.tolist()):
-            found = scorer.segments(i)
-            scores.append(law.probability([s for s, _, _ in found], n))
-            each = [(a, b, law.decay * s - float(np.log(law.rate * max(n, 1)))) for s, a, b in found]
-            passages.append([{"first_word": a, "last_word": b, "significance": e} for a, b, e in each if e > -np.log(SIGNIFICANT)])
+        nothing = law.probability([], 0)
+        for n, found in zip(scorer.words.count.tolist(), scorer.segments(law.floor(scorer.words.count)), strict=True):
+            scores.append(law.probability([s for s, _, _ in found], n) if found else nothing)
+            each = [(a, b, law.significance(s, n)) for s, a, b in found]
+            passages.append([{"first_word": a, "last_word": b, "significance": e} for a, b, e in each if e > FIRM])
         return out | {"score": scores, "n_words": scorer.words.count, "passages": passages}
 
     return make

@@ -28,7 +28,7 @@ from kinfold.llm.queries import ORACLES, QUERIES, vocabulary
 from kinfold.llm.rules import quality_rules
 from kinfold.llm.substrings import remove_repeated_words
 from kinfold.llm.suffixes import remove_repeats
-from kinfold.llm.toxicity import _forms, form_counts, labelled_texts, learn, log_odds, segments, toxicity
+from kinfold.llm.toxicity import _forms, excursions, form_counts, labelled_texts, learn, log_odds, segments, toxicity
 
 from .conftest import ROWS, SF_DIR
 
@@ -211,7 +211,7 @@ def _labelled(spark, rows):
 
 
 def _place(word: str) -> int:
-    return int(_forms(pa.RecordBatch.from_pydict({"text": [word]}))[1][0][0])
+    return int(_forms(pa.RecordBatch.from_pydict({"text": [word]}))[2][0, 0])
 
 
 def test_a_toxic_word_scores_no_less_in_a_larger_corpus(spark):
@@ -251,6 +251,38 @@ def test_segments_are_the_maximal_ones():
     assert [(round(s, 2), a, b) for s, a, b in segments(at, gain, 0.25)] == [(4.0, 0, 10), (1.0, 30, 30)]
 
 
+def plain_segments(gains: list[float]) -> set[tuple[int, int]]:
+    """Runs whose proper heads and tails all have sums above 0 and that lie in no longer such run."""
+    total = np.concatenate([[0.0], np.cumsum(gains)])
+    n = len(gains)
+    good = [(a, b) for a in range(n) for b in range(a, n) if (total[a + 1 : b + 2] > total[a]).all() and (total[a : b + 1] < total[b + 1]).all()]
+    return {(a, b) for a, b in good if not any((x, y) != (a, b) and x <= a and b <= y for x, y in good)}
+
+
+def test_segments_equal_a_plain_search_and_runs_lose_none():
+    random = np.random.default_rng(5)
+    for _ in range(60):
+        sizes = random.integers(1, 40, 6)
+        scores = [np.where(random.random(n) < 0.4, random.integers(1, 9, n) / 8, 0.0) for n in sizes]
+        every, text = np.concatenate(scores), np.repeat(np.arange(6), sizes)
+        at = np.flatnonzero(every > 0)
+        if not len(at):
+            continue
+        start, most = excursions(at, every[at], text[at])
+        bounds = np.append(start, len(at))
+        found = {i: {} for i in range(6)}
+        for low, high, top in zip(bounds[:-1], bounds[1:], most, strict=True):
+            i = text[at[low]]
+            assert (text[at[low:high]] == i).all()
+            for s, a, b in segments(at[low:high] - int(sizes[:i].sum()), every[at[low:high]]):
+                assert s <= top + 1e-9
+                found[i][a, b] = s
+        for i, own in enumerate(scores):
+            gains = np.where(own > 0, own, -0.25)
+            assert set(found[i]) == plain_segments(gains.tolist())
+            assert all(s == pytest.approx(gains[a : b + 1].sum()) for (a, b), s in found[i].items())
+
+
 def test_rules(spark, docs, empty):
     labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
     judged, rules = quality_rules(spark.read.parquet(f"{SF_DIR}/documents.parquet"), labels)
