@@ -7,10 +7,11 @@ in the same tile can be similar, and no pair is lost. A set near the lower edge
 below. Passages that many texts share come last in the order, so they make no tiles unless they are most of a text.
 
 Within a tile sets are not paired all with all. Each set is compared with the least of one of its tiles, then with the
-least of its other tiles while their classes differ, then with sets of another class in the same tile. A set's
-signature is a bitmap of the parity of the shingles on each bit. Before texts are read again, the bits in which two
-signatures differ are counted: each is an element that one of them lacks, which bounds the overlap from above. What
-passes is decided by intersecting the sorted sets.
+least of its other tiles while their classes differ, then with a few pivots of each tile that still holds several
+classes, drawn anew while a round links many sets. Only then do the sets of different classes that are left in a tile
+meet each other, which settles every pair. A set's signature is a bitmap of the parity of the shingles on each bit.
+Before texts are read again, the bits in which two signatures differ are counted: each is an element that one of them
+lacks, which bounds the overlap from above. What passes is decided by intersecting the sorted sets.
 
 Tiles are grouped by packed keys: a batch of texts sends one row for each part of the key space, with one entry for
 each key however many of its texts hold it, so neither copies nor a tile that a third of all sets share fill a task.
@@ -48,6 +49,13 @@ PARITY = 8
 KEY_BYTES = 6
 #: Keys of one part of the key space, about.
 PART_KEYS = 2_000_000
+#: Pivots of a tile in a round, about; rounds end when one links less than this share of the sets in tiles of several
+#: classes, or after so many.
+PIVOTS = 8
+LINKING_SHARE = 0.005
+PIVOT_ROUNDS = 8
+#: Pairs (two numbers each) that are broadcast to read their texts; more are joined by shuffling texts.
+BROADCAST_PAIRS = 1_000_000
 
 
 class Bands:
@@ -248,15 +256,23 @@ class _Join:
         )
         self.links: DataFrame | None = None
 
-    def verify(self, pairs: DataFrame, name: str) -> None:
-        """Add the similar ones of ``a, b`` (a < b) to the links."""
+    def verify(self, pairs: DataFrame, name: str) -> int:
+        """Add the similar ones of ``a, b`` (a < b) to the links; how many there are."""
         open_pairs = pairs.join(self.left, "a").join(self.right, "b").filter(may_be_similar(self.t)).select("a", "b")
         open_pairs = save(self.scratch, open_pairs, f"{name}-open")
-        first = self.texts.select(F.col("row_id").alias("a"), F.col("text").alias("text_a"))
-        second = self.texts.select(F.col("row_id").alias("b"), F.col("text").alias("text_b"))
-        read = open_pairs.join(second, "b").join(first, "a").select("a", "b", "text_a", "text_b")
+        read = self._with_texts(open_pairs, open_pairs.count()).select("a", "b", "text_a", "text_b")
         found = save(self.scratch, read.mapInArrow(_verified(self.t, self.n), "a long, b long"), f"{name}-links")
         self.links = found if self.links is None else self.links.unionByName(found)
+        return found.count()
+
+    def _with_texts(self, pairs: DataFrame, count: int) -> DataFrame:
+        """Pairs with both texts; few pairs pick their texts before anything is shuffled."""
+        first = self.texts.select(F.col("row_id").alias("a"), F.col("text").alias("text_a"))
+        second = self.texts.select(F.col("row_id").alias("b"), F.col("text").alias("text_b"))
+        if count > BROADCAST_PAIRS:
+            return pairs.join(second, "b").join(first, "a")
+        wanted = pairs.select("a").distinct()  # at most BROADCAST_PAIRS numbers
+        return second.join(F.broadcast(pairs), "b").join(first.join(F.broadcast(wanted), "a", "left_semi"), "a")
 
     def classes(self, name: str) -> DataFrame:
         """``node, class`` of every node with a link."""
@@ -265,6 +281,27 @@ class _Join:
         return save(self.scratch, found.select("node", F.col("component").alias("class")), name)
 
 
+def _mixed(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """``key, node, class`` of the tiles whose sets are in several classes."""
+    named = members.join(classes, "node", "left").select("key", "node", F.coalesce("class", "node").alias("class"))
+    split = named.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high").select("key")
+    return named.join(split, "key", "left_semi")
+
+
+def _pivot_pairs(mixed: DataFrame, join: _Join, t: Fraction, turn: int) -> DataFrame:
+    """Pairs ``a < b`` of a set and a pivot of another class in one of its tiles, one for each set and class of pivots.
+
+    Pivots are drawn by a hash of the set, so that tiles that share sets share pivots.
+    """
+    sizes = mixed.groupBy("key").agg(F.count("*").alias("n"))
+    draw = F.xxhash64("node", F.lit(turn)).bitwiseAND(F.lit((1 << 20) - 1)) * F.col("n") < PIVOTS << 20
+    pivots = mixed.join(sizes, "key").filter(draw).select("key", F.col("node").alias("a"), F.col("class").alias("class_a")).join(join.left, "a")
+    others = mixed.select("key", F.col("node").alias("b"), F.col("class").alias("class_b")).join(join.right, "b")
+    meet = (pivots["key"] == others["key"]) & (F.col("class_a") != F.col("class_b")) & may_be_similar(t)
+    near = pivots.join(others, meet).groupBy("b", "class_a").agg(F.min("a").alias("a"))
+    return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def one_of_each(docs: DataFrame, similarity: str = "0.8", shingle: int = 5) -> DataFrame:
     """``docs`` with the first row of each class of near duplicates."""
     row = fresh_name(docs, "dedup_row")
@@ -323,10 +360,17 @@ def near_duplicates(docs: DataFrame, similarity: str = "0.8", shingle: int = 5,
         join.verify(rest, "rest")
         classes = join.classes("classes-rest")
 
-    # Tiles whose sets are still in several classes: sets of different classes meet there directly.
-    named = members.join(classes, "node", "left").select("key", "node", F.coalesce("class", "node").alias("class"))
-    split = named.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high").select("key")
-    mixed = save(scratch, named.join(split, "key", "left_semi"), "mixed")
+    linked = turn = 0
+    mixed = save(scratch, _mixed(members, classes), "mixed")
+    inside = mixed.select("node").distinct().count()
+    while not mixed.isEmpty() and turn < PIVOT_ROUNDS and (turn == 0 or linked > LINKING_SHARE * inside):
+        linked = join.verify(_pivot_pairs(mixed, join, t, turn), f"pivots-{turn}")
+        turn += 1
+        if linked:
+            classes = join.classes(f"classes-pivots-{turn}")
+            mixed = save(scratch, _mixed(mixed.select("key", "node"), classes), f"mixed-{turn}")
+
+    # What is left of tiles with several classes: sets of different classes meet there directly.
     x = mixed.select("key", F.col("node").alias("a"), F.col("class").alias("class_a")).join(join.left, "a")
     y = mixed.select("key", F.col("node").alias("b"), F.col("class").alias("class_b")).join(join.right, "b")
     meet = (x["key"] == y["key"]) & (F.col("a") < F.col("b")) & (F.col("class_a") != F.col("class_b")) & may_be_similar(t)

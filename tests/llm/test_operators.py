@@ -92,10 +92,8 @@ def shingles(text: str | None, n: int) -> set:
     return {tuple(w[k : k + n]) for k in range(len(w) - n + 1)} if len(w) >= n else ({tuple(w)} if w else set())
 
 
-@pytest.mark.parametrize(("similarity", "n"), [("0.9", 3), ("0.8", 5), ("0.6", 3)])
-def test_near_duplicates(spark, docs, empty, similarity, n):
-    rows = [(i, t) for i, t, *_ in real("documents")[:400]]
-    sets = {i: shingles(t, n) for i, t in rows}
+def plain_classes(sets: dict, similarity: float) -> dict:
+    """The least id that links of similar sets reach from each id."""
     parent = {i: i for i in sets}
 
     def root(x):
@@ -107,11 +105,19 @@ def test_near_duplicates(spark, docs, empty, similarity, n):
     for k, a in enumerate(ids):
         for b in ids[:k]:
             both = len(sets[a] & sets[b])
-            if both and both >= float(similarity) * (len(sets[a]) + len(sets[b]) - both) - 1e-9:
+            if both and both >= similarity * (len(sets[a]) + len(sets[b]) - both) - 1e-9:
                 x, y = root(a), root(b)
                 parent[max(x, y)] = min(x, y)
+    return {i: root(i) for i in ids}
+
+
+@pytest.mark.parametrize(("similarity", "n"), [("0.9", 3), ("0.8", 5), ("0.6", 3)])
+def test_near_duplicates(spark, docs, empty, similarity, n):
+    rows = [(i, t) for i, t, *_ in real("documents")[:400]]
+    sets = {i: shingles(t, n) for i, t in rows}
+    classes = plain_classes(sets, float(similarity))
     found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), similarity, n).collect()
-    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == {i: (len(sets[i]), root(i)) for i in ids}
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == {i: (len(sets[i]), classes[i]) for i in sets}
     if n == 5:
         odd = near_duplicates(docs).collect()
         assert {r["doc_id"]: r["component_id"] for r in odd if r["doc_id"] in (3, 4, 5, 6, 8)} == {3: 3, 4: 4, 5: 5, 6: 5, 8: 8}
@@ -120,6 +126,23 @@ def test_near_duplicates(spark, docs, empty, similarity, n):
         assert near_duplicates(empty).count() == 0
 
 
+@pytest.mark.parametrize(("rounds", "broadcast"), [(8, 1_000_000), (0, 0)])
+def test_chains_within_a_tile(spark, monkeypatch, rounds, broadcast):
+    """Edits of one passage that are similar in part only: links lead from class to class, by pivots or without."""
+    monkeypatch.setattr("kinfold.llm.jaccard.PIVOT_ROUNDS", rounds)
+    monkeypatch.setattr("kinfold.llm.jaccard.BROADCAST_PAIRS", broadcast)
+    random = np.random.default_rng(11)
+    passage, rows = [f"p{i}" for i in range(80)], []
+    for i in range(150):
+        words = list(passage)
+        for at in random.choice(80, int(random.integers(1, 7)), replace=False):
+            words[at] = f"e{at}_{random.integers(3)}"
+        rows.append((i, " ".join(words)))
+    sets = {i: shingles(t, 5) for i, t in rows}
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), "0.8", 5).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == plain_classes(sets, 0.8)
+
+
 def test_packing(spark, docs, empty):
     reference = Reference.from_file(vocabulary())
     rows = [(i, t) for i, t, *_ in real("documents")[:150]]
