@@ -11,7 +11,8 @@ least of its other tiles while their classes differ, then with a few pivots of e
 classes, drawn anew while a round links many sets. Only then do the sets of different classes that are left in a tile
 meet each other, which settles every pair. A set's signature is a bitmap of the parity of the shingles on each bit.
 Before texts are read again, the bits in which two signatures differ are counted: each is an element that one of them
-lacks, which bounds the overlap from above. What passes is decided by intersecting the sorted sets.
+lacks, which bounds the overlap from above. A short bitmap says nothing of large sets, so these have one that grows with
+their size as well; of two lengths the longer folds to the shorter. What passes is decided by intersecting the sorted sets.
 
 Tiles are grouped by packed keys: a batch of texts sends one row for each part of the key space, with one entry for
 each key however many of its texts hold it, so neither copies nor a tile that a third of all sets share fill a task.
@@ -45,6 +46,9 @@ BUCKETS = 1 << 20
 BUCKET_SHIFT = np.uint64(44)
 #: Words of a parity bitmap.
 PARITY = 8
+#: Sets above this size also have a bitmap of ``WIDE`` to twice as many bits an element.
+WIDE_FROM = 256
+WIDE = 4
 #: Bytes of a tile's key; keys that meet by chance only cost a comparison.
 KEY_BYTES = 6
 #: Keys of one part of the key space, about.
@@ -109,13 +113,30 @@ def parity(elements: np.ndarray) -> np.ndarray:
     return np.packbits((times & 1).astype(np.uint8), bitorder="little").view(np.int64)
 
 
+def wide_parity(elements: np.ndarray) -> bytes | None:
+    """As ``parity``, on a number of bits that grows with the set; none for a small set."""
+    if len(elements) <= WIDE_FROM:
+        return None
+    bits = 1 << (WIDE * len(elements) - 1).bit_length()
+    times = np.bincount((elements >> np.uint64(6) & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((times & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def differing(x: bytes, y: bytes) -> int:
+    """Bits in which two wide bitmaps differ, on the shorter one's length."""
+    a, b = sorted((np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)), key=len)
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int.from_bytes((a ^ b).tobytes(), "little").bit_count()
+
+
 def _signatures(n: int):
     def make(batch: pa.RecordBatch) -> dict:
         sets = shingle_sets(batch.column("text"), n)
         bits = np.stack([parity(s) for s in sets])
         return {
             "row_id": batch.column("row_id"), "doc_id": batch.column("doc_id"), "size": np.array([len(s) for s in sets], np.int64),
-            "digest": [_digest(s) if len(s) else None for s in sets],
+            "digest": [_digest(s) if len(s) else None for s in sets], "wide": [wide_parity(s) for s in sets],
         } | {f"p{i}": bits[:, i] for i in range(PARITY)}
 
     return make
@@ -226,6 +247,18 @@ def may_be_similar(t: Fraction):
     return differ * (t.denominator + t.numerator) <= (F.col("size_a") + F.col("size_b")) * (t.denominator - t.numerator)
 
 
+def _bounded(t: Fraction):
+    """Pairs whose wide bitmaps leave room for the similarity; a pair with a small set stays."""
+
+    def run(batches):
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("wide_a", "wide_b", "sizes"))
+            keep = [x is None or y is None or differing(x, y) * (t.denominator + t.numerator) <= n * (t.denominator - t.numerator) for x, y, n in zip(*columns, strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
 def _verified(t: Fraction, n: int):
     """Pairs whose sorted sets are similar; a text that comes again in a row is read once."""
 
@@ -250,7 +283,7 @@ def _verified(t: Fraction, n: int):
 
 class _Join:
     def __init__(self, scratch: Scratch, texts: DataFrame, signed: DataFrame, t: Fraction, n: int):
-        self.scratch, self.texts, self.t, self.n = scratch, texts, t, n
+        self.scratch, self.texts, self.signed, self.t, self.n = scratch, texts, signed, t, n
         self.left, self.right = (
             signed.select(F.col("row_id").alias(x), F.col("size").alias(f"size_{x}"), *[F.col(f"p{i}").alias(f"{x}{i}") for i in range(PARITY)]) for x in "ab"
         )
@@ -258,17 +291,21 @@ class _Join:
 
     def verify(self, pairs: DataFrame, name: str) -> int:
         """Add the similar ones of ``a, b`` (a < b) to the links; how many there are."""
-        open_pairs = pairs.join(self.left, "a").join(self.right, "b").filter(may_be_similar(self.t)).select("a", "b")
-        open_pairs = save(self.scratch, open_pairs, f"{name}-open")
-        read = self._with_texts(open_pairs, open_pairs.count()).select("a", "b", "text_a", "text_b")
+        near = pairs.join(self.left, "a").join(self.right, "b").filter(may_be_similar(self.t))
+        near = save(self.scratch, near.select("a", "b", (F.col("size_a") + F.col("size_b")).alias("sizes")), f"{name}-near")
+        large = near.filter(F.col("sizes") > 2 * WIDE_FROM)
+        bounded = self._with(large, large.count(), self.signed, "wide").select("a", "b", "sizes", "wide_a", "wide_b").mapInArrow(_bounded(self.t), "a long, b long")
+        small = near.filter(F.col("sizes") <= 2 * WIDE_FROM).select("a", "b")
+        open_pairs = save(self.scratch, bounded.unionByName(small), f"{name}-open")
+        read = self._with(open_pairs, open_pairs.count(), self.texts, "text").select("a", "b", "text_a", "text_b")
         found = save(self.scratch, read.mapInArrow(_verified(self.t, self.n), "a long, b long"), f"{name}-links")
         self.links = found if self.links is None else self.links.unionByName(found)
         return found.count()
 
-    def _with_texts(self, pairs: DataFrame, count: int) -> DataFrame:
-        """Pairs with both texts; few pairs pick their texts before anything is shuffled."""
-        first = self.texts.select(F.col("row_id").alias("a"), F.col("text").alias("text_a"))
-        second = self.texts.select(F.col("row_id").alias("b"), F.col("text").alias("text_b"))
+    def _with(self, pairs: DataFrame, count: int, rows: DataFrame, column: str) -> DataFrame:
+        """Pairs with the ``column`` of both rows; few pairs pick their rows before anything is shuffled."""
+        first = rows.select(F.col("row_id").alias("a"), F.col(column).alias(f"{column}_a"))
+        second = rows.select(F.col("row_id").alias("b"), F.col(column).alias(f"{column}_b"))
         if count > BROADCAST_PAIRS:
             return pairs.join(second, "b").join(first, "a")
         wanted = pairs.select("a").distinct()  # at most BROADCAST_PAIRS numbers
@@ -326,7 +363,7 @@ def near_duplicates(docs: DataFrame, similarity: str = "0.8", shingle: int = 5,
         texts = docs.select("row_id", "doc_id", "text")
     else:
         texts = save(scratch, docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "text"), "texts")
-    ddl = f"row_id long, doc_id {kind}, size long, digest binary, " + ", ".join(f"p{i} long" for i in range(PARITY))
+    ddl = f"row_id long, doc_id {kind}, size long, digest binary, wide binary, " + ", ".join(f"p{i} long" for i in range(PARITY))
     signed = save(scratch, map_batches(texts, _signatures(shingle), ddl), "signatures")
     copies = signed.filter("size > 0").groupBy("digest").agg(F.min("row_id").alias("node"), F.count("*").alias("copies"))
     copies = save(scratch, copies, "copies")

@@ -18,7 +18,7 @@ from tokenizers import Tokenizer as Reference
 
 import kinfold.llm.anchors as anchors
 from kinfold.llm.common import workspace
-from kinfold.llm.jaccard import near_duplicates, one_of_each
+from kinfold.llm.jaccard import differing, near_duplicates, one_of_each, wide_parity
 from kinfold.llm.language import identify
 from kinfold.llm.mixing import mix, word_count
 from kinfold.llm.nearest import nearest
@@ -143,6 +143,17 @@ def test_chains_within_a_tile(spark, monkeypatch, rounds, broadcast):
     assert {r["doc_id"]: r["component_id"] for r in found} == plain_classes(sets, 0.8)
 
 
+def test_wide_bitmaps_bound_the_difference():
+    random = np.random.default_rng(3)
+    for n in (300, 1100, 5000):
+        a = np.unique(random.integers(0, 2**63, n).astype(np.uint64))
+        b = np.unique(np.concatenate([a[: -n // 9], random.integers(0, 2**63, n // 3).astype(np.uint64)]))
+        apart = len(np.setxor1d(a, b))
+        assert 0.6 * apart < differing(wide_parity(a), wide_parity(b)) <= apart
+        assert differing(wide_parity(a), wide_parity(a)) == 0
+    assert wide_parity(a[:100]) is None
+
+
 def test_packing(spark, docs, empty):
     reference = Reference.from_file(vocabulary())
     rows = [(i, t) for i, t, *_ in real("documents")[:150]]
