@@ -4,7 +4,9 @@ import itertools
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+import fixtures
 import kinfold.operators.blocking as blocking
 from conftest import rows
 from kinfold.operators.blocking import (
@@ -13,10 +15,12 @@ from kinfold.operators.blocking import (
     Rule,
     block_pairs,
     blocking_reduction,
+    candidate_count,
     candidate_pairs,
     pair_count,
     rule_counts,
 )
+from kinfold.operators.skew import spread
 from kinfold.schema import RECORD_COLUMNS
 
 SCHEMA = ",".join(f"{c} string" for c in RECORD_COLUMNS)
@@ -145,3 +149,29 @@ def test_no_join_without_an_equality(spark):
     for rules in (CANDIDATE_RULES, TRAINING_RULES):
         plan = candidate_pairs(df, rules)._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan and "Cartesian" not in plan and "SortMergeJoin" in plan
+
+
+def test_a_small_file_is_dealt_out_before_its_rows_are_expanded(spark, monkeypatch):
+    """Block rows are made in as many tasks as they need, not in the one task that reads the units."""
+    monkeypatch.setattr(blocking, "_EXPANDED_ROWS", 100)
+    records = _records(9, 250)
+    pairs = candidate_pairs(spark.createDataFrame(records, SCHEMA).coalesce(1))
+    assert set(rows(pairs)) == _brute_force(records)
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression [record_id") == 2  # one for each side of the join
+
+
+def test_a_small_customer_file_is_dealt_out_before_persons_are_made(spark, tmp_path, monkeypatch):
+    spark.range(200).selectExpr("id as c_custkey", "cast(id % 25 as int) as c_nationkey").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    want = rows(fixtures.persons(spark, str(tmp_path)))
+    monkeypatch.setattr(fixtures, "spread", lambda df, total, column: spread(df, total, column, 50))
+    found = fixtures.persons(spark, str(tmp_path))
+    assert rows(found) == want and found.select(F.spark_partition_id()).distinct().count() == 4
+
+
+def test_counted_candidates_equal_the_listed_ones(spark):
+    """With ids that come twice and rows without an id."""
+    records = _records(10, 200)
+    records += [r for r in records[::7]] + [(None, *r[1:]) for r in records[::11]]
+    df = spark.createDataFrame(records, SCHEMA)
+    assert candidate_count(df).first()[0] == candidate_pairs(df).count() > 0
