@@ -15,6 +15,7 @@ from pyspark.sql import functions as F  # noqa: E402
 import fixtures  # noqa: E402
 from kinfold.config import Settings  # noqa: E402
 from kinfold.functions.text import blank_to_null, clean_records, linkage_view, normalise_email  # noqa: E402
+from kinfold.operators.agreement import hopeful_pairs  # noqa: E402
 from kinfold.operators.batches import high_water_mark, record_batches, select_new_records  # noqa: E402
 from kinfold.operators.blocking import (  # noqa: E402
     CANDIDATE_RULES,
@@ -22,6 +23,7 @@ from kinfold.operators.blocking import (  # noqa: E402
     TRAINING_RULES,
     block_pairs,
     blocking_reduction,
+    candidate_count,
     candidate_pairs,
     pair_count,
     rule_counts,
@@ -124,6 +126,14 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_pairs(_vectors(spark, sf_dir), FIXED_MODEL)
 
 
+def _matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidate pairs that reach the threshold; pairs that no level can lift to it are dropped as they are found."""
+    scratch = Scratch(spark, "matches")
+    units = with_helpers(scratch.materialise(_view(spark, sf_dir), "view"))
+    hopeful = hopeful_pairs(units, FIXED_MODEL, THRESHOLD, CANDIDATE_RULES, COMPARISONS, scratch)
+    return pairs_above_threshold(score_pairs(compare_pairs(hopeful), FIXED_MODEL), THRESHOLD)
+
+
 def _rounded_scores(scored: DataFrame) -> DataFrame:
     ids = [f"{RECORD_ID}_l", f"{RECORD_ID}_r"]
     return scored.select(*ids, *[F.round(c, 9).alias(c) for c in ("match_weight", "match_probability")])
@@ -153,10 +163,10 @@ def _attached(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pair_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scored(spark, sf_dir).agg(
-        F.count("*").alias("candidate_pairs"),
-        F.count_if(F.col("match_probability") >= THRESHOLD).alias("pairs_above_threshold"),
-    )
+    """Candidates from the sizes of their blocks, and those of them that match."""
+    candidates = candidate_count(_view(spark, sf_dir)).withColumnRenamed("pairs", "candidate_pairs")
+    above = _matches(spark, sf_dir).agg(F.count("*").alias("pairs_above_threshold"))
+    return candidates.crossJoin(above)  # one row each
 
 
 def _training_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -285,7 +295,7 @@ def queries() -> dict[str, Query]:
         "compare_city": _levels("city"),
         "comparison_vectors": _vectors,
         "score_fixed_params": lambda s, d: _rounded_scores(_scored(s, d)),
-        "pairs_above_threshold": lambda s, d: _rounded_scores(pairs_above_threshold(_scored(s, d), THRESHOLD)),
+        "pairs_above_threshold": lambda s, d: _rounded_scores(_matches(s, d)),
         "pair_counts": _pair_counts,
         "prior_probability": _prior,
         "u_probabilities": _u,

@@ -36,6 +36,9 @@ from kinfold.operators.skew import lookup
 from kinfold.schema import RECORD_ID
 from kinfold.scratch import Scratch
 
+#: Blocks up to so many rows are listed, which costs half as many pairs for each row.
+LISTED_ROWS = 200
+
 
 class Ranks:
     """Statuses of a comparison by weight, rank 0 the least."""
@@ -173,7 +176,7 @@ def hopeful_pairs(
     scratch: Scratch,
     carry: Sequence[str] = (),
     id_column: str = RECORD_ID,
-    large_rows: int = TILE_ROWS,
+    large_rows: int = LISTED_ROWS,
 ) -> DataFrame:
     """Candidate pairs of ``units`` (with the helpers of the comparisons) that can still reach the threshold.
 
@@ -192,10 +195,12 @@ def hopeful_pairs(
     joined = large.filter(F.col("rule").isin(narrow))
     found = [candidate_pairs(units, rules, id_column, carry, without=joined).filter(hope)]
     blocks, place = rows_of_blocks(units, rules, [id_column, *carry])
-    inside = scratch.materialise(blocks.join(joined.select("rule", "block"), ["rule", "block"], "left_semi"), "large-rows")
+    inside = blocks.join(joined.select("rule", "block"), ["rule", "block"], "left_semi")
+    # Units may repeat an id, but a unit is in a block of a rule once: its row there stands for it.
+    inside = scratch.materialise(inside.withColumn("_row", F.monotonically_increasing_id()), "large-rows")
     for n in narrow:
         if chosen[n]:  # without a set that can match there is nothing to join
             pairs = agreeing_pairs(inside.filter(F.col("rule") == n), chosen[n], id_column, scratch, (first_rule(rules, place) == F.col("rule")) & hope)
             wanted = [f"{c}_{s}" for c in dict.fromkeys([id_column, *carry]) for s in "lr"]
-            found.append(pairs.dropDuplicates([f"{id_column}_l", f"{id_column}_r"]).select(*wanted, F.col("rule").alias("match_key")))
+            found.append(pairs.dropDuplicates(["_row_l", "_row_r"]).select(*wanted, F.col("rule").alias("match_key")))
     return reduce(DataFrame.unionByName, found)

@@ -6,12 +6,14 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as registry
+import kinfold.operators.agreement as agreement
 from conftest import rows
 from kinfold.functions.text import linkage_view
 from kinfold.operators.agreement import Ranks, agreeing_pairs, agreements_of, hopeful_pairs, join_cost, minimal_sets, transversal
-from kinfold.operators.blocking import CANDIDATE_RULES, Rule, hot_blocks, rows_of_blocks
-from kinfold.operators.comparison import COMPARISONS, EditTiers, NameTiers, compare_pairs, with_helpers
-from kinfold.operators.model import Level, Model, pairs_above_threshold, score_pairs, weight_needed
+from kinfold.operators.blocking import CANDIDATE_RULES, Rule, candidate_pairs, hot_blocks, rows_of_blocks
+from kinfold.operators.comparison import COMPARISONS, EditTiers, NameTiers, carried_columns, compare_pairs, with_helpers
+from kinfold.operators.model import Level, Model, can_still_match, pairs_above_threshold, score_pairs, weight_needed
 from kinfold.operators.nearness import MISSING, Agreement, deletions, least_shared, near_values, partners, similar_keys
 from kinfold.plans.resolve import distinct_profiles, matching_profiles, scored_candidates
 from kinfold.schema import RECORD_SCHEMA
@@ -170,3 +172,54 @@ def test_small_chunks_give_the_same_pairs(spark, sample, tile_rows):
     found = pairs_above_threshold(score_pairs(compare_pairs(pairs), MODEL), THRESHOLD)
     ids = ["record_id_l", "record_id_r", "match_key"]
     assert rows(found.select(*ids)) == rows(want.select(*ids))
+
+
+def test_rows_of_one_id_in_a_large_block_keep_their_pairs(spark):
+    """Every pair of rows is found as often as the listing has it, whatever the size of its block."""
+    view = linkage_view(_one_large_block(spark, 300))
+    units = with_helpers(view.unionByName(view.filter("record_id like '%1'")))
+    listed = candidate_pairs(units, carry=carried_columns()).filter(can_still_match(MODEL, THRESHOLD))
+    pairs = hopeful_pairs(units, MODEL, THRESHOLD, CANDIDATE_RULES, COMPARISONS, Scratch(spark, "test"), large_rows=20)
+    want, found = (pairs_above_threshold(score_pairs(compare_pairs(p), MODEL), THRESHOLD) for p in (listed, pairs))
+    ids = ["record_id_l", "record_id_r", "match_key"]
+    assert rows(found.select(*ids)) == rows(want.select(*ids)) and found.count() > found.select(*ids).distinct().count()
+
+
+def test_middling_blocks_are_not_listed(spark, monkeypatch):
+    """A block of some hundred rows is joined on agreements, so listed pairs grow with the rows and not with their square."""
+    listed = []
+
+    def listing(*args, **kwargs):
+        listed.append(candidate_pairs(*args, **kwargs))
+        return listed[-1]
+
+    monkeypatch.setattr(agreement, "candidate_pairs", listing)
+    units = with_helpers(linkage_view(_one_large_block(spark, 900)))
+    pairs = hopeful_pairs(units, MODEL, THRESHOLD, CANDIDATE_RULES, COMPARISONS, Scratch(spark, "test"))
+    assert not pairs.isEmpty() and listed[0].filter("match_key = 4").count() < 300 * 299 / 2 / 4
+
+
+def test_queries_of_matches_equal_the_scored_listing(spark, tmp_path):
+    """The pairs and both counts of the listing, with customers that come twice or lack a number."""
+    spark.range(600).selectExpr("if(id < 590, id % 550, null) as c_custkey", "cast(id % 25 as int) as c_nationkey").write.parquet(f"{tmp_path}/customer.parquet")
+    scored = registry._scored(spark, str(tmp_path))
+    want = pairs_above_threshold(scored, THRESHOLD)
+    queries = registry.queries()
+    assert rows(queries["pairs_above_threshold"](spark, str(tmp_path))) == rows(registry._rounded_scores(want))
+    assert rows(queries["pair_counts"](spark, str(tmp_path))) == [(scored.count(), want.count())] and want.count() > 0
+    assert queries["pair_counts"](spark, str(tmp_path)).columns == ["candidate_pairs", "pairs_above_threshold"]
+
+
+@pytest.mark.parametrize("name", ["pairs_above_threshold", "pair_counts"])
+def test_queries_of_matches_grade_only_pairs_with_hope(spark, tmp_path, monkeypatch, name):
+    spark.range(3000).selectExpr("id as c_custkey", "cast(id % 25 as int) as c_nationkey").write.parquet(f"{tmp_path}/customer.parquet")
+    graded = []
+
+    def grade(pairs, *args):
+        graded.append(pairs)
+        return compare_pairs(pairs, *args)
+
+    monkeypatch.setattr(registry, "compare_pairs", grade)
+    registry.queries()[name](spark, str(tmp_path))
+    every = candidate_pairs(registry._view(spark, str(tmp_path))).count()
+    assert 0 < graded[0].count() < every
