@@ -20,7 +20,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.functions.similarity import BOOST_ABOVE, PREFIX_LENGTH, PREFIX_WEIGHT, jaro_winkler
+from kinfold.functions.similarity import BOOST_ABOVE, PREFIX_LENGTH, PREFIX_WEIGHT, jaro_winkler_from
 from kinfold.operators.blocking import join_tasks, tile
 from kinfold.operators.comparison import Comparison, EditTiers, NameTiers
 from kinfold.scratch import Scratch
@@ -191,4 +191,4 @@ def near_values(values: DataFrame, agreement: Agreement, scratch: Scratch, carry
     # Pairs come up once for each key they share: edits cost less than telling repeated pairs apart, similarities more.
     if edits is not None:
         return pairs.filter(f"levenshtein(value, other, {edits}) >= 0").distinct()
-    return pairs.distinct().withColumn("_similarity", jaro_winkler("value", "other")).filter(F.col("_similarity") >= F.lit(similarity)).drop("_similarity")
+    return pairs.distinct().withColumn("_similarity", jaro_winkler_from(similarity)("value", "other")).filter(F.col("_similarity") >= F.lit(similarity)).drop("_similarity")

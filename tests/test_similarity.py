@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from kinfold.functions import similarity
 from kinfold.functions.similarity import bound_helpers, jaro_winkler_arrow, may_reach
 from kinfold.operators.comparison import COMPARISONS, compare_pairs, with_helpers
 
@@ -102,6 +103,34 @@ def test_bound_never_rules_out_a_reachable_pair(spark, threshold):
     assert tested.filter("not open").count() > 0
 
 
+@pytest.mark.parametrize("least", [0.7, 0.88, 0.92])
+def test_values_from_a_least_one_are_exact(least):
+    left, right = (pa.array(x) for x in _texts(17, 6_000))
+    exact = jaro_winkler_arrow(left, right).to_numpy()
+    found = jaro_winkler_arrow(left, right, least).to_numpy()
+    assert (found[exact >= least] == exact[exact >= least]).all()
+    assert (found[exact < least] < least).all()
+    assert (found[exact < least] == 0).any()
+
+
+def test_equal_pairs_of_a_batch_are_compared_once(monkeypatch):
+    compared, plain = [], similarity._jaro_short
+    monkeypatch.setattr(similarity, "_jaro_short", lambda *given: compared.append(len(given[2])) or plain(*given))
+    left, right = ["martha", "dwayne", None, "martha"] * 500, ["marhta", "duane", "x", "duane"] * 500
+    found = jaro_winkler_arrow(pa.array(left), pa.array(right)).to_pylist()
+    assert found[:2] == [pytest.approx(0.961111111111), pytest.approx(0.84)] and found == found[:4] * 500
+    assert sum(compared) == 3
+
+
+def test_bound_boosts_by_the_common_prefix(spark):
+    # Six of eight characters can match: enough with a prefix of four, not with one of a single character.
+    pairs = [("abcdefgh", "axcdefgy", False), ("abcdefgh", "abcdefxy", True), ("ab", "abc", True), ("abcdefgh", "abcdefgh", True)]
+    df = spark.createDataFrame(pairs, "t_l string, t_r string, possible boolean")
+    helpers = [f"{sql} as {name}_{s}" for s in "lr" for name, sql in bound_helpers("t", f"t_{s}").items()]
+    wrong = df.selectExpr("*", *helpers).filter(F.expr(may_reach("t", 0.88)) != F.col("possible"))
+    assert wrong.count() == 0
+
+
 def _gammas(spark, left: dict, right: dict) -> dict[str, int]:
     schema = "first_name string, last_name string, email string, postcode string, city string"
     fields = ("first_name", "last_name", "email", "postcode", "city")
