@@ -7,9 +7,9 @@ in the same tile can be similar, and no pair is lost. A set near the lower edge
 below. Passages that many texts share come last in the order, so they make no tiles unless they are most of a text.
 
 Within a tile sets are not paired all with all. Each set is compared with the least of one of its tiles, then with the
-least of its other tiles while their classes differ, then with a few pivots of each tile that still holds several
-classes, drawn anew while a round links many sets. Only then do the sets of different classes that are left in a tile
-meet each other, which settles every pair. A set's signature is a bitmap of the parity of the shingles on each bit.
+least of its other tiles while their classes differ, then with pivots of the largest tile it is in that still holds
+several classes: drawn anew, and more of them, while a round links many sets. A round tries the closest pivot of each
+class only. Then the sets of different classes that are left in a tile meet each other, which settles every pair. A set's signature is a bitmap of the parity of the shingles on each bit.
 Before texts are read again, the bits in which two signatures differ are counted: each is an element that one of them
 lacks, which bounds the overlap from above. A short bitmap says nothing of large sets, so these have one that grows with
 their size as well; of two lengths the longer folds to the shorter. What passes is decided by intersecting the sorted sets.
@@ -48,16 +48,17 @@ BUCKET_SHIFT = np.uint64(44)
 PARITY = 8
 #: Sets above this size also have a bitmap of ``WIDE`` to twice as many bits an element.
 WIDE_FROM = 256
-WIDE = 4
+WIDE = 1
 #: Bytes of a tile's key; keys that meet by chance only cost a comparison.
 KEY_BYTES = 6
 #: Keys of one part of the key space, about.
 PART_KEYS = 2_000_000
-#: Pivots of a tile in a round, about; rounds end when one links less than this share of the sets in tiles of several
-#: classes, or after so many.
-PIVOTS = 8
+#: Pivots of a tile in the first round, about, and how many times more each later one draws; tiles of no more sets have
+#: none. Rounds end when one after the first links less than this share of its sets, or after so many.
+PIVOTS = 16
+PIVOT_GROWTH = 4
 LINKING_SHARE = 0.005
-PIVOT_ROUNDS = 8
+PIVOT_ROUNDS = 4
 #: Pairs (two numbers each) that are broadcast to read their texts; more are joined by shuffling texts.
 BROADCAST_PAIRS = 1_000_000
 
@@ -241,10 +242,14 @@ def similar(shared: int, size_a: int, size_b: int, t: Fraction) -> bool:
     return shared * t.denominator >= t.numerator * (size_a + size_b - shared)
 
 
+def differing_bits():
+    """Over ``a0.., b0..``: in how many bits the short bitmaps differ."""
+    return sum((F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(1, PARITY)), F.bit_count(F.col("a0").bitwiseXOR(F.col("b0"))))
+
+
 def may_be_similar(t: Fraction):
     """Condition over ``size_a, a0.., size_b, b0..``: the differing parity bits leave room for the similarity."""
-    differ = sum((F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(1, PARITY)), F.bit_count(F.col("a0").bitwiseXOR(F.col("b0"))))
-    return differ * (t.denominator + t.numerator) <= (F.col("size_a") + F.col("size_b")) * (t.denominator - t.numerator)
+    return differing_bits() * (t.denominator + t.numerator) <= (F.col("size_a") + F.col("size_b")) * (t.denominator - t.numerator)
 
 
 def _bounded(t: Fraction):
@@ -319,24 +324,31 @@ class _Join:
 
 
 def _mixed(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """``key, node, class`` of the tiles whose sets are in several classes."""
+    """``key, node, class, n`` of the tiles whose sets are in several classes; ``n`` is the sets of the tile."""
     named = members.join(classes, "node", "left").select("key", "node", F.coalesce("class", "node").alias("class"))
-    split = named.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high").select("key")
-    return named.join(split, "key", "left_semi")
+    split = named.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("n")).filter("low < high")
+    return named.join(split.select("key", "n"), "key")
+
+
+def _homes(mixed: DataFrame) -> DataFrame:
+    """``key, node, class`` of each set in the largest of its tiles that are large enough for pivots."""
+    largest = mixed.filter(F.col("n") > PIVOTS).groupBy("node").agg(F.max(F.struct("n", "key")).alias("at"), F.min("class").alias("class"))
+    return largest.select("at.key", "node", "class")
 
 
-def _pivot_pairs(mixed: DataFrame, join: _Join, t: Fraction, turn: int) -> DataFrame:
-    """Pairs ``a < b`` of a set and a pivot of another class in one of its tiles, one for each set and class of pivots.
+def _pivot_pairs(homes: DataFrame, join: _Join, t: Fraction, turn: int) -> DataFrame:
+    """Pairs ``a < b`` of a set and the closest pivot of each other class in its tile.
 
-    Pivots are drawn by a hash of the set, so that tiles that share sets share pivots.
+    Pivots are drawn by a hash of the set.
     """
-    sizes = mixed.groupBy("key").agg(F.count("*").alias("n"))
-    draw = F.xxhash64("node", F.lit(turn)).bitwiseAND(F.lit((1 << 20) - 1)) * F.col("n") < PIVOTS << 20
-    pivots = mixed.join(sizes, "key").filter(draw).select("key", F.col("node").alias("a"), F.col("class").alias("class_a")).join(join.left, "a")
-    others = mixed.select("key", F.col("node").alias("b"), F.col("class").alias("class_b")).join(join.right, "b")
+    sizes = homes.groupBy("key").agg(F.count("*").alias("n"))
+    draw = F.xxhash64("node", F.lit(turn)).bitwiseAND(F.lit((1 << 20) - 1)) * F.col("n") < PIVOTS * PIVOT_GROWTH**turn << 20
+    pivots = homes.join(sizes, "key").filter(draw).select("key", F.col("node").alias("a"), F.col("class").alias("class_a")).join(join.left, "a")
+    others = homes.select("key", F.col("node").alias("b"), F.col("class").alias("class_b")).join(join.right, "b")
     meet = (pivots["key"] == others["key"]) & (F.col("class_a") != F.col("class_b")) & may_be_similar(t)
-    near = pivots.join(others, meet).groupBy("b", "class_a").agg(F.min("a").alias("a"))
-    return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    distance = differing_bits() / (F.col("size_a") + F.col("size_b"))
+    near = pivots.join(others, meet).groupBy("b", "class_a").agg(F.min(F.struct(distance.alias("distance"), "a")).alias("near"))
+    return near.select(F.least("near.a", "b").alias("a"), F.greatest("near.a", "b").alias("b")).distinct()
 
 
 def one_of_each(docs: DataFrame, similarity: str = "0.8", shingle: int = 5) -> DataFrame:
@@ -397,15 +409,18 @@ def near_duplicates(docs: DataFrame, similarity: str = "0.8", shingle: int = 5,
         join.verify(rest, "rest")
         classes = join.classes("classes-rest")
 
-    linked = turn = 0
     mixed = save(scratch, _mixed(members, classes), "mixed")
-    inside = mixed.select("node").distinct().count()
-    while not mixed.isEmpty() and turn < PIVOT_ROUNDS and (turn == 0 or linked > LINKING_SHARE * inside):
-        linked = join.verify(_pivot_pairs(mixed, join, t, turn), f"pivots-{turn}")
-        turn += 1
+    for turn in range(PIVOT_ROUNDS):
+        homes = save(scratch, _homes(mixed), f"homes-{turn}")
+        inside = homes.count()
+        if not inside:
+            break
+        linked = join.verify(_pivot_pairs(homes, join, t, turn), f"pivots-{turn}")
         if linked:
-            classes = join.classes(f"classes-pivots-{turn}")
-            mixed = save(scratch, _mixed(mixed.select("key", "node"), classes), f"mixed-{turn}")
+            classes = join.classes(f"classes-pivots-{turn + 1}")
+            mixed = save(scratch, _mixed(mixed.select("key", "node"), classes), f"mixed-{turn + 1}")
+        if turn and linked <= LINKING_SHARE * inside:
+            break
 
     # What is left of tiles with several classes: sets of different classes meet there directly.
     x = mixed.select("key", F.col("node").alias("a"), F.col("class").alias("class_a")).join(join.left, "a")

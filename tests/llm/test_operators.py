@@ -6,7 +6,9 @@ import hashlib
 import re
 import zlib
 from collections import Counter
+from fractions import Fraction
 from math import ceil
+from types import SimpleNamespace
 
 import duckdb
 import numpy as np
@@ -18,7 +20,7 @@ from tokenizers import Tokenizer as Reference
 
 import kinfold.llm.anchors as anchors
 from kinfold.llm.common import workspace
-from kinfold.llm.jaccard import differing, near_duplicates, one_of_each, wide_parity
+from kinfold.llm.jaccard import _homes, _pivot_pairs, differing, near_duplicates, one_of_each, parity, wide_parity
 from kinfold.llm.language import identify
 from kinfold.llm.mixing import mix, word_count
 from kinfold.llm.nearest import nearest
@@ -143,6 +145,37 @@ def test_chains_within_a_tile(spark, monkeypatch, rounds, broadcast):
     assert {r["doc_id"]: r["component_id"] for r in found} == plain_classes(sets, 0.8)
 
 
+def test_a_round_tries_the_closest_pivot_of_a_class(spark):
+    """One pair for each set and other class, with the pivot that is most like the set."""
+    base = np.arange(1, 101, dtype=np.uint64) << np.uint64(6)
+    sets = {1: base[:96], 2: base[:99], 3: base}
+    rows = [(i, len(s), *parity(s).tolist()) for i, s in sets.items()]
+    signed = spark.createDataFrame(rows, "row_id long, size long, " + ", ".join(f"p{i} long" for i in range(8)))
+    left, right = (signed.withColumnsRenamed({"row_id": x, "size": f"size_{x}"} | {f"p{i}": f"{x}{i}" for i in range(8)}) for x in "ab")
+    tile = spark.createDataFrame([(7, 1, 1), (7, 2, 1), (7, 3, 3)], "key long, node long, class long")
+    found = {tuple(r) for r in _pivot_pairs(tile, SimpleNamespace(left=left, right=right), Fraction("0.9"), 0).collect()}
+    assert found == {(1, 3), (2, 3)}  # 1 and 2 meet the class of 3, which meets theirs through 2
+    alone = {tuple(r) for r in _pivot_pairs(tile.withColumn("class", F.expr("if(node = 3, 3, 1)")), SimpleNamespace(left=left, right=right.filter("b = 3")), Fraction("0.9"), 0).collect()}
+    assert alone == {(2, 3)}
+
+
+def test_a_set_enters_pivot_rounds_once(spark):
+    """Of the tiles a set is in, only the largest one; tiles that are small go to the last step."""
+    rows = [(key, node, node, n) for key, n in ((1, 20), (2, 30), (3, 4)) for node in range(n)]
+    found = _homes(spark.createDataFrame(rows, "key long, node long, class long, n long")).collect()
+    assert sorted((r["node"], r["key"], r["class"]) for r in found) == [(i, 2, i) for i in range(30)]
+    assert _homes(spark.createDataFrame([r for r in rows if r[0] == 3], "key long, node long, class long, n long")).count() == 0
+
+
+def test_wide_bitmaps_are_short_and_tell_sets_apart():
+    """At most two bits an element, enough to drop sets that share little."""
+    random = np.random.default_rng(5)
+    for n in (600, 3000, 20_000):
+        a, b = (np.unique(random.integers(0, 2**63, n).astype(np.uint64)) for _ in range(2))
+        assert 8 * len(wide_parity(a)) <= 2 * n
+        assert differing(wide_parity(a), wide_parity(b)) * 9 > 2 * n  # not 0.8 similar
+
+
 def test_wide_bitmaps_bound_the_difference():
     random = np.random.default_rng(3)
     for n in (300, 1100, 5000):
