@@ -248,8 +248,9 @@ def differing_bits():
 
 
 def may_be_similar(t: Fraction):
-    """Condition over ``size_a, a0.., size_b, b0..``: the differing parity bits leave room for the similarity."""
-    return differing_bits() * (t.denominator + t.numerator) <= (F.col("size_a") + F.col("size_b")) * (t.denominator - t.numerator)
+    """Condition over ``size_a, a0.., size_b, b0..``: sizes and differing parity bits leave room for the similarity."""
+    sizes = F.least("size_a", "size_b") * t.denominator >= F.greatest("size_a", "size_b") * t.numerator
+    return sizes & (differing_bits() * (t.denominator + t.numerator) <= (F.col("size_a") + F.col("size_b")) * (t.denominator - t.numerator))
 
 
 def _bounded(t: Fraction):

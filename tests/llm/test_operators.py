@@ -20,7 +20,7 @@ from tokenizers import Tokenizer as Reference
 
 import kinfold.llm.anchors as anchors
 from kinfold.llm.common import workspace
-from kinfold.llm.jaccard import _homes, _pivot_pairs, differing, near_duplicates, one_of_each, parity, wide_parity
+from kinfold.llm.jaccard import _homes, _pivot_pairs, differing, may_be_similar, near_duplicates, one_of_each, parity, wide_parity
 from kinfold.llm.language import identify
 from kinfold.llm.mixing import mix, word_count
 from kinfold.llm.nearest import nearest
@@ -159,6 +159,13 @@ def test_a_round_tries_the_closest_pivot_of_a_class(spark):
     assert alone == {(2, 3)}
 
 
+def test_sets_of_too_different_sizes_are_not_read(spark):
+    """Full bitmaps of large sets say nothing, their sizes do."""
+    bits = {f"{x}{i}": F.lit(0) for x in "ab" for i in range(8)}
+    pairs = spark.createDataFrame([(9000, 10_000), (10_000, 9000), (8999, 10_000), (10_000, 8999)], "size_a long, size_b long").withColumns(bits)
+    assert [tuple(r)[:2] for r in pairs.filter(may_be_similar(Fraction("0.9"))).collect()] == [(9000, 10_000), (10_000, 9000)]
+
+
 def test_a_set_enters_pivot_rounds_once(spark):
     """Of the tiles a set is in, only the largest one; tiles that are small go to the last step."""
     rows = [(key, node, node, n) for key, n in ((1, 20), (2, 30), (3, 4)) for node in range(n)]
