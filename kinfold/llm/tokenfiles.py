@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +51,7 @@ def _frames(path: str, end_id: int, frame_ids: int):
         size = 0
         for batch in passes(batches):
             for number, doc_id, text in zip(*[batch.column(c).to_pylist() for c in ("part", "doc_id", "text")], strict=True):
-                ids = np.array([*(own.encode(text) if text else ()), end_id], np.uint32)
+                ids = np.frombuffer(array("I", [*(own.encode(text) if text else ()), end_id]), np.uint32)
                 if held and size + len(ids) > frame_ids:
                     yield frame()
                     segment, held, doc_ids, size = segment + 1, [], [], 0

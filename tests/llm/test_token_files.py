@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from kinfold.llm.common import workspace
-from kinfold.llm.mixcoder import decode, encode
+from kinfold.llm.mixcoder import _Model, decode, encode
+from kinfold.llm.packing import tokenizer
 from kinfold.llm.queries import vocabulary
 from kinfold.llm.tokenfiles import frames, read_tokens, token_files, write_tokens
 
@@ -48,6 +49,23 @@ def test_prediction_makes_text_smaller():
     assert len(encode(np.array(ids, np.uint32), 16)) < 0.75 * 2 * len(ids)
 
 
+def test_both_orders_read_one_line_of_cache():
+    model = _Model(50)
+    model.one[:], model.two[:] = np.random.default_rng(5).integers(0, 1 << 16, (2, 50))
+    model.predict(50)
+    lines = [(model.slots.ctypes.data + 4 * at) // 64 for at in model.at]
+    assert (lines[0] == lines[1]).all() and len(set(lines[0].tolist())) == 50
+    assert (model.at[0] != model.at[1]).all()
+
+
+@settings(deadline=None)
+@given(st.lists(st.sampled_from(["a", "Ab", "é", "ß", "'s", "'t", "'", "12", "!", "...", " ", " ", "  ", "\n", " \n", "\n ", "\t", "\r\n"]), max_size=12).map("".join))
+def test_texts_without_neighbouring_spaces_split_alike(text):
+    own = tokenizer(vocabulary())
+    assert own.encode(text) == own.fast.encode_ordinary(text) == own.loaded.encode(text, add_special_tokens=False).ids
+    assert own.apart.encode_ordinary("it's 12 a b.\nEnd ") == own.fast.encode_ordinary("it's 12 a b.\nEnd ")
+
+
 def test_damage_is_found():
     frame = bytearray(encode(np.arange(9000, dtype=np.uint32) % 700, 16))
     for at in (0, 9, 30, len(frame) - 40, len(frame) // 2):
