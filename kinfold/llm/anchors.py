@@ -31,6 +31,8 @@ from kinfold.scratch import Scratch
 
 HOT = 1_000
 SHARD_BYTES = 1_500_000
+#: Bytes of text whose anchors are found at a time; a byte takes up to nine arrays of eight bytes each.
+STRETCH_BYTES = 500_000
 #: Parts into which a stretch of such an anchor is cut at a time.
 SPLIT = 5
 PLACE_BITS = 16
@@ -111,7 +113,7 @@ def texts_of(scratch: Scratch, docs: DataFrame, carry: tuple[str, ...] = ()) ->
 
 def _hashes(symbols: Symbols):
     def run(batches):
-        for batch in passes(batches):
+        for batch in passes(batches, size=STRETCH_BYTES):
             found = symbols.stretches(*symbols.read(batch.column("text")))
             h, n = np.unique(found["h"].view(np.int64), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n)], names=["h", "n"])
@@ -236,7 +238,7 @@ def repeated_starts(scratch: Scratch, texts: DataFrame, symbols: Symbols, shard:
     kind = texts.schema["key"].dataType.simpleString()
     counted = texts.select("text").mapInArrow(_hashes(symbols), "h long, n long")
     twice = counted.groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1").select("h")
-    all_stretches = map_batches(texts.select("key", "copy", "text"), _stretches(symbols), f"key {kind}, copy int, place long, h long, f long")
+    all_stretches = map_batches(texts.select("key", "copy", "text"), _stretches(symbols), f"key {kind}, copy int, place long, h long, f long", size=STRETCH_BYTES)
     found = save(scratch, all_stretches.join(twice, "h", "left_semi"), "stretches")
 
     first = F.min(F.struct("key", "copy", "place")).alias("first")

@@ -106,20 +106,20 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets - offsets[0]
 
 
-def passes(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut batches so that each holds about ``PASS_BYTES`` of text at most."""
+def passes(batches: Iterable[pa.RecordBatch], text: str = "text", size: int = PASS_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that each holds about ``size`` bytes of text at most."""
     for batch in batches:
         if not batch.num_rows:
             continue
         _, offsets = flat(batch.column(text))
         start = 0
         while start < batch.num_rows:
-            end = max(start + 1, int(np.searchsorted(offsets, offsets[start] + PASS_BYTES, "right")) - 1)
+            end = max(start + 1, int(np.searchsorted(offsets, offsets[start] + size, "right")) - 1)
             yield batch.slice(start, end - start)
             start = end
 
 
-def map_batches(df: DataFrame, make: Callable[[pa.RecordBatch], dict | None], schema: str, text: str = "text") -> DataFrame:
+def map_batches(df: DataFrame, make: Callable[[pa.RecordBatch], dict | None], schema: str, text: str = "text", size: int = PASS_BYTES) -> DataFrame:
     """``mapInArrow`` of a function from a bounded batch to columns."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -127,7 +127,7 @@ def map_batches(df: DataFrame, make: Callable[[pa.RecordBatch], dict | None], sc
     target = to_arrow_schema(StructType.fromDDL(schema), prefers_large_types=False)
 
     def run(batches):
-        for batch in passes(batches, text):
+        for batch in passes(batches, text, size):
             columns = make(batch)
             if columns is not None:
                 yield pa.RecordBatch.from_arrays(
