@@ -235,6 +235,11 @@ def bound_helpers(name: str, text: str) -> dict[str, str]:
     }
 
 
+def open_bounds(name: str) -> dict[str, str]:
+    """The columns of `bound_helpers` with values that rule no similarity out."""
+    return {f"_size_{name}": "1D", f"_chars_{name}": "0L"}
+
+
 def may_reach(name: str, jaro_winkler_at_least: float) -> str:
     """SQL that is false only if ``<name>_l`` and ``<name>_r`` are less similar than wanted.
 

@@ -1,4 +1,6 @@
-"""Which agreements a match needs, and a join on them for blocks that are too large to be listed.
+"""Pairs that can still match: small blocks are listed, larger ones graded whole in numpy (`hope`), and the largest joined.
+
+The rest of this module is about the largest: which agreements a match needs, and a join on them.
 
 A pair reaches the threshold only with enough weight. The statuses of a comparison (its levels, and "missing") are ranked by
 their weight; a combination of least ranks that just reaches the threshold is a minimal agreement set. Every match has
@@ -28,16 +30,33 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.operators.blocking import TILE_ROWS, Rule, candidate_pairs, first_rule, hot_blocks, join_tasks, rows_of_blocks, tile
-from kinfold.operators.comparison import Comparison, carried_columns
+from kinfold.operators.blocking import (
+    _BROADCAST_BLOCKS,
+    _EXPANDED_ROWS,
+    TILE_ROWS,
+    Rule,
+    block_sizes,
+    candidate_pairs,
+    first_rule,
+    join_tasks,
+    rows_of_blocks,
+    tile,
+)
+from kinfold.operators.comparison import Comparison, carried_columns, with_open_helpers
+from kinfold.operators.hope import Hope, hopeful_of_list, hopeful_of_tiles
 from kinfold.operators.model import Model, can_still_match, weight_needed
 from kinfold.operators.nearness import MISSING, Agreement, equal_key, exact_levels, has_keys, near_values
-from kinfold.operators.skew import lookup
+from kinfold.operators.skew import lookup, spread
 from kinfold.schema import RECORD_ID
 from kinfold.scratch import Scratch
 
-#: Blocks up to so many rows are listed, which costs half as many pairs for each row.
-LISTED_ROWS = 200
+#: Blocks up to so many rows are listed.
+LISTED_ROWS = 32
+#: Blocks up to so many rows are graded whole. That takes some ten nanoseconds a pair, so it grows with the square of a block.
+GRADED_ROWS = 50_000
+GRADED_TILE_ROWS = 4_096  # of a chunk whose pairs with itself or with another one are a tile
+_GRADED_PAIRS = 50_000_000  # of a task
+_GRADED_TASK_ROWS = 100_000
 
 
 class Ranks:
@@ -167,6 +186,43 @@ def agreeing_pairs(
     return pairs.select(F.col("rule_l").alias("rule"), *swapped)
 
 
+def graded_pairs(
+    units: DataFrame, sizes: DataFrame, hope: Hope, rules: Sequence[Rule], columns: Sequence[str], id_column: str, tile_rows: int
+) -> DataFrame | None:
+    """Pairs of the blocks in ``sizes`` (``rule``, ``block``, ``n``) that can match, if there are blocks, with ``columns`` of both sides.
+
+    A row goes to its block once, or once for each chunk of a block above ``tile_rows`` rows: every two chunks are a tile.
+    """
+    n, chunks = F.col("n").cast("double"), F.ceil(F.col("n") / tile_rows).cast("int")
+    count, pairs, rows = sizes.agg(F.count("*"), F.sum(n * (n - 1) / 2), F.sum(n * chunks)).first()
+    if not count:
+        return None
+    units = spread(units, int(rows), id_column, _EXPANDED_ROWS)
+    blocks, place = rows_of_blocks(units, rules, [id_column, *columns])
+    kept = [c for c in blocks.columns if c not in ("rule", "block")]
+    cut = sizes.select("rule", "block", "n", chunks.alias("chunks"))
+    if count <= _BROADCAST_BLOCKS:
+        blocks = blocks.join(F.broadcast(cut.drop("n")), ["rule", "block"])
+    else:
+        blocks = lookup(blocks, cut, ["rule", "block"], "n", int(rows))
+    blocks = blocks.withColumn("chunk", F.pmod(F.xxhash64(id_column), F.col("chunks")).cast("int"))
+    blocks = blocks.select("*", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("_other"))
+    number = F.least("chunk", "_other").cast("bigint") * F.col("chunks") + F.greatest("chunk", "_other")
+    tiled = blocks.select("rule", "block", number.alias("tile"), "chunk", (F.col("chunk") != F.col("_other")).alias("across"), *kept)
+    spark = units.sparkSession
+    parallel = spark.sparkContext.defaultParallelism
+    tasks = max(math.ceil(pairs / _GRADED_PAIRS), math.ceil(rows / _GRADED_TASK_ROWS), min(parallel, math.ceil(pairs / 1_000_000)))
+    tiled = tiled.repartition(tasks, "rule", "block", "tile").sortWithinPartitions("rule", "block", "tile")
+    types = {f.name: f.dataType.simpleString() for f in tiled.schema}
+    schema = ", ".join([*[f"`{c}_{s}` {types[c]}" for c in kept for s in "lr"], "rule int"])
+    found = tiled.mapInArrow(hopeful_of_tiles(hope, kept), schema)
+    ids = [F.col(f"{id_column}_{s}") for s in "lr"]
+    # Equal hashes are not yet equal keys: the rule of the row must be the first that really agrees.
+    found = found.filter((ids[0] != ids[1]) & (first_rule(rules, place) == F.col("rule")))
+    swapped = [F.when(ids[0] < ids[1], F.col(f"{c}_{x}")).otherwise(F.col(f"{c}_{y}")).alias(f"{c}_{x}") for c in dict.fromkeys([id_column, *columns]) for x, y in ("lr", "rl")]
+    return found.select(*swapped, F.col("rule").alias("match_key"))
+
+
 def hopeful_pairs(
     units: DataFrame,
     model: Model,
@@ -177,30 +233,40 @@ def hopeful_pairs(
     carry: Sequence[str] = (),
     id_column: str = RECORD_ID,
     large_rows: int = LISTED_ROWS,
+    graded_rows: int = GRADED_ROWS,
 ) -> DataFrame:
     """Candidate pairs of ``units`` (with the helpers of the comparisons) that can still reach the threshold.
 
-    Blocks above ``large_rows`` rows are joined on the agreements a match in them needs, the others are listed.
+    Blocks up to ``large_rows`` rows are listed, those up to ``graded_rows`` graded whole, and the others joined on the
+    agreements a match in them needs. Where no such agreements are known they are graded too.
     """
+    bare = list(dict.fromkeys([*[c.column for c in comparisons], *carry]))
     carry = list(dict.fromkeys([*carried_columns(comparisons), *carry]))
-    hope = can_still_match(model, threshold, comparisons)
-    large = scratch.materialise(hot_blocks(units, rules, large_rows), "large-blocks")
-    numbers = {r["rule"] for r in large.select("rule").distinct().collect()}  # at most one row for each rule
-    if not numbers:
-        return candidate_pairs(units, rules, id_column, carry).filter(hope)
-    columns = [c.column for c in comparisons]
-    shares = units.agg(*[F.avg(F.col(c).isNull().cast("int")).alias(c) for c in columns]).first().asDict()
-    chosen = {n: agreements_of(rules[n], model, threshold, comparisons, shares) for n in numbers}
-    narrow = [n for n, a in chosen.items() if a is not None]
-    joined = large.filter(F.col("rule").isin(narrow))
-    found = [candidate_pairs(units, rules, id_column, carry, without=joined).filter(hope)]
+    hope = Hope([(c, model.weights(c.column)) for c in comparisons], weight_needed(threshold) - model.prior_weight)
+    large = scratch.materialise(block_sizes(units, rules).filter(F.col("n") > large_rows), "large-blocks")
+    numbers = {r["rule"] for r in large.filter(F.col("n") > graded_rows).select("rule").distinct().collect()}  # at most one row for each rule
+    chosen = {}
+    if numbers:
+        columns = [c.column for c in comparisons]
+        shares = units.agg(*[F.avg(F.col(c).isNull().cast("int")).alias(c) for c in columns]).first().asDict()
+        chosen = {n: agreements_of(rules[n], model, threshold, comparisons, shares) for n in numbers}
+    joined = (F.col("n") > graded_rows) & F.col("rule").isin([n for n, a in chosen.items() if a is not None])
+    wanted = [f"{c}_{s}" for c in dict.fromkeys([id_column, *carry]) for s in "lr"]
+
+    listed = candidate_pairs(units.select(id_column, *bare), rules, id_column, bare, without=large)
+    found = [listed.mapInArrow(hopeful_of_list(hope), listed.schema)]
+    graded = graded_pairs(units.select(id_column, *bare), large.filter(~joined), hope, rules, bare, id_column, GRADED_TILE_ROWS)
+    found += [] if graded is None else [graded]
+    found = [with_open_helpers(pairs, comparisons).select(*wanted, "match_key") for pairs in found]
+    if not any(a is not None for a in chosen.values()):
+        return reduce(DataFrame.unionByName, found)
     blocks, place = rows_of_blocks(units, rules, [id_column, *carry])
-    inside = blocks.join(joined.select("rule", "block"), ["rule", "block"], "left_semi")
+    inside = blocks.join(large.filter(joined).select("rule", "block"), ["rule", "block"], "left_semi")
     # Units may repeat an id, but a unit is in a block of a rule once: its row there stands for it.
     inside = scratch.materialise(inside.withColumn("_row", F.monotonically_increasing_id()), "large-rows")
-    for n in narrow:
-        if chosen[n]:  # without a set that can match there is nothing to join
-            pairs = agreeing_pairs(inside.filter(F.col("rule") == n), chosen[n], id_column, scratch, (first_rule(rules, place) == F.col("rule")) & hope)
-            wanted = [f"{c}_{s}" for c in dict.fromkeys([id_column, *carry]) for s in "lr"]
+    bound = can_still_match(model, threshold, comparisons)
+    for n, agreements in chosen.items():
+        if agreements:  # without a set that can match there is nothing to join
+            pairs = agreeing_pairs(inside.filter(F.col("rule") == n), agreements, id_column, scratch, (first_rule(rules, place) == F.col("rule")) & bound)
             found.append(pairs.dropDuplicates(["_row_l", "_row_r"]).select(*wanted, F.col("rule").alias("match_key")))
     return reduce(DataFrame.unionByName, found)

@@ -80,14 +80,15 @@ def rows_of_blocks(units: DataFrame, rules: Sequence[Rule], columns: Sequence[st
     return _block_rows(units.select(*kept), rules, place), place
 
 
-def _block_sizes(units: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+def block_sizes(units: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Number of rows ``n`` of each block."""
     units, place = _with_keys(units, rules)
     return _block_rows(units, rules, place).groupBy("rule", "block").agg(F.count("*").alias("n"))
 
 
 def hot_blocks(units: DataFrame, rules: Sequence[Rule], tile_rows: int = TILE_ROWS) -> DataFrame:
     """Blocks above ``tile_rows`` rows with the number of chunks each is cut into."""
-    large = _block_sizes(units, rules).filter(F.col("n") > tile_rows)
+    large = block_sizes(units, rules).filter(F.col("n") > tile_rows)
     return large.select("rule", "block", F.ceil(F.col("n") / tile_rows).cast("int").alias("chunks"))
 
 
@@ -106,7 +107,7 @@ def _plan_join(units: DataFrame, rules: Sequence[Rule], tile_rows: int, without:
     The sizes of hot blocks come along only where there are too many for a broadcast.
     """
     n = F.col("n").cast("double")
-    sizes = _block_sizes(units, rules)
+    sizes = block_sizes(units, rules)
     if without is not None:
         sizes = sizes.join(without.select("rule", "block"), ["rule", "block"], "left_anti")
     found = sizes.agg(F.sum(n * (n - 1) / 2), F.count_if(F.col("n") > tile_rows), F.sum(n)).first()
