@@ -126,11 +126,9 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_pairs(_vectors(spark, sf_dir), FIXED_MODEL)
 
 
-def _matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _matches(view: DataFrame, scratch: Scratch) -> DataFrame:
     """Candidate pairs that reach the threshold; pairs that no level can lift to it are dropped as they are found."""
-    scratch = Scratch(spark, "matches")
-    units = with_helpers(scratch.materialise(_view(spark, sf_dir), "view"))
-    hopeful = hopeful_pairs(units, FIXED_MODEL, THRESHOLD, CANDIDATE_RULES, COMPARISONS, scratch)
+    hopeful = hopeful_pairs(with_helpers(view), FIXED_MODEL, THRESHOLD, CANDIDATE_RULES, COMPARISONS, scratch)
     return pairs_above_threshold(score_pairs(compare_pairs(hopeful), FIXED_MODEL), THRESHOLD)
 
 
@@ -162,10 +160,17 @@ def _attached(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attach_clusters(records, matched)
 
 
+def _above(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "matches")
+    return _rounded_scores(_matches(scratch.materialise(_view(spark, sf_dir), "view"), scratch))
+
+
 def _pair_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidates from the sizes of their blocks, and those of them that match."""
-    candidates = candidate_count(_view(spark, sf_dir)).withColumnRenamed("pairs", "candidate_pairs")
-    above = _matches(spark, sf_dir).agg(F.count("*").alias("pairs_above_threshold"))
+    scratch = Scratch(spark, "counts")
+    view = scratch.materialise(_view(spark, sf_dir), "view")
+    candidates = candidate_count(view).withColumnRenamed("pairs", "candidate_pairs")
+    above = _matches(view, scratch).agg(F.count("*").alias("pairs_above_threshold"))
     return candidates.crossJoin(above)  # one row each
 
 
@@ -295,7 +300,7 @@ def queries() -> dict[str, Query]:
         "compare_city": _levels("city"),
         "comparison_vectors": _vectors,
         "score_fixed_params": lambda s, d: _rounded_scores(_scored(s, d)),
-        "pairs_above_threshold": lambda s, d: _rounded_scores(_matches(s, d)),
+        "pairs_above_threshold": _above,
         "pair_counts": _pair_counts,
         "prior_probability": _prior,
         "u_probabilities": _u,

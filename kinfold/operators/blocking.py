@@ -274,8 +274,15 @@ def pair_count(units: DataFrame, rules: Sequence[Rule] = CANDIDATE_RULES, weight
 def candidate_count(units: DataFrame, rules: Sequence[Rule] = CANDIDATE_RULES, id_column: str = RECORD_ID) -> DataFrame:
     """Number of rows of `candidate_pairs`, without listing a pair: rows of one id make no pair, nor do rows without one."""
     named = units.filter(F.col(id_column).isNotNull())
-    same_id = pair_count(named, [Rule.on(*rule.keys, id_column) for rule in rules]).withColumnRenamed("pairs", "same_id")
-    return pair_count(named, rules).crossJoin(same_id).select((F.col("pairs") - F.col("same_id")).alias("pairs"))  # one row each
+    # Few rows share their id with another one, and only they can make such a pair.
+    repeated = named.groupBy(id_column).agg(F.count("*").alias("_rows")).filter("_rows > 1")
+    several = repeated.agg(F.sum("_rows")).first()[0]
+    found = pair_count(named, rules)
+    if not several:
+        return found
+    sharing = lookup(named, repeated, [id_column], "_rows", several)
+    same_id = pair_count(sharing, [Rule.on(*rule.keys, id_column) for rule in rules]).withColumnRenamed("pairs", "same_id")
+    return found.crossJoin(same_id).select((F.col("pairs") - F.col("same_id")).alias("pairs"))  # one row each
 
 
 def all_possible_pairs(records: int) -> int:
