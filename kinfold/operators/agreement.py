@@ -253,9 +253,10 @@ def hopeful_pairs(
     joined = (F.col("n") > graded_rows) & F.col("rule").isin([n for n, a in chosen.items() if a is not None])
     wanted = [f"{c}_{s}" for c in dict.fromkeys([id_column, *carry]) for s in "lr"]
 
-    listed = candidate_pairs(units.select(id_column, *bare), rules, id_column, bare, without=large)
+    plain = units.select(*dict.fromkeys([id_column, *bare]))  # helpers would be most of what is shuffled
+    listed = candidate_pairs(plain, rules, id_column, bare, without=large)
     found = [listed.mapInArrow(hopeful_of_list(hope), listed.schema)]
-    graded = graded_pairs(units.select(id_column, *bare), large.filter(~joined), hope, rules, bare, id_column, GRADED_TILE_ROWS)
+    graded = graded_pairs(plain, large.filter(~joined), hope, rules, bare, id_column, GRADED_TILE_ROWS)
     found += [] if graded is None else [graded]
     found = [with_open_helpers(pairs, comparisons).select(*wanted, "match_key") for pairs in found]
     if not any(a is not None for a in chosen.values()):
